@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
-from reelspark.llm.tokens import UnitEncoder, vocabulary_path
+from reelspark.llm.tokens import TokenEncoder, vocabulary_path
 
 #: Pieces that one task packs together. About 12,000 sequences, of which one or two stay part empty.
 SHARD_PIECES = 50_000
@@ -87,11 +87,10 @@ def pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: s
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(path)
+        encoder = TokenEncoder(path)
         for batch in batches:
             ids, numbers, starts, lengths, sums = [], [], [], [], []
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
-            for doc_id, data in zip(batch.column(0).to_pylist(), encoder.ids(texts), strict=True):
+            for doc_id, data in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1)), strict=True):
                 data += end
                 for n, start in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[start : start + 4 * capacity]

@@ -1,8 +1,10 @@
-"""Token ids and counts by a public tokenizer, unit by unit.
+"""Token ids and counts by a public tokenizer, from a table of the parts that texts are made of.
 
-A unit is a maximal run of bytes without ASCII white space. The vocabulary's pre-tokenizer drops
-white space and no pre-token, special string, composed character or case rule spans it, so a text's
-tokens are its units' tokens in order (tests compare whole texts with the library). Units repeat,
+In a text of printable ASCII, white space and Latin-1 letters the pre-tokens are certain: lower
+case changes letters one by one, nothing composes, and one pattern cuts the text as the library
+does. Any other text is cut at ASCII white space, which no pre-token, special string or composed
+character spans, and where a run of it is not certain either, the run as a whole is the part. A text's
+tokens are its parts' tokens in order (tests compare whole texts with the library). Parts repeat,
 so each worker keeps a bounded table of them.
 """
 
@@ -13,21 +15,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VOCABULARY = "word_bpe_49k.json"
-#: Units and parts kept by a worker, and the longest one kept, in bytes: about 150 MB at most.
-TABLE_UNITS, TABLE_PARTS, TABLE_BYTES = 500_000, 400_000, 48
+#: Parts kept by a worker, and the longest one kept, in bytes: about 70 MB at most.
+TABLE_PARTS, TABLE_BYTES = 400_000, 48
 #: Bytes of text handled at once, and parts given to the library in one string.
-CHUNK_BYTES, TOGETHER = 8 << 20, 256
+CHUNK_BYTES, TOGETHER = 2 << 20, 256
 
-#: Pre-tokens of lower-case printable ASCII: fixed values of the vocabulary's pre-tokenizer.
-_ASCII_PRE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Pre-tokens of lower-case text whose other bytes are those of Latin-1 letters: fixed values of the vocabulary's pre-tokenizer.
+_PRE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[!-/:-@\[-`{-~]+")
+_LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
+_LATIN = re.compile(rb"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*")
+_PLAIN_BYTES = bytes([*range(9, 14), *range(32, 127)])
 _PLAIN = re.compile(rb"[\x21-\x7e]+\Z")
-#: Latin-1 letters in UTF-8, then ASCII punctuation: two pre-tokens at most, both stable under composition.
-_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -55,36 +58,42 @@ def whole_tokens(path: str) -> frozenset[bytes]:
     words = [(w.removesuffix("</w>"), i) for w, i in tokenizer.get_vocab(False).items() if w.endswith("</w>")]
     found = tokenizer.encode_batch([w for w, _ in words], add_special_tokens=False)
     # A word that the pre-tokenizer would split is no pre-token, even where its parts merge into one id.
-    return frozenset(w.encode() for (w, i), e in zip(words, found, strict=True) if e.ids == [i] and _PLAIN.match(w.encode()) and _ASCII_PRE.fullmatch(w.encode()))
+    return frozenset(w.encode() for (w, i), e in zip(words, found, strict=True) if e.ids == [i] and _PLAIN.match(w.encode()) and _PRE.fullmatch(w.encode()))
 
 
-class _Units:
-    """What a unit gives, put together from its parts; a part is made by the library once."""
+class _Parts:
+    """What a text's parts give; ``_made`` makes it by the library, once for a part that the table keeps."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.units, self.parts = load(path), {}, {}
+        self.tokenizer, self.table = load(path), {}
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab(True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
 
-    def _split(self, unit: bytes) -> list[bytes]:
-        """Pre-tokens in lower case, where they are certain; else the unit itself."""
-        if word := _WORD.fullmatch(unit):
-            letters, rest = word.groups()
-            letters = letters.lower() if letters.isascii() else letters.decode().lower().encode()
-            return [letters, rest] if rest else [letters]
-        if _PLAIN.match(unit) and not any(s in unit for s in self.special):
-            return _ASCII_PRE.findall(unit.lower())
-        return [unit]
+    def _certain(self, data: bytes) -> bytes | None:
+        """The text in lower case if its pre-tokens are certain."""
+        other = data.translate(None, _PLAIN_BYTES)
+        if not _LATIN.fullmatch(other) or any(s in data for s in self.special):
+            return None
+        return data.decode().lower().encode() if other else data.lower()
+
+    def split(self, data: bytes) -> list[bytes]:
+        if (low := self._certain(data)) is not None:
+            return _PRE.findall(low)
+        parts: list[bytes] = []
+        for unit in data.split():
+            low = self._certain(unit)
+            parts += [unit] if low is None else _PRE.findall(low)
+        return parts
 
     def _ids(self, parts: list[bytes]) -> list[bytes]:
-        """The library's ids of each part, four bytes each. Words go in together, with spaces between."""
+        """The library's ids of each part, four bytes each. Certain words go in together, with spaces between."""
         out: list = [None] * len(parts)
-        words = [k for k, p in enumerate(parts) if _LETTERS.fullmatch(p)]
+        words = [k for k, p in enumerate(parts) if _LETTERS.fullmatch(p) and _LATIN.fullmatch(p.translate(None, _PLAIN_BYTES))]
         groups = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
-        found = self.tokenizer.encode_batch_fast([b" ".join([parts[k] for k in g]).decode() for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, found, strict=True):
+        for group in groups:
+            e = self.tokenizer.encode_batch_fast([b" ".join([parts[k] for k in group]).decode()], add_special_tokens=False)[0]
             ids = np.asarray(e.ids, "<u4")
             cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()  # a pre-token's last id, and no other, ends a word
             if len(cuts) == len(group):
@@ -97,32 +106,25 @@ class _Units:
                 out[k] = np.asarray(self.tokenizer.encode(parts[k].decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
-    def of_texts(self, data: list[bytes]) -> Iterator[list]:
-        """For each text, what its units give; a chunk of texts looks up what is new to it together."""
-        if len(self.units) > TABLE_UNITS:
-            self.units.clear()
-        if len(self.parts) > TABLE_PARTS:
-            self.parts.clear()
-        split = [d.split() for d in data]
-        new = {u: self._split(u) for u in {u for units in split for u in units}.difference(self.units)}
-        unknown = list({p for parts in new.values() for p in parts}.difference(self.parts))
-        made = dict(zip(unknown, self._made(unknown), strict=True))
-        self.parts.update((p, x) for p, x in made.items() if len(p) <= TABLE_BYTES)
-        kept = self.parts
-        joined = {u: self._joined([kept[p] if p in kept else made[p] for p in parts]) for u, parts in new.items()}
-        self.units.update((u, x) for u, x in joined.items() if len(u) <= TABLE_BYTES)
-        known = self.units
-        for units in split:
-            try:
-                yield list(map(known.__getitem__, units))
-            except KeyError:  # a unit too long to keep
-                yield [known[u] if u in known else joined[u] for u in units]
-
-
-def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """Runs of texts of about CHUNK_BYTES together; a longer text is a run of its own."""
+    def of_texts(self, texts: list[bytes]) -> Iterator[Iterator]:
+        """For each text, what its parts give; a chunk of texts looks up what is new to it together."""
+        if len(self.table) > TABLE_PARTS:
+            self.table.clear()
+        split = list(map(self.split, texts))
+        new = list(set().union(*split).difference(self.table))
+        self.table.update(zip(new, self._made(new), strict=True))
+        for parts in split:
+            yield map(self.table.__getitem__, parts)
+        for p in new:
+            if len(p) > TABLE_BYTES:
+                del self.table[p]
+
+
+def chunks(texts: pa.Array | list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of texts of about CHUNK_BYTES together, null as empty; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
+        t = (t.as_py() if isinstance(t, pa.Scalar) else t) or b""
         if run and size + len(t) > CHUNK_BYTES:
             yield run
             run, size = [], 0
@@ -132,7 +134,7 @@ def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield run
 
 
-class UnitCounter(_Units):
+class TokenCounter(_Parts):
     """Token counts: pre-tokens proven whole count one each, only the rest is merged by the library."""
 
     def __init__(self, path: str, whole: frozenset[bytes]):
@@ -144,23 +146,17 @@ class UnitCounter(_Units):
         merged = {p: len(ids) // 4 for p, ids in zip(rest, self._ids(rest), strict=True)}
         return [merged.get(p, 1) for p in parts]
 
-    def _joined(self, parts: list[int]) -> int:
-        return sum(parts)
-
-    def counts(self, texts: list[bytes]) -> list[int]:
+    def counts(self, texts: pa.Array | list[bytes]) -> list[int]:
         return [sum(got) for chunk in chunks(texts) for got in self.of_texts(chunk)]
 
 
-class UnitEncoder(_Units):
+class TokenEncoder(_Parts):
     """Ids of a text as little-endian unsigned 32-bit numbers."""
 
     def _made(self, parts: list[bytes]) -> list[bytes]:
         return self._ids(parts)
 
-    def _joined(self, parts: list[bytes]) -> bytes:
-        return b"".join(parts)
-
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+    def ids(self, texts: pa.Array | list[bytes]) -> Iterator[bytes]:
         for chunk in chunks(texts):
             for got in self.of_texts(chunk):
                 yield b"".join(got)
@@ -178,11 +174,11 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, limit: int = 20
     whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))  # bounded by the vocabulary
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = UnitCounter(path, whole.value)
+        counter = TokenCounter(path, whole.value)
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
-            sizes, tokens = list(map(len, texts)), counter.counts(texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
+            tokens = counter.counts(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("data"))
     return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
