@@ -1 +1 @@
-
+"""DataFrame operators: DataFrames in, a DataFrame out."""

@@ -1,10 +1,6 @@
-"""Queries over the stand-in tables, with the SQL that each must equal."""
+"""All queries of the library, by subject."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from reelspark.plans import alignment, curation, media, series  # noqa: F401  they register their queries
+from reelspark.plans.registry import QUERIES, SQL  # noqa: F401

@@ -28,10 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def unique(name: str) -> str:
+    """``name`` with an ending that no other run has."""
+    return f"{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back with the schema it was written with."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{unique(name)}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
