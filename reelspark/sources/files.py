@@ -11,6 +11,8 @@ from reelspark.functions.clips import clip_of_image, stem
 def listing(spark: SparkSession, folder: str, pattern: str = "*.[mM][pP]4") -> DataFrame:
     """path, name (the stem), bytes of all files below ``folder`` whose name fits; contents are not read.
 
+    Files without content are not listed, so what is listed counts as an output that is done.
+
     The folder's own name may hold brackets: it is escaped, so that it is no pattern.
     """
     safe = "".join("\\" + c if c in "[]{}*?" else c for c in folder)
@@ -18,10 +20,6 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*.[mM][pP]4") -> D
     return files.select("path", stem(F.col("path")).alias("name"), F.col("length").alias("bytes"))
 
 
-def non_empty(files: DataFrame) -> DataFrame:
-    return files.filter("bytes > 0")
-
-
 def person_images(files: DataFrame, normalised: bool) -> DataFrame:
     """clip, images: paths of each clip's person images in order, either the normalised copies or the others."""
     is_norm = stem(F.col("path")).contains("_norm")
