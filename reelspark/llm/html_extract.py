@@ -81,6 +81,7 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
             yield "tag", name, "", marked > 0
             continue
         block = name in _BLOCK
+        within = noise is not None
         if block:
             yield "break", "", "", marked > 0
         if m[1]:
@@ -100,7 +101,7 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
             place = stack[-1][0] if stack else "body"
             marked = sum(n in ("article", "main") for n, _ in stack)
         # Tags inside a part that is no article say nothing about the same tags elsewhere.
-        yield "tag", "" if noise else ("/" if m[1] else "") + name, "", marked > 0
+        yield "tag", "" if noise or within else ("/" if m[1] else "") + name, "", marked > 0
 
 
 def _prior(key: str) -> float:

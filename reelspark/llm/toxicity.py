@@ -27,6 +27,8 @@ MAX_LABELLED = 10_000
 #: Features per category, their least number of documents, and the least significance (root of likelihood ratio).
 MAX_FEATURES, MIN_DOCS, MIN_Z = 1024, 4, 4.0
 FOLDS, BINS = 5, 16
+#: Share of right ones among what a threshold takes, at least: clean documents are to stay.
+MIN_PRECISION = 0.8
 #: Beginnings of longer words that count as features of their own, in bytes.
 BEGINNINGS = (4, 5)
 
@@ -165,10 +167,14 @@ def fit_chain(features: np.ndarray, tally: np.ndarray, fold: np.ndarray, y: np.n
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The probability from which the out-of-fold F1 is best; the middle of the gap below it."""
+    """The probability from which the out-of-fold F1 is best, the middle of the gap below it.
+
+    Only where at least ``MIN_PRECISION`` of what it takes is right; if that is nowhere so, nothing is taken.
+    """
     order = np.argsort(-p, kind="stable")
     hits = np.cumsum(y[order])
     last = np.append(np.flatnonzero(np.diff(p[order])), len(p) - 1) if len(p) else np.zeros(0, int)
+    last = last[hits[last] >= MIN_PRECISION * (last + 1)] if len(last) else last
     if not len(last) or not y.sum():
         return 1.1
     at = last[np.argmax(2 * hits[last] / (last + 1 + y.sum()))]
