@@ -22,7 +22,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     labels = scratch.written(labels, f"{name}-labels")
     while True:
         seen = both.join(labels.select(F.col("node").alias("near"), "label"), "near").groupBy("node").agg(F.min("label").alias("seen"))
-        best = labels.join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "seen").alias("label"))
+        best = scratch.written(labels.join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "seen").alias("label")), f"{name}-best")
+        # Both sides are tables, so that a label that very many nodes hold can be split over tasks.
         jump = best.select(F.col("node").alias("label"), F.col("label").alias("further"))
         moved = best.join(jump, "label").select("node", "was", F.least("label", "further").alias("label"))
         moved = scratch.written(moved, f"{name}-labels")

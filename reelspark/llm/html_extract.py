@@ -76,8 +76,9 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if not name:
             continue
         if name in _END_RAW:
-            if not m[1] and not m[3].rstrip().endswith("/") and (stop := _END_RAW[name].search(page, at)):
-                at = stop.end()
+            if not m[1] and not m[3].rstrip().endswith("/"):
+                stop = _END_RAW[name].search(page, at)
+                at = stop.end() if stop else len(page) if name in ("script", "style") else at
             yield "tag", name, "", marked > 0
             continue
         block = name in _BLOCK

@@ -16,6 +16,11 @@ losing a pair, what may be similar; trees then do the joining inside small block
 5. *Rest*: classes outside their cluster's largest component are dealt into blocks of their own and
    joined, by trees again, with every block of the cluster. A pair inside one component is skipped.
 
+Tokens that a sample of documents shows to be very common are known to be shared and come last among
+the rare: they bypass the bins, so that no bin gathers a large part of all classes, and in step 3
+their classes meet in salted groups. The sample decides only that order and where tokens go, not
+what is found.
+
 Nothing is capped: pairs are left out only if proven dissimilar or already connected.
 """
 
@@ -37,6 +42,10 @@ from reelspark.llm.signature_tree import linking_pairs, required
 
 #: Slack of the token prefix, as a divisor of the set size.
 SHARE = 8
+#: Documents, at most (in expectation; chosen by hash), that tell common tokens, and in how many of them such a token is.
+COMMON_SAMPLE, COMMON_DOCS = 8_192, 128
+#: Groups that the classes of a common token meet in, and the document count that stands for common.
+SALTS, MANY = 64, 0xFFFFFFFF
 #: Tokens in a bin, and classes in a block.
 BIN_TOKENS, BLOCK = 1_500_000, 256
 
@@ -70,8 +79,38 @@ def _described(rows: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(describe, "doc_id long, n long, key long, key2 long")
 
 
-def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int) -> DataFrame:
-    """(bin, class keys, tokens per class, tokens as 32 + 16 bits) for the first tokens of every class a task sees."""
+def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den: int, sample: int, least: int) -> np.ndarray:
+    """Tokens that stand among the first of at least ``least`` classes of a sample; bounded by the sample, sorted."""
+    share = min(1.0, sample / max(1, described.count()))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for s in shingle_sets(_texts(batch, 0), k) if len(s)]
+            keys = [set_key(s)[0] for s in sets]
+            blobs = [(s[: _prefix(len(s), num, den)[0]] >> np.uint64(16)).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["key", "tokens"])
+
+    picked = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
+    found = picked.filter("doc_id IS NOT NULL").select("data").mapInArrow(first, "key long, tokens binary").dropDuplicates(["key"])
+    # Counted where they are: a token common in the sample is common in some task's share of it or summed up from all.
+    counts = found.withColumn("share", F.pmod(F.col("key"), F.lit(8))).groupBy("share").applyInPandas(_token_counts, "tokens binary, counts binary").collect()
+    tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in counts] or [np.zeros(0, np.uint64)])
+    names, at = np.unique(tokens, return_inverse=True)
+    sums = np.bincount(at, np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in counts] or [np.zeros(0, np.uint32)]), len(names))
+    return names[sums >= least]
+
+
+def _token_counts(part: pd.DataFrame) -> pd.DataFrame:
+    names, counts = np.unique(np.frombuffer(b"".join(part["tokens"]), np.uint64), return_counts=True)
+    several = counts >= max(1, COMMON_DOCS // 64)
+    return pd.DataFrame({"tokens": [names[several].tobytes()], "counts": [counts[several].astype(np.uint32).tobytes()]})
+
+
+def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int, common) -> DataFrame:
+    """(bin, class keys, tokens per class, tokens as 32 + 16 bits) for the first tokens of every class a task sees.
+
+    Common tokens go to a bin below zero, which is one of the class, not of the token.
+    """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -88,11 +127,13 @@ def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int) -> DataFrame
             if not owner:
                 continue
             token = np.concatenate(tokens)
-            who = np.repeat(np.arange(len(owner)), sizes)
+            who, keys = np.repeat(np.arange(len(owner)), sizes), np.array(owner, np.int64)
             bin_of = (token % np.uint64(bins)).astype(np.int64)
+            frequent = _contains(common.value, token)
+            bin_of[frequent] = -1 - (keys[who[frequent]] % bins)
             order = np.lexsort((who, bin_of))
             token, who, bin_of = token[order], who[order], bin_of[order]
-            keys, out = np.array(owner, np.int64), ([], [], [], [], [])
+            out = ([], [], [], [], [])
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bin_of)) + 1, [len(token)]))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own, count = np.unique(who[a:b], return_counts=True)
@@ -105,6 +146,13 @@ def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int) -> DataFrame
     return rows.filter("doc_id IS NOT NULL").select("data").mapInArrow(deal, "bin long, owners binary, counts binary, high binary, low binary")
 
 
+def _contains(names: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in sorted ``names``."""
+    if not len(names):
+        return np.zeros(len(x), bool)
+    return names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x
+
+
 def _unbin(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (token, class) pairs of a bin, sorted by token."""
     owners = np.frombuffer(b"".join(part["owners"]), np.int64)
@@ -123,6 +171,8 @@ def _shared_tokens(part: pd.DataFrame) -> pd.DataFrame:
     token, who = _unbin(part)
     runs = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     df = np.repeat(np.diff(np.concatenate((runs, [len(token)]))), np.diff(np.concatenate((runs, [len(token)]))))
+    if part["bin"].iloc[0] < 0:
+        df[:] = MANY
     shared = df > 1
     token, who, df = token[shared], who[shared], df[shared].astype(np.uint32)
     order = np.argsort(who, kind="stable")
@@ -132,7 +182,7 @@ def _shared_tokens(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": [int(who[a]) for a, _ in spans], "tokens": [token[a:b].tobytes() for a, b in spans], "dfs": [df[a:b].tobytes() for a, b in spans]}, columns=["key", "tokens", "dfs"])
 
 
-def _kept_tokens(bins: int, num: int, den: int):
+def _kept_tokens(bins: int, num: int, den: int, common):
     """Classes that may have a partner, each with the tokens of which every partner has one, dealt to bins."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,6 +199,8 @@ def _kept_tokens(bins: int, num: int, den: int):
             token = np.concatenate([*tokens, np.zeros(0, np.uint64)])
             who = np.repeat(np.array(owner, np.int64), sizes)
             bin_of = (token % np.uint64(bins)).astype(np.int64)
+            frequent = _contains(common.value, token)
+            bin_of[frequent] = -1 - ((who[frequent] % SALTS) * bins + bin_of[frequent])
             order = np.argsort(bin_of, kind="stable")
             token, who, bin_of = token[order], who[order], bin_of[order]
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bin_of)) + 1, [len(token)])) if len(token) else np.zeros(1, np.int64)
@@ -160,14 +212,20 @@ def _kept_tokens(bins: int, num: int, den: int):
 
 
 def _stars(part: pd.DataFrame) -> pd.DataFrame:
-    """Each class of a token with the token's smallest class, once for all tokens of a bin."""
+    """Each class of a token with the token's smallest class, once for all tokens of a bin.
+
+    In a salted bin the smallest class is linked on to the token itself, so that all salts meet there.
+    """
     token = np.frombuffer(b"".join(part["tokens"]), np.uint64)
     who = np.frombuffer(b"".join(part["owners"]), np.int64)
     order = np.lexsort((who, token))
     token, who = token[order], who[order]
     starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     hub = np.repeat(who[starts], np.diff(np.concatenate((starts, [len(token)]))))
-    pairs = np.unique(np.stack([hub[hub != who], who[hub != who]]), axis=1)
+    pairs = np.stack([hub[hub != who], who[hub != who]])
+    if part["bin"].iloc[0] < 0:
+        pairs = np.hstack([pairs, np.stack([who[starts], token[starts].astype(np.int64)])])
+    pairs = np.unique(pairs, axis=1)
     return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
@@ -194,7 +252,7 @@ def _labelled(members: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return members.join(labels, "key", "left").withColumn("label", F.coalesce("found", "key")).drop("found")
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, bin_tokens: int = BIN_TOKENS) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, bin_tokens: int = BIN_TOKENS, common_sample: int = COMMON_SAMPLE, common_docs: int = COMMON_DOCS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     Two documents link when den * |A and B| >= num * |A or B| of their sets of ``k``-word shingles
@@ -213,11 +271,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bins = max(parts, -(-total // (2 * bin_tokens)))
 
-    binned = _binned(rows, k, bins, num, den).groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
+    common = spark.sparkContext.broadcast(_common_tokens(rows, described, k, num, den, common_sample, common_docs))  # bounded by the sample
+    binned = _binned(rows, k, bins, num, den, common).groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
     shared = binned.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
-    kept = shared.join(classes.select("key", "n"), "key").select("key", "n", "tokens", "dfs").mapInArrow(_kept_tokens(bins, num, den), "bin long, tokens binary, owners binary")
+    kept = shared.join(classes.select("key", "n"), "key").select("key", "n", "tokens", "dfs").mapInArrow(_kept_tokens(bins, num, den, common), "bin long, tokens binary, owners binary")
     stars = scratch.written(kept.groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
     clusters = components(stars, "jaccard-clusters").select(F.col("node").alias("key"), F.col("label").alias("cluster"))
+    clusters = scratch.written(clusters.join(classes.select("key"), "key", "left_semi"), "jaccard-members")  # without the tokens among the nodes
 
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     members = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("members") / block)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))

@@ -198,6 +198,7 @@ def test_components_of_large_clusters_in_small_blocks(spark):
     rows += [(1000 + k, passage + " " + " ".join(f"own{k}w{j}" for j in range(30 + k))) for k in range(40)]
     rows += [(2000 + k, " ".join(f"tiny{k // 2}w{j}" for j in range(5 + k % 2))) for k in range(20)]
     check_components(spark, rows, block=8, bin_tokens=500)
+    check_components(spark, rows, block=16, bin_tokens=500, common_sample=100, common_docs=6)
 
 
 @pytest.mark.parametrize("seed", range(3))
