@@ -55,7 +55,7 @@ def _chunk_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     bounds = np.concatenate(([0], np.searchsorted(first, ends)))
     rolled = np.zeros(max(0, len(words) - k + 1), _U)
     for j in range(k):
-        rolled += mix(words[j : len(words) - k + 1 + j] ^ _PLACE[j % 7]) * (_PLACE[j % 7] + _U(2 * j))
+        rolled += mix(words[j : len(rolled) + j] ^ _PLACE[j % 7]) * (_PLACE[j % 7] + _U(2 * j))
     rolled = mix(rolled)
     out = []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
