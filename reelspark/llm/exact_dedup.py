@@ -78,9 +78,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; see ``exact_duplicates``."""
-    gone = exact_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__gone_id"]), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns; see ``exact_duplicates``.
+
+    Rows go by id and text, so another text under the same (or no) id stays.
+    """
+    gone = exact_duplicates(docs, id_col, text_col).filter(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_text")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(gone["__gone_id"]) & (F.sha2(without_white(docs[text_col]), 256) == gone["__gone_text"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

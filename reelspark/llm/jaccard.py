@@ -57,7 +57,8 @@ def _prefix(n, num: int, den: int):
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("data"))
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("data"), F.xxhash64(text).alias("text_hash"))
 
 
 def _texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
@@ -65,7 +66,7 @@ def _texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
 
 
 def _described(rows: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, key, key2 of every document."""
+    """doc_id, n, key, key2, text_hash of every document."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,9 +75,9 @@ def _described(rows: DataFrame, k: int) -> DataFrame:
                 sizes.append(len(s))
                 keys.append(set_key(s))
             one, two = (pa.array([x[p] for x in keys], pa.int64()) for p in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), one, two], ["doc_id", "n", "key", "key2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), one, two, batch.column(2)], ["doc_id", "n", "key", "key2", "text_hash"])
 
-    return rows.mapInArrow(describe, "doc_id long, n long, key long, key2 long")
+    return rows.mapInArrow(describe, "doc_id long, n long, key long, key2 long, text_hash long")
 
 
 def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den: int, sample: int, least: int) -> np.ndarray:
@@ -253,7 +254,7 @@ def _labelled(members: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, bin_tokens: int = BIN_TOKENS, common_sample: int = COMMON_SAMPLE, common_docs: int = COMMON_DOCS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, text_hash (of the row's text, to find the row again).
 
     Two documents link when den * |A and B| >= num * |A or B| of their sets of ``k``-word shingles
     (see ``shingles``); component_id is the smallest doc_id reachable by links, itself included.
@@ -321,7 +322,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     linked = linked.join(smallest, "label").select("key", "component_id")
     final = classes.select("key", "key2", "rep").join(linked, "key", "left").select("key", "key2", F.coalesce("component_id", "rep").alias("component_id"))
     return described.join(final, ["key", "key2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"
     )
 
 
@@ -342,14 +343,18 @@ def _with_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. All columns stay."""
+    """``docs`` with one document of each component: the one with the smallest id. All columns stay.
+
+    Rows go by id and text, so another text under the same id stays; rows without an id stay.
+    """
     found = jaccard_components(docs, id_col=id_col, text_col=text_col)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone_id"], "left_anti")
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")).distinct()
+    same = (docs[id_col].cast("long") == gone["__gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["__gone_text"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
 
 
 OP6_SQL = r"""

@@ -169,7 +169,7 @@ def brute_components(rows):
 
 def check_components(spark, rows, **options):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = sorted(map(repr, map(tuple, jaccard.jaccard_components(df, **options).collect())))
+    got = sorted(map(repr, map(tuple, jaccard.jaccard_components(df, **options).drop("text_hash").collect())))
     assert got == sorted(map(repr, brute_components(rows)))
 
 
@@ -191,6 +191,16 @@ def test_components_of_odd_rows(spark):
     assert jaccard.keep_one(odd_docs(spark)).columns == odd_docs(spark).columns
 
 
+def test_other_texts_of_an_id_stay(spark):
+    """An id, or none, on several rows: what goes is the copy, not the other text."""
+    words = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, words), (7, words), (7, "alone under seven"), (None, words), (None, "alone under none"), (8, "twice"), (8, "twice")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    own = [(7, "alone under seven"), (8, "twice"), (8, "twice"), (None, "alone under none")]
+    assert sorted(map(repr, map(tuple, exact_dedup.drop_duplicates(df).collect()))) == sorted(map(repr, [(1, words), *own]))
+    assert sorted(map(repr, map(tuple, jaccard.keep_one(df).collect()))) == sorted(map(repr, [(1, words), (None, words), *own]))
+
+
 def test_components_of_large_clusters_in_small_blocks(spark):
     """Clusters of many blocks, with members that are not like block 0, and a passage that all share."""
     rows = near_copies(1, 3, 60, 200, 9)
@@ -233,6 +243,13 @@ def test_shingle_counts():
     assert [len(s) for s in shingle_sets([t.encode() for t in texts])] == [len(shingled(t)) for t in texts]
 
 
+@pytest.mark.parametrize("texts", [[], [b""], [b" "], [b"one"], [b"one two"], [b"one two three"], [b"a b", b"", b"c"], [b"a b c d"], [b"a b c d e"], [b"a b c d e f", b"g"]])
+def test_few_words(texts):
+    """Also where all texts together have fewer words than a shingle."""
+    want = [max(len(t.split()) - 4, 1 if t.split() else 0) for t in texts]
+    assert [len(s) for s in shingle_sets(texts)] == want
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 105), (105, 103)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -346,6 +363,8 @@ def test_extraction(spark, data):
     assert html_extract.main_text(PAGE, weights) == "Title & more\nFirst bold text.\nSecond one goes on.\nThird."
     for page, want in ((None, ""), ("", ""), ("plain", "plain"), ("<p>a &lt; b", "a < b"), ("<script>x", ""), ("<p" * 1000, None), ("<div>" * 3000 + "deep", "deep")):
         assert want is None or html_extract.main_text(page, weights) == want
+    parts = "<article><p>Words of it.</p><pre>a\n b</pre><table><tr><td>c</td><td>d</td></tr></table><ul><li>one<li>two</ul></article>"
+    assert html_extract.main_text(parts, weights) == "Words of it.\na b\nc\nd\none\ntwo"
     odd = spark.createDataFrame([(1, None, None), (None, "u", "<p>x y</p>"), (2, "u", ""), (2, "u", "")], "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("inside", F.lit(1))
     assert sorted((r["n_chars"], r["text"]) for r in html_extract.extract(odd, weights).collect()) == [(0, ""), (0, ""), (0, ""), (3, "x y")]
     assert html_extract.extract(odd.filter("false"), html_extract.fit(odd.filter("false"))).count() == 0
