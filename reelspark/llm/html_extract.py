@@ -33,6 +33,8 @@ _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that articles are made of.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption table caption thead tbody tfoot tr th td hr details summary".split())
 #: Elements, and words in class, id or role, that stand for parts that are not the article.
 _NOISE_TAGS = frozenset("nav header footer aside form menu dialog search fieldset".split())
 _HINTS = frozenset(
@@ -108,7 +110,8 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
 def _prior(key: str) -> float:
     """Share of a place's words, or of a tag, that are content as far as nothing else is known."""
     if key.startswith("<"):
-        return 0.9 if key.strip("</") not in _BLOCK or key.strip("</") in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "blockquote", "pre") else 0.3
+        name = key.strip("</")
+        return 0.9 if name not in _BLOCK or name in _PROSE else 0.3
     if "." in key or key in _NOISE_TAGS:
         return 0.05
     return {"p": 0.9, "body": 0.6, "div": 0.6, "section": 0.7, "html": 0.1}.get(key, 0.8)
