@@ -29,15 +29,15 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
     return near.filter((F.col("start") < F.col("r_end")) & (F.col("r_start") < F.col("end")) & (F.col("__slot") == first)).drop("__slot")
 
 
-def overlap_by_track(cues: DataFrame, segments: DataFrame, clip: str, cue: str, track: str) -> DataFrame:
+def overlap_by_track(cues: DataFrame, segments: DataFrame, clip: str, cue: str, track: str, width: int = 10) -> DataFrame:
     """clip, cue, track, overlap: for every cue and every track of its clip, the time they share (0 too).
 
-    ``cues``: clip, cue, start, end; ``segments``: clip, track, start, end.
+    ``cues``: clip, cue, start, end; ``segments``: clip, track, start, end; they meet on slots of ``width``.
     """
     tracks = segments.select(clip, track).distinct()
     pairs = cues.select(clip, cue).join(tracks, clip)
-    shared = cues.join(segments.withColumnsRenamed({"start": "s2", "end": "e2"}), clip)
-    shared = shared.withColumn("o", overlap(F.col("start"), F.col("end"), F.col("s2"), F.col("e2"))).filter("o > 0")
+    shared = interval_join(cues.select(clip, cue, "start", "end"), segments.select(clip, track, "start", "end"), [clip], width)
+    shared = shared.select(clip, cue, F.col(f"r_{track}").alias(track), overlap(F.col("start"), F.col("end"), F.col("r_start"), F.col("r_end")).alias("o"))
     sums = shared.groupBy(clip, cue, track).agg(F.sum("o").alias("overlap"))
     return pairs.join(sums, [clip, cue, track], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))
 

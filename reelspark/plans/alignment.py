@@ -25,7 +25,7 @@ asg AS (SELECT c.clip, c.cue, c."start", c."end", b.overlap, b.overlap/(c."end"-
 
 def _by_track(spark: SparkSession, d: str) -> DataFrame:
     segments = st.segments(spark, d).select("clip", F.col("turn").alias("track"), "start", "end")
-    return iv.overlap_by_track(st.cues(spark, d), segments, "clip", "cue", "track")
+    return iv.overlap_by_track(st.cues(spark, d), segments, "clip", "cue", "track", 200)
 
 
 def _assigned(spark: SparkSession, d: str) -> DataFrame:
