@@ -43,17 +43,22 @@ _HINTS = frozenset(
     " discussion share sharing social related recommended recommendations footer header masthead subscribe subscription newsletter signup login search"
     " pager pagination toc skip toolbar copyright legal disclaimer complementary contentinfo tags byline-share outbrain taboola".split()
 )
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: Quotes count after an equals sign only; elsewhere a tag ends at the next >.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')|=)*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _END_RAW = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
 _CLOSES_P = _BLOCK - {"body", "html"}
+#: Words that say of a whole layout whether it has the part named next.
+_ABOUT_LAYOUT = frozenset("has with no without".split())
 
 
 def _hint(attributes: str) -> str | None:
     for values in _ATTRIBUTE.findall(attributes):
+        before = ""
         for word in re.split(r"[^a-z0-9]+", "".join(values).lower()):
-            if word in _HINTS:
+            if word in _HINTS and before not in _ABOUT_LAYOUT:
                 return word
+            before = word
     return None
 
 
@@ -64,10 +69,12 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
     its name, empty within such a part. inside: under an ``<article>`` or ``<main>``. A break ends a block. Open paragraphs
     end where a block begins; end tags without a beginning are passed over.
     """
-    stack: list[tuple[str, str | None]] = []  # (element, noise place)
-    place, noise, marked, at = "body", None, 0, 0
+    # Open elements with the outermost noise and the number of marks down to each; how many are open by name.
+    stack: list[tuple[str, str | None, int]] = []
+    open_names: dict[str, int] = {}
+    place, noise, marked, at, last_end = "body", None, 0, 0, page.rfind(">")
     while at < len(page):
-        m = _TOKEN.search(page, at)
+        m = _TOKEN.search(page, at) if at <= last_end or page.find("<!--", at) >= 0 else None
         end = m.start() if m else len(page)
         if end > at:
             yield "text", noise or place, page[at:end], marked > 0
@@ -88,21 +95,23 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if block:
             yield "break", "", "", marked > 0
         if m[1]:
-            if block and any(n == name for n, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if block and open_names.get(name):
+                closed = ""
+                while closed != name:
+                    closed = stack.pop()[0]
+                    open_names[closed] -= 1
         elif block and name not in _VOID:
             if name in _CLOSES_P and stack and stack[-1][0] == "p":
-                stack.pop()
+                open_names[stack.pop()[0]] -= 1
             hint = _hint(m[3]) if m[3] else None
             own = f"{name}.{hint}" if hint else name if name in _NOISE_TAGS else None
             if name in ("article", "main", "body", "html"):
                 own = None
-            stack.append((name, own))
+            _, outer, marks = stack[-1] if stack else ("", None, 0)
+            stack.append((name, outer or own, marks + (name in ("article", "main"))))
+            open_names[name] = open_names.get(name, 0) + 1
         if block:
-            noise = next((n for _, n in stack if n), None)
-            place = stack[-1][0] if stack else "body"
-            marked = sum(n in ("article", "main") for n, _ in stack)
+            place, noise, marked = stack[-1] if stack else ("body", None, 0)
         # Tags inside a part that is no article say nothing about the same tags elsewhere.
         yield "tag", "" if noise or within else ("/" if m[1] else "") + name, "", marked > 0
 
