@@ -26,7 +26,7 @@ def _rank(n: Column, doc_id: Column) -> Column:
 
 
 def _rank_id(rank: Column) -> Column:
-    out = F.expr(f"{_MAX}L") - (rank % F.lit(_STEP).cast("decimal(38,0)")).cast("long")
+    out = (F.lit(_MAX).cast("decimal(38,0)") - rank % F.lit(_STEP).cast("decimal(38,0)")).cast("long")
     return F.when(out != F.expr(f"{_MAX}L"), out)
 
 

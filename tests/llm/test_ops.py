@@ -69,6 +69,12 @@ def test_exact_duplicates(spark):
     assert exact_dedup.exact_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_exact_ids_below_zero(spark):
+    rows = [(-5, "a"), (3, "a"), (-(2**63), "b"), (2, " b"), (None, "c"), (-1, "c")]
+    got = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["keep_id"], r["group_size"], r["kept"]) for r in got.collect()) == [(-5, 2, False), (-5, 2, True), (-1, 2, False), (-1, 2, True), (2, 2, False), (2, 2, True)]
+
+
 def test_exact_hot_group(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 < 2, F.lit("same text")).otherwise(F.col("id").cast("string")).alias("text")).repartition(16)
     got = exact_dedup.exact_duplicates(docs)
@@ -380,6 +386,26 @@ def test_extraction_equals_the_marked_article(spark, data):
         assert got[r["page_id"]] == "\n".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p class=don't>Text here isn't lost</p><p>b c</p>", "Text here isn't lost\nb c"),
+        ('<p title="unclosed>text</p> more', "text\nmore"),
+        ('<p title="a > b">Alpha <img alt=\'x>y\'> beta</p>', "Alpha beta"),
+        ('<div class="layout has-sidebar"><article><p>Kept text</p></article></div>', "Kept text"),
+        ('<div class="sidebar"><div><p>Not this one</p></div></div><p>But this</p>', "But this"),
+        ("<p>a<!-- b > c --> d</p>", "a d"),
+        ("a > b <i", "a > b <i"),
+        ("text <!-- open", "text"),
+        ("<ul>" + "<li>x" * 50_000, "x\n" * 49_999 + "x"),
+        ("<b " * 50_000, ("<b " * 50_000).strip()),
+    ],
+)
+def test_odd_markup(page, want):
+    """Stray quotes and brackets, layouts named after parts, very deep and very long pages."""
+    assert html_extract.main_text(page, html_extract.Weights({})) == want
+
+
 def test_region():
     assert html_extract.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html_extract.best_region([-1.0, 0.0]) == (0, 0)
