@@ -141,18 +141,29 @@ def stage_progress(spark: SparkSession, d: str) -> DataFrame:
     return done.crossJoin(all_).select("stage", "done", (F.col("all") - F.col("done")).alias("pending"))  # two rows and one
 
 
-@query("""WITH imgs AS (SELECT l_orderkey AS clip, list('p' || l_linenumber || '_norm.jpg' ORDER BY l_linenumber) AS images FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_orderkey)
-SELECT o_custkey AS movie, o_orderkey AS clip, c_name AS meta, array_to_string(images, ',') AS images FROM orders JOIN customer ON c_custkey = o_custkey JOIN imgs ON clip = o_orderkey WHERE o_orderstatus = 'F'""")
-def dataset_join(spark: SparkSession, d: str) -> DataFrame:
-    """Speaking clips with their metadata and images; clips that lack any go."""
+def _dataset(spark: SparkSession, d: str, items: DataFrame) -> DataFrame:
     name = F.concat(F.lit("p"), F.col("l_linenumber").cast("string"), F.lit("_norm.jpg"))
-    images = table(spark, d, "lineitem").filter("l_linenumber <= 3").groupBy(F.col("l_orderkey").alias("clip")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", name.alias("f")))).alias("i"))
+    images = items.groupBy(F.col("l_orderkey").alias("clip")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", name.alias("f")))).alias("i"))
     images = images.select("clip", F.array_join(F.transform("i", lambda x: x["f"]), ",").alias("images"))
     speaking = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("movie"), F.col("o_orderkey").alias("clip"))
     meta = table(spark, d, "customer").select(F.col("c_custkey").alias("movie"), F.col("c_name").alias("meta"))
     return speaking.join(images, "clip").join(meta, "movie").select("movie", "clip", "meta", "images")
 
 
+@query("""WITH imgs AS (SELECT l_orderkey AS clip, list('p' || l_linenumber || '_norm.jpg' ORDER BY l_linenumber) AS images FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_orderkey)
+SELECT o_custkey AS movie, o_orderkey AS clip, c_name AS meta, array_to_string(images, ',') AS images FROM orders JOIN customer ON c_custkey = o_custkey JOIN imgs ON clip = o_orderkey WHERE o_orderstatus = 'F'""")
+def dataset_join(spark: SparkSession, d: str) -> DataFrame:
+    """Speaking clips with their metadata and the images numbered 1 to 3, as its SQL has it; clips that lack any go."""
+    return _dataset(spark, d, table(spark, d, "lineitem").filter("l_linenumber <= 3"))
+
+
+@query("""WITH imgs AS (SELECT l_orderkey AS clip, list('p' || l_linenumber || '_norm.jpg' ORDER BY l_linenumber) AS images FROM lineitem GROUP BY l_orderkey)
+SELECT o_custkey AS movie, o_orderkey AS clip, c_name AS meta, array_to_string(images, ',') AS images FROM orders JOIN customer ON c_custkey = o_custkey JOIN imgs ON clip = o_orderkey WHERE o_orderstatus = 'F'""")
+def dataset_join_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The same with every image of a clip."""
+    return _dataset(spark, d, table(spark, d, "lineitem"))
+
+
 @query("SELECT 'scene_' || l_orderkey AS clip, count(*) AS images, min('m/scene_' || l_orderkey || '_person' || l_linenumber || '_norm.jpg') AS first FROM lineitem GROUP BY l_orderkey")
 def norm_images(spark: SparkSession, d: str) -> DataFrame:
     """Images by the clip that their name belongs to."""

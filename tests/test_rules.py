@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelspark.functions import boxes, clips, texts, times
 from reelspark.operators import intervals, resume, sequences, stats
 from reelspark.operators.tracking import greedy_tracks, tracks_of
+from reelspark.plans.queries import QUERIES
 from reelspark.sources import annotators, files, records, subtitles
 from reelspark.streaming import stages
 
@@ -146,6 +147,19 @@ def test_empty_movies(spark):
     assert stats.global_stats(by.filter("false")).first()["min_seconds"] is None
 
 
+def test_dataset_has_every_image(spark, tmp_path):
+    """Clips with more than three images, with later ones only, and with none."""
+    tables = {
+        "lineitem": ([(1, k) for k in range(7, 0, -1)] + [(2, 5), (2, 4)], "l_orderkey long, l_linenumber int"),
+        "orders": ([(1, 9, "F"), (2, 9, "F"), (3, 9, "F"), (4, 9, "O")], "o_orderkey long, o_custkey long, o_orderstatus string"),
+        "customer": ([(9, "m")], "c_custkey long, c_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {r["clip"]: r["images"] for r in QUERIES["dataset_join_whole"](spark, str(tmp_path)).collect()}
+    assert got == {1: ",".join(f"p{k}_norm.jpg" for k in range(1, 8)), 2: "p4_norm.jpg,p5_norm.jpg"}
+
+
 def test_resume_and_merge(spark):
     a = spark.createDataFrame([(1, "old"), (2, "old")], "k long, v string")
     b = spark.createDataFrame([(2, "new"), (3, "new")], "k long, v string")
