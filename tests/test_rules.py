@@ -160,6 +160,14 @@ def test_dataset_has_every_image(spark, tmp_path):
     assert got == {1: ",".join(f"p{k}_norm.jpg" for k in range(1, 8)), 2: "p4_norm.jpg,p5_norm.jpg"}
 
 
+def test_subtitle_lines_of_whole_texts(spark, tmp_path):
+    """Lengths on both sides of the limit, under an id whose text the cut query shortens to 20 characters."""
+    rows = [(100 * k, text) for k, text in enumerate(("", "short", "a" * 72, "b" * 73, "c" * 5000, None))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["line"] for r in QUERIES["subtitle_lines_whole"](spark, str(tmp_path)).collect()}
+    assert got == {0: "", 100: "short", 200: "a" * 72, 300: "b" * 69 + "...", 400: "c" * 69 + "...", 500: None}
+
+
 def test_resume_and_merge(spark):
     a = spark.createDataFrame([(1, "old"), (2, "old")], "k long, v string")
     b = spark.createDataFrame([(2, "new"), (3, "new")], "k long, v string")
