@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelspark import scratch
-from reelspark.llm.exact_dedup import drop_duplicates
-from reelspark.llm.jaccard import keep_one
+from reelspark.llm.exact_dedup import keep_one_row as one_of_equals
+from reelspark.llm.jaccard import keep_one_row as one_of_similar
 from reelspark.llm.mixing import repeat_by_mix
 from reelspark.llm.packing import pack
 from reelspark.llm.toxicity import reject_toxic
@@ -21,12 +21,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return drop_duplicates(docs)
+    return one_of_equals(docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return keep_one(docs)
+    return one_of_similar(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelspark import scratch
 from reelspark.llm.textcols import without_white
 
 _MAX = "9223372036854775807"
@@ -30,12 +31,13 @@ def _rank_id(rank: Column) -> Column:
     return F.when(out != F.expr(f"{_MAX}L"), out)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     text = F.col(text_col).cast("string")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.length(text), F.lit(0)).alias("n"),
         without_white(text).alias("body"),
+        *more,
     )
     return rows.withColumn("digest", F.unhex(F.sha2("body", 256))).withColumn("check", F.xxhash64("body"))
 
@@ -88,6 +90,25 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.join(gone, same, "left_anti")
 
 
+def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
+    """``docs`` with one row of each group of equal texts, with all its columns.
+
+    The row with the most code points stays, then the one with the smallest id, null last; of rows
+    that agree in these any one stays, but only one, whether they share an id or have none. Rows go
+    by a key made once in a table in the shared folder. Groups are found as in ``exact_duplicates``.
+    """
+    keyed = scratch.written(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
+    rank = _rank(F.col("n"), F.col("doc_id"))
+    salted = (
+        _keyed(keyed, id_col, text_col, "__row")
+        .withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        .groupBy("digest", "body", "salt")
+        .agg(F.max(rank).alias("rank"), F.max_by("__row", rank).alias("__row"))
+    )
+    stay = salted.groupBy("digest", "body").agg(F.max_by("__row", "rank").alias("__row")).select("__row")
+    return keyed.join(stay, "__row", "left_semi").select(*[keyed[c] for c in docs.columns])
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

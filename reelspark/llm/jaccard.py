@@ -353,6 +353,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.join(gone, same, "left_anti")
 
 
+def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, with all its columns: of the smallest id, null last.
+
+    Every row takes part under a key made once in a table in the shared folder, so rows without an
+    id and rows that repeat one link like others, and of rows that tie only one stays. Rows of
+    null and blank texts link with nothing and stay.
+    """
+    keyed = scratch.written(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
+    found = jaccard_components(keyed, id_col="__row", text_col=text_col).select(F.col("doc_id").alias("__row"), "component_id")
+    ids = keyed.select("__row", F.col(id_col).cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "__row")
+    stay = found.join(ids, "__row").groupBy("component_id").agg(F.min(order).alias("m")).select(F.col("m.__row").alias("__row"))
+    return keyed.join(stay, "__row", "left_semi").select(*[keyed[c] for c in docs.columns])
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
 

@@ -517,6 +517,23 @@ def test_pipeline_stage_by_stage(spark, data):
     assert packed.filter("piece = 0").count() == mixed.count()
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, data):
+    """Rows loaded many times, groups without any id, and copies without an id of a row that has one."""
+    words = [f"w{k}" for k in range(30)]
+    near = " ".join([*words[:29], "other"])
+    rows = [(8, "twice")] * 3 + [(None, "no id")] * 3 + [(5, " ".join(words)), (None, "  ".join(words)), (None, near), (9, near)] + [(4, "a b"), (4, "a  b"), (2, "ab"), (None, None), (None, "")]
+    df = spark.createDataFrame([(*r, "s", k) for k, r in enumerate(rows)], "doc_id long, text string, source string, n long").repartition(4)
+    stages = dict(corpus_pipeline.STAGES)
+    unique = stages["exact_dedup"](spark, df, data)
+    assert unique.columns == df.columns
+    got = [(r["doc_id"], r["text"] or "") for r in unique.collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [(8, "twice"), (None, "no id"), (None, "  ".join(words)), (9, near), (4, "a  b"), (None, "")]))
+    alone = stages["ngram_jaccard"](spark, df.filter("text <> ''"), data)
+    assert alone.columns == df.columns
+    got = sorted(repr((r["doc_id"], " ".join(r["text"].split()))) for r in alone.collect())
+    assert got == sorted(map(repr, [(2, "ab"), (4, "a b"), (5, " ".join(words)), (8, "twice"), (None, "no id")]))
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0), (6, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     odd_docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
