@@ -47,6 +47,7 @@ _HINTS = frozenset(
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')|=)*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _END_RAW = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
+_MARK = re.compile(r"<(/?)(?:article|main)\b", re.I)
 _CLOSES_P = _BLOCK - {"body", "html"}
 #: Words that say of a whole layout whether it has the part named next.
 _ABOUT_LAYOUT = frozenset("has with no without".split())
@@ -62,16 +63,30 @@ def _hint(attributes: str) -> str | None:
     return None
 
 
+def _one_mark(page: str) -> bool:
+    """Whether the page has one ``<article>`` or ``<main>`` that lies in no other."""
+    depth = outermost = 0
+    for m in _MARK.finditer(page):
+        if m[1]:
+            depth = max(0, depth - 1)
+        else:
+            outermost += depth == 0
+            depth += 1
+    return outermost == 1
+
+
 def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
     """(kind, place, text, inside) of a page: kind "text", "tag" or "break".
 
     place: for a run of text the nearest part that is no article, else the nearest block; for a tag
     its name, empty within such a part. inside: under an ``<article>`` or ``<main>``. A break ends a block. Open paragraphs
-    end where a block begins; end tags without a beginning are passed over.
+    end where a block begins; end tags without a beginning are passed over. The only outermost ``<article>`` or ``<main>`` of a
+    page, if it has no hint of its own, is no part of what stands around it.
     """
     # Open elements with the outermost noise and the number of marks down to each; how many are open by name.
     stack: list[tuple[str, str | None, int]] = []
     open_names: dict[str, int] = {}
+    alone = _one_mark(page)
     place, noise, marked, at, last_end = "body", None, 0, 0, page.rfind(">")
     while at < len(page):
         m = _TOKEN.search(page, at) if at <= last_end or page.find("<!--", at) >= 0 else None
@@ -108,6 +123,8 @@ def sequence(page: str) -> Iterator[tuple[str, str, str, bool]]:
             if name in ("article", "main", "body", "html"):
                 own = None
             _, outer, marks = stack[-1] if stack else ("", None, 0)
+            if alone and not hint and not marks and name in ("article", "main"):
+                outer = None
             stack.append((name, outer or own, marks + (name in ("article", "main"))))
             open_names[name] = open_names.get(name, 0) + 1
         if block:

@@ -406,6 +406,19 @@ def test_odd_markup(page, want):
     assert html_extract.main_text(page, html_extract.Weights({})) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<form id=aspnetForm><nav>menu</nav><article><p>Kept text</p><div class=ad>buy</div></article></form>", "Kept text"),
+        ('<div class="elementor-widget-container"><main><article><p>Kept text</p></article></main></div>', "Kept text"),
+        ('<p>The text</p><div class="related"><article><p>One card</p></article><article><p>Another card</p></article></div>', "The text"),
+        ('<p>The text</p><div class="comments"><article class="comment"><p>I agree</p></article></div>', "The text"),
+    ],
+)
+def test_article_inside_a_part_that_is_none(page, want):
+    assert html_extract.main_text(page, html_extract.Weights({})) == want
+
+
 def test_region():
     assert html_extract.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html_extract.best_region([-1.0, 0.0]) == (0, 0)
