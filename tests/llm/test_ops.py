@@ -419,6 +419,71 @@ def test_article_inside_a_part_that_is_none(page, want):
     assert html_extract.main_text(page, html_extract.Weights({})) == want
 
 
+ARTICLE = "<h1>The title</h1><p>One paragraph of the article here.</p><p>Another one with more words in it.</p>"
+ARTICLE_TEXT = "The title\nOne paragraph of the article here.\nAnother one with more words in it."
+MENU = '<nav><ul><li><a href="/">Home</a></li><li><a href="/x">About us</a></li></ul></nav>'
+FOOT = "<footer><p>Copyright 2024 by the company, all rights</p></footer>"
+WRAPPERS = [
+    '<div class="page sidebar-right">', '<div class="layout-with-left-sidebar">', '<section class="legal">', '<div class="post tags-news">', '<div role="main" class="banner-layout">',
+    '<form action="x" id="aspnetForm">', '<div class="elementor-widget-container">', '<div class="modal-page">', "<div class=overlay>", '<div class="search-results">',
+]
+
+
+@pytest.mark.parametrize("open_", WRAPPERS)
+@pytest.mark.parametrize("whole", [False, True])
+def test_article_in_a_wrapper_named_like_a_part(open_, whole):
+    close = f"</{re.match('<([a-z]+)', open_)[1]}>"
+    page = open_ + MENU + ARTICLE + FOOT + close if whole else MENU + open_ + ARTICLE + close + FOOT
+    assert html_extract.main_text(page, html_extract.Weights({})) == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<body><p class="comment-policy">We do allow comments.</p></body>', "We do allow comments."),
+        ('<body><p data-class="ad">Text of it.</p></body>', "Text of it."),
+        ("<div>" + "".join(f"<div>word {k}</div>" for k in range(30)) + "</div>", "\n".join(f"word {k}" for k in range(30))),
+        (f"<article><div>By me</div>{ARTICLE}<div>The end</div></article>", f"By me\n{ARTICLE_TEXT}\nThe end"),
+        (f"<div><div>By me</div>{ARTICLE}<div>The end</div></div>", f"By me\n{ARTICLE_TEXT}\nThe end"),
+        ('<p>Some text <span class="ad">Buy now</span>goes on.</p>', "Some text goes on."),
+        (MENU + f"<div>{ARTICLE}</div>" + '<div id="comments">' + '<div class="comment"><p>I do agree with it very much.</p></div>' * 20 + "</div>", ARTICLE_TEXT),
+        (f'<div class="content">{ARTICLE}</div><div class="sidebar-right"><p>{"word " * 60}</p></div>', ARTICLE_TEXT),
+        (MENU + FOOT + '<div class="ad">Buy all of it now</div>', ""),
+        ("<main><p>Some main text.</p><aside><p>Aside words.</p></aside><p>More.</p></main>", "Some main text.\nMore."),
+        ("<header><p>Site</p></header><article><header><h1>Title</h1></header><p>Text here.</p><footer>Share this</footer></article>", "Title\nText here."),
+        ('<p>Text.</p><div style="display:none">Not seen</div><p hidden>nor this</p><p>End.</p>', "Text.\nEnd."),
+        (f'<div>{ARTICLE}</div><div class="siteFooter">All rights are reserved</div><div id="adContainer">Buy</div>', ARTICLE_TEXT),
+        (f"<article>{ARTICLE}" + '<section class="related-posts"><h2>Related</h2><ul><li><a href=x>One more</a></li></ul></section></article>', ARTICLE_TEXT),
+        ("<p>See <a href=x>this page</a> for more.</p>", "See this page for more."),
+        ("<div class=a>" * 20_000 + "deep", "deep"),
+        ("<div class=ad>" * 20_000 + "deep", ""),
+    ],
+)
+def test_parts_and_what_is_none(page, want):
+    assert html_extract.main_text(page, html_extract.Weights({})) == want
+
+
+def test_the_scan_decides(spark, data, monkeypatch):
+    """Clutter without any name goes by the scan alone, and without scans nothing would go."""
+    soup = f"<div><a href=x>Home</a> <a href=y>About</a></div><div>Login</div><div>{ARTICLE}</div><div><a href=z>Next post here</a></div>"
+    weights = html_extract.Weights({})
+    assert html_extract.main_text(soup, weights) == ARTICLE_TEXT
+    monkeypatch.setattr(html_extract, "best_region", lambda scores: (0, len(scores)))
+    assert html_extract.main_text(soup, weights) == f"Home About\nLogin\n{ARTICLE_TEXT}\nNext post here"
+    for r in spark.read.parquet(f"{data}/pages.parquet").limit(20).collect():
+        assert html_extract.main_text(r["html"], weights) != re.search("<article>(.*)", r["html"], re.S)[1]
+
+
+def test_names_are_learnt():
+    """A name that no list has, seen outside the marked content only, speaks against its part; a listed one seen inside does not."""
+    counts: dict = {}
+    page = '<section class="teaser"><p>' + "word " * 40 + "</p></section><article><p>" + "word " * 200 + '</p><section class="widget"><p>' + "word " * 40 + "</p></section></article>"
+    for _ in range(20):
+        html_extract._counts(page, counts)
+    weights = html_extract.Weights({k: tuple(v) for k, v in counts.items()})
+    assert html_extract.main_text(f'{ARTICLE}<div class="teaser"><p>{"word " * 9}</p></div><div class="widget"><p>Some more of it</p></div>', weights) == ARTICLE_TEXT + "\nSome more of it"
+
+
 def test_region():
     assert html_extract.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html_extract.best_region([-1.0, 0.0]) == (0, 0)
