@@ -69,7 +69,7 @@ _ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|aria-label|style|hidden)(
 _HREF = re.compile(r"""(?:^|\s)href\s*=""", re.I)
 _END_RAW = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
 _MARK = re.compile(r"<(/?)(article|main)\b", re.I)
-_ROLE_MAIN = re.compile(r"""<[a-z][^>]*\srole\s*=\s*["']?main\b""", re.I)
+_ROLE_MAIN = re.compile(r"""\srole\s*=\s*["']?main\b""", re.I)
 _CLOSES_P = _BLOCK - {"body", "html"}
 #: Blocks that end at the next of their kind.
 _CLOSES_SAME = frozenset("li dd dt td th tr option".split())
