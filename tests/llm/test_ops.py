@@ -563,6 +563,43 @@ def test_odd_vectors(spark):
     assert ann.nearest(df.filter("vec_id = 1"), F.lit(True)).count() == 0
 
 
+def test_equal_vectors_go_by_id(spark):
+    """More equal vectors in one task than a shortlist holds, in no order of ids."""
+    rows = [(k * 7919 % 2000, [1.0, 2.0]) for k in range(2000)] + [(2000, [1.0, 2.0]), (2001, [0.5, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = ann.nearest(df, F.col("vec_id") == 2000).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(k + 1, k, 5.0) for k in range(20)]
+
+
+def test_shortlist_takes_first_of_equals():
+    rng = np.random.default_rng(2)
+    rough = rng.integers(0, 6, (50, 40)).astype(np.float32)
+    for width in (1, 7, 39, 40, 60):
+        want = [sorted(np.argsort(-r, kind="stable")[:width].tolist()) for r in rough]
+        assert ann.shortlisted(rough, width).tolist() == want
+
+
+def test_recall_on_unclustered_vectors(spark, monkeypatch):
+    """Twenty thousand Gaussian vectors of 64 dimensions, in several blocks of queries."""
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 300)
+    v = np.random.default_rng(9).normal(size=(20_000, 64))
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>").repartition(3)
+    found: dict[int, set[int]] = {}
+    for r in ann.nearest(df, F.col("vec_id") % 40 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(found) == list(range(0, 20_000, 40)) and all(len(x) == 20 for x in found.values())
+    score = v[::40] @ v.T
+    score[np.arange(500), np.arange(0, 20_000, 40)] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    assert sum(len(set(b) & found[40 * k]) for k, b in enumerate(best.tolist())) >= 0.9 * best.size
+
+
+def test_lengths_are_searched_apart(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (20, [3.0]), (2, [5.0]), (3, [1.0, 1.0, 1.0]), (40, [])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0)
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 1, 2.0), (20, 1, 2, 15.0)]
+
+
 def test_beam_is_no_worse_than_greedy():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 16)).astype(np.float32)
