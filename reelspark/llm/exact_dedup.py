@@ -23,7 +23,7 @@ def _rank(n: Column, doc_id: Column) -> Column:
     """Larger for more code points, then for the smaller id: one fixed-width number, so that hash aggregation applies."""
     step = F.lit(_STEP).cast("decimal(38,0)")
     back = F.lit(_MAX).cast("decimal(38,0)") - F.coalesce(doc_id.cast("decimal(38,0)"), F.lit(_MAX).cast("decimal(38,0)"))
-    return (n.cast("decimal(9,0)").cast("decimal(38,0)") * step + back).cast("decimal(38,0)")
+    return (n.cast("decimal(10,0)").cast("decimal(38,0)") * step + back).cast("decimal(38,0)")
 
 
 def _rank_id(rank: Column) -> Column:

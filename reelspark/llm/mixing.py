@@ -42,26 +42,14 @@ def water_fill(sizes: DataFrame, max_epochs: int = 3) -> DataFrame:
     return out.withColumn("target", target).select("source", "weight", "source_size", "target")
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[int] = (5, 2, 1),
-    max_epochs: int = 3,
-    seed: str = "mix-1",
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, repeats.
+#: Copies of a row that are written out together.
+COPIES = 65_536
 
-    Sources in code point order, null last, take ``weights`` in turn. A source whose target is r
-    times its size takes every document floor(r) times; the fraction left is a budget of words,
-    spent on documents in the order of a seeded hash: a document is taken once more if its middle
-    word lies inside the budget, so a source misses its target by at most half a document.
-    Ranks inside a source come from sums over hash ranges, so no task ranks a whole source.
 
-    Null texts have size 0 and take nothing; a null source is a source of its own, an empty one
-    another. Equal ids order by size; repeated rows count as documents of their own. A source
-    without words has target 0. Other columns are not read. Empty in, empty out.
+def _decided(docs: DataFrame, weights: Sequence[int], max_epochs: int, seed: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """source, doc_id, size, copies, source_size, target, whole, more: rows that agree in the first three, and how often they are taken.
+
+    Each is taken ``whole`` times, and ``more`` of the copies once more.
     """
     rows = scratch.written(
         docs.select(
@@ -76,39 +64,90 @@ def mix(
     pick = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.pmod(nth, F.lit(len(weights))) + 1).cast("int"))
     targets = water_fill(sizes.withColumn("weight", pick.cast("long")), max_epochs)
 
+    # Repeated rows become one before any are ranked, so an id that very many rows share, or none, fills no window.
+    groups = rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("copies"))
     key = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    hashed = rows.withColumn("key", key).withColumn("range", F.substring("key", 1, len(f"{HASH_RANGES - 1:x}")))
-    ranges = hashed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    hashed = groups.withColumn("key", key).withColumn("range", F.substring("key", 1, len(f"{HASH_RANGES - 1:x}")))
+    words = F.col("size") * F.col("copies")
+    ranges = hashed.groupBy("source", "range").agg(F.sum(words).alias("range_size"))
     upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(upto), F.lit(0)))
-        .join(targets, ranges["source"].eqNullSafe(targets["source"]))
-        .select(ranges["source"], "range", "range_start", "source_size", "target")
-    )
-    inside = Window.partitionBy(hashed["source"], hashed["range"]).orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    targets = targets.select(F.col("source").alias("own_source"), "source_size", "target")
+    ranges = ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(upto), F.lit(0))).join(targets, F.col("source").eqNullSafe(F.col("own_source")))
+    ranges = ranges.select("own_source", F.col("range").alias("own_range"), "range_start", "source_size", "target")
+    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     whole = F.floor(F.col("target") / F.col("source_size"))
     budget = F.col("target") - whole * F.col("source_size")
-    placed = hashed.join(ranges, hashed["source"].eqNullSafe(ranges["source"]) & (hashed["range"] == ranges["range"])).withColumn(
-        "start", F.col("range_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    )
-    once_more = (2 * F.col("start") + F.col("size")).cast("double") < 2 * budget
-    repeats = F.when(F.col("source_size") > 0, (whole + once_more.cast("int")).cast("long")).otherwise(F.lit(0).cast("long"))
-    return placed.withColumn("repeats", repeats).select(
-        "doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).alias("taken"), "repeats"
-    )
+    placed = hashed.join(ranges, F.col("source").eqNullSafe(F.col("own_source")) & (F.col("range") == F.col("own_range")))
+    placed = placed.withColumn("start", F.col("range_start") + F.coalesce(F.sum(words).over(inside), F.lit(0)))
+    # Copy k (from 0) begins k sizes after the first; its middle word lies inside the budget if 2 (start + k size) + size < 2 budget.
+    first = (2 * F.col("start") + F.col("size")).cast("double")
+    fitting = F.ceil((2 * budget - first) / (2 * F.col("size")).cast("double"))
+    more = F.when(~(first < 2 * budget), F.lit(0)).when((F.col("copies") == 1) | (F.col("size") == 0), F.col("copies"))
+    more = more.otherwise(F.least(F.col("copies"), F.greatest(F.lit(1), fitting)))
+    some = F.col("source_size") > 0
+    return placed.select(
+        "source", "doc_id", "size", "copies", "source_size", "target",
+        F.when(some, whole).otherwise(F.lit(0)).cast("long").alias("whole"), F.when(some, more).otherwise(F.lit(0)).cast("long").alias("more"),
+    )
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = (5, 2, 1),
+    max_epochs: int = 3,
+    seed: str = "mix-1",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, repeats.
+
+    Sources in code point order, null last, take ``weights`` in turn. A source whose target is r
+    times its size takes every document floor(r) times; the fraction left is a budget of words,
+    spent on documents in the order of a seeded hash: a document is taken once more if its middle
+    word lies inside the budget, so a source misses its target by at most half a document.
+    Ranks inside a source come from sums over hash ranges, so no task ranks a whole source.
+
+    Null texts have size 0 and take nothing; a null source is a source of its own, an empty one
+    another. Equal ids order by size; repeated rows count as documents of their own and are
+    written out from their number, ``COPIES`` at a time. A source
+    without words has target 0. Other columns are not read. Empty in, empty out.
+    """
+    found = _decided(docs, weights, max_epochs, seed, id_col, text_col, source_col)
+    bundle = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("bundle")
+    bundles = found.select("*", bundle)
+    copy = F.explode(F.sequence(F.col("bundle"), F.least(F.col("copies"), F.col("bundle") + COPIES) - 1)).alias("copy")
+    repeats = F.col("whole") + (F.col("copy") < F.col("more")).cast("long")
+    rows = bundles.select("*", copy).withColumn("repeats", repeats)
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).alias("taken"), "repeats")
 
 
-def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:
+def repeat_by_mix(
+    docs: DataFrame,
+    weights: Sequence[int] = (5, 2, 1),
+    max_epochs: int = 3,
+    seed: str = "mix-1",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
     """``docs`` with every row as often as ``mix`` takes it, columns unchanged; rows taken 0 times go.
 
-    Rows of equal id and size share the smallest of their decisions.
+    Of several rows that agree in id, size and source the ones taken once more are those whose texts
+    hash below the share; equal texts among them share one decision.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    found = mix(docs, **options).groupBy("doc_id", "size").agg(F.min("repeats").alias("repeats")).filter("repeats > 0")
-    found = found.select(F.col("doc_id").alias("__mix_id"), F.col("size").alias("__mix_size"), F.col("repeats").alias("__mix_repeats"))
-    same = docs[id_col].cast("long").eqNullSafe(found["__mix_id"]) & (n_words(docs[text_col]) == found["__mix_size"])
+    found = _decided(docs, weights, max_epochs, seed, id_col, text_col, source_col).filter("whole + more > 0")
+    found = found.select(*[F.col(c).alias(f"__mix_{c}") for c in ("source", "doc_id", "size", "copies", "whole", "more")])
+    same = (
+        docs[id_col].cast("long").eqNullSafe(found["__mix_doc_id"])
+        & docs[source_col].cast("string").eqNullSafe(found["__mix_source"])
+        & (n_words(docs[text_col]) == found["__mix_size"])
+    )
+    below = F.pmod(F.xxhash64(docs[text_col].cast("string"), F.lit(seed)), F.lit(1_000_000)) * F.col("__mix_copies") < F.col("__mix_more") * 1_000_000
+    repeats = F.col("__mix_whole") + ((F.col("__mix_more") == F.col("__mix_copies")) | below).cast("long")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_repeats"))).alias("__mix_time")
-    return docs.join(found, same).select(*[docs[c] for c in docs.columns], times).drop("__mix_time")
+    taken = docs.join(found, same).withColumn("__mix_repeats", repeats).filter("__mix_repeats > 0")
+    return taken.select(*[docs[c] for c in docs.columns], times).drop("__mix_time")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from reelspark.llm.tokens import TokenEncoder, vocabulary_path
 SHARD_PIECES = 50_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+_NUMBER = "task int, number long"
 
 
 class OpenBins:
@@ -77,7 +79,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], l
 
 
 def pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token pieces of every document: doc_id, piece, start, length, ids_crc32.
+    """Token pieces of every document: doc_id, piece, start, length, ids_crc32; and the task that cut it, with a running number there.
 
     A document is its ids and then ``end_id``; only one longer than ``capacity`` is cut, into full
     pieces and a last one that may be shorter. The sum is that of the ids as little-endian unsigned
@@ -87,7 +89,7 @@ def pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: s
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenEncoder(path)
+        encoder, task, count = TokenEncoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, numbers, starts, lengths, sums = [], [], [], [], []
             for doc_id, data in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1)), strict=True):
@@ -99,19 +101,22 @@ def pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: s
                     starts.append(start // 4)
                     lengths.append(len(part) // 4)
                     sums.append(zlib.crc32(part))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((ids, numbers, starts, lengths, sums), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            columns = (ids, numbers, starts, lengths, sums, [task] * len(ids), range(count, count + len(ids)))
+            count += len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32", "task", "number"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("data"))
-    return rows.mapInArrow(cut, _PIECES)
+    return rows.mapInArrow(cut, f"{_PIECES}, {_NUMBER}")
 
 
 def pack(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Pieces of every document with their places: adds sequence_id and offset.
 
-    Pieces are dealt by hash into shards of about ``shard_pieces``, so every shard has the same mix
-    of lengths, and each shard is packed by best-fit decreasing. No task holds more than a shard,
-    whatever the input; against one packing of everything this costs at most the few part-filled
+    Pieces are written, then dealt into shards of about ``shard_pieces`` by a hash of the task that
+    cut them and their number there, so every shard has the same mix of lengths and repeated rows
+    spread like all others. Each shard is packed by best-fit decreasing; no task holds much more than a shard,
+    whatever the input. Against one packing of everything this costs at most the few part-filled
     sequences that end each shard. Places are gapless from 0.
 
     Null and empty texts are a document of ``end_id`` alone. Null ids are kept and sort first;
@@ -127,8 +132,8 @@ def pack(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: str
         number = part["shard"].iloc[0] * (1 << 32) + pd.Series(where, index=part.index, dtype="int64")
         return part.drop(columns="shard").assign(sequence_id=number, offset=pd.Series(offsets, index=part.index, dtype="int64"))
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
-    return cut.withColumn("shard", shard).groupBy("shard").applyInPandas(place, f"{_PIECES}, sequence_id long, offset long")
+    shard = F.pmod(F.xxhash64("task", "number"), F.lit(shards))
+    return cut.withColumn("shard", shard).drop("task", "number").groupBy("shard").applyInPandas(place, f"{_PIECES}, sequence_id long, offset long")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

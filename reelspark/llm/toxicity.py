@@ -191,8 +191,13 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_co
     hashed = F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(1_000_000))
     own = own.filter(hashed < int(share * 1_000_000)) if share < 1 else own
     sample = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).cast("string").cast("binary").alias("data"))
-    # Bounded by max_labelled, so it may be broadcast.
-    sample = sample.join(F.broadcast(own), "label_id").withColumn("fold", F.pmod(F.xxhash64("label_id", F.lit(11)), F.lit(FOLDS)).cast("int"))
+    own = F.broadcast(own)  # bounded by max_labelled
+    # An id may stand on very many rows: they are thinned by a hash of id and text, and equal ones become one.
+    rows = docs.select(F.col(id_col).cast("long").alias("label_id")).join(own, "label_id").count()
+    sample = sample.join(own, "label_id").withColumn("hash", F.xxhash64("label_id", "data"))
+    if rows > max_labelled:
+        sample = sample.filter(F.pmod("hash", F.lit(1_000_000)) < int(max_labelled / rows * 1_000_000))
+    sample = sample.dropDuplicates(["label_id", "hash"]).withColumn("fold", F.pmod(F.xxhash64("label_id", F.lit(11)), F.lit(FOLDS)).cast("int"))
     columns = ["label_id", "data", *[f"y{k}" for k in range(len(names))], "fold"]
     sample = scratch.written(sample.select(*columns), "toxicity-sample")
 

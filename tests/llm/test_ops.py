@@ -124,6 +124,27 @@ def test_mix(spark, data):
     assert repeated.columns == docs.columns and repeated.count() == sum(r[-1] for r in first)
 
 
+def test_mix_of_rows_loaded_many_times(spark):
+    """Thousands of rows without an id, or with one, among others: as if ranked one by one, in no large window."""
+    rows = [(None, "s", "a b c")] * 3000 + [(7, "s", "a b")] * 2000 + [(k, "t", "x " * (k % 9 + 1)) for k in range(100, 600)] + [(None, "t", "")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7)
+    got = mixing.mix(df, weights=(3, 5)).collect()
+    assert len(got) == len(rows)
+    one = {r["size"]: (r["source_size"], r["target"]) for r in got if r["doc_id"] is None and r["size"] or r["doc_id"] == 7}
+    (source_size, target), = set(one.values())
+    key = lambda i: hashlib.md5(f"mix-1/{'null' if i is None else i}".encode()).hexdigest()
+    order = sorted([(key(i), 3 if i is None else 2) for i, s, _ in rows if s == "s"])
+    whole, start, want = int(target // source_size), 0, []
+    budget = target - whole * source_size
+    for _, size in order:
+        want.append((size, whole + (2 * start + size < 2 * budget)))
+        start += size
+    assert sorted((r["size"], r["repeats"]) for r in got if r["source_size"] == source_size) == sorted(want)
+    repeated = mixing.repeat_by_mix(df, weights=(3, 5))
+    assert repeated.columns == df.columns
+    assert repeated.filter("source = 't'").count() == sum(r["repeats"] for r in got if r["source_size"] != source_size)
+
+
 # --- lines
 
 
@@ -318,6 +339,20 @@ def test_pack(spark):
     assert packing.pack(empty_docs(spark)).count() == 0
 
 
+def test_repeated_rows_are_dealt_to_all_shards(spark):
+    """Two thousand rows of no id and one text: no shard gets much more than its share, and all are packed."""
+    df = spark.createDataFrame([(None, "one text for all")] * 2000, "doc_id long, text string").repartition(4)
+    got = packing.pack(df, capacity=64, shard_pieces=100).collect()
+    length = got[0]["length"]
+    shards: dict[int, int] = {}
+    for r in got:
+        shards[r["sequence_id"] >> 32] = shards.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(got) == 2000 and len(shards) == 20 and max(shards.values()) < 160
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 2000
+    # The cost of sharding: at most a part-filled sequence a shard more than one packing of all.
+    assert len({r["sequence_id"] for r in got}) <= -(-2000 // (64 // length)) + len(shards)
+
+
 def test_best_fit_takes_the_tightest():
     rng = random.Random(6)
     lengths = sorted((rng.randrange(1, 101) for _ in range(600)), reverse=True)
