@@ -137,17 +137,26 @@ def _z_scores(counts: np.ndarray, positives: np.ndarray, total: int, total_posit
     return np.where(counts >= MIN_DOCS, np.sign(rate - base) * np.sqrt(2 * np.maximum(gain, 0)), 0.0)
 
 
-def fit_chain(features: np.ndarray, tally: np.ndarray, fold: np.ndarray, y: np.ndarray, present: np.ndarray, categories: list[str]) -> Chain:
-    """``tally``: per feature, fold and (documents, positives per category); ``present``: documents x features, 0/1."""
-    per_fold = np.array([[np.sum(fold == k), *y[fold == k].sum(axis=0)] for k in range(FOLDS)]).reshape(FOLDS, -1)
+def _chosen(tally: np.ndarray, per_fold: np.ndarray) -> dict[tuple[int | None, int], np.ndarray]:
+    """For each fold left out, and for none, and each category: the places of its best features, best first."""
     use = {}
     for left_out in (*range(FOLDS), None):
         ks = [k for k in range(FOLDS) if k != left_out]
         seen, docs = tally[:, ks].sum(axis=1), per_fold[ks].sum(axis=0)
-        for c in range(len(categories)):
-            z = np.abs(_z_scores(seen[:, 0], seen[:, c + 1], docs[0], docs[c + 1])) if len(features) else np.zeros(0)
+        for c in range(tally.shape[2] - 1):
+            z = np.abs(_z_scores(seen[:, 0], seen[:, c + 1], docs[0], docs[c + 1]))
             best = np.argsort(-z, kind="stable")[:MAX_FEATURES]
             use[left_out, c] = best[z[best] >= MIN_Z]
+    return use
+
+
+def fit_chain(features: np.ndarray, tally: np.ndarray, fold: np.ndarray, y: np.ndarray, present: np.ndarray, categories: list[str]) -> Chain:
+    """``tally``: per feature, fold and (documents, positives per category); ``present``: documents x features, 0/1.
+
+    A fold's predictions come from features chosen, and models fitted, on the other folds alone.
+    """
+    per_fold = np.array([[np.sum(fold == k), *y[fold == k].sum(axis=0)] for k in range(FOLDS)]).reshape(FOLDS, -1)
+    use = _chosen(tally, per_fold)
     models, thresholds, before = [], [], np.zeros((len(y), 0), np.float32)
     for c in range(len(categories)):
         outside = np.zeros(len(y))
@@ -163,7 +172,10 @@ def fit_chain(features: np.ndarray, tally: np.ndarray, fold: np.ndarray, y: np.n
         models.append(Linear(weights, m.bias))
         thresholds.append(best_threshold(outside, y[:, c]))
         before = np.hstack([before, _logit(outside)[:, None]])
-    return Chain(categories, features, models, thresholds)
+    # Features that only a fold had chosen weigh nothing in the models of all folds.
+    used = np.unique(np.concatenate([use[None, c] for c in range(len(categories))])) if categories else np.zeros(0, int)
+    models = [Linear(np.concatenate([m.weights[: len(features)][used], m.weights[len(features) :]]), m.bias) for m in models]
+    return Chain(categories, features[used], models, thresholds)
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -219,31 +231,27 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_co
     def count(part: pd.DataFrame) -> pd.DataFrame:
         feature = np.frombuffer(b"".join(part["features"]), _U)
         code = np.frombuffer(b"".join(part["codes"]), np.uint32)
-        names_, at, docs_ = np.unique(feature, return_inverse=True, return_counts=True)
-        enough = docs_ >= MIN_DOCS
+        names_, at = np.unique(feature, return_inverse=True)
         tally = np.zeros((len(names_), FOLDS, 1 + len(names)), np.int64)
         fold_ = (code & 7).astype(np.int64)
         np.add.at(tally, (at, fold_, 0), 1)
         for k in range(len(names)):
             np.add.at(tally, (at, fold_, k + 1), ((code >> (3 + k)) & 1).astype(np.int64))
-        sums = tally.sum(axis=1)
-        totals = part["totals"].iloc[0]
-        best = np.zeros(len(names_))
-        for k in range(len(names)):
-            best = np.maximum(best, np.abs(_z_scores(sums[:, 0], sums[:, k + 1], totals[0], totals[k + 1])))
-        keep = np.flatnonzero(enough & (best >= MIN_Z))
-        keep = keep[np.argsort(-best[keep], kind="stable")[: 2 * MAX_FEATURES]]
-        return pd.DataFrame({"feature": names_[keep].astype(np.int64), "tally": pd.Series([t.ravel().tolist() for t in tally[keep]], dtype=object), "z": best[keep]})
-
-    sums = sample.agg(F.count(F.lit(1)), *[F.sum(f"y{k}") for k in range(len(names))]).first()
-    totals = [int(x or 0) for x in sums]
-    dealt = sample.mapInArrow(deal, "bin int, features binary, codes binary").withColumn("totals", F.array(*[F.lit(t) for t in totals]))
-    counted = dealt.groupBy("bin").applyInPandas(count, "feature long, tally array<long>, z double")
-    got = counted.orderBy(F.col("z").desc(), "feature").limit(2 * MAX_FEATURES).collect()  # bounded
+        # What any fold or all of them might choose; which of it they do is decided when all bins are together.
+        found = _chosen(tally, np.array(per_fold))
+        keep = np.unique(np.concatenate([*found.values(), np.zeros(0, int)]))
+        return pd.DataFrame({"feature": names_[keep].astype(np.int64), "tally": pd.Series([t.ravel().tolist() for t in tally[keep]], dtype=object)})
+
+    sums = {r["fold"]: [int(x or 0) for x in r[1:]] for r in sample.groupBy("fold").agg(F.count(F.lit(1)), *[F.sum(f"y{k}") for k in range(len(names))]).collect()}
+    per_fold = [sums.get(k, [0] * (1 + len(names))) for k in range(FOLDS)]
+    dealt = sample.mapInArrow(deal, "bin int, features binary, codes binary")
+    got = dealt.groupBy("bin").applyInPandas(count, "feature long, tally array<long>").collect()  # bounded: folds, categories and bins times MAX_FEATURES
     features = np.array([r["feature"] for r in got], np.int64).astype(_U)
     order = np.argsort(features)
     features = features[order]
     tally = np.array([got[k]["tally"] for k in order], np.int64).reshape(len(got), FOLDS, 1 + len(names))
+    chosen = np.unique(np.concatenate([*_chosen(tally, np.array(per_fold)).values(), np.zeros(0, int)]))
+    features, tally = features[chosen], tally[chosen]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

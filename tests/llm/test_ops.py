@@ -379,6 +379,77 @@ def test_toxicity_on_held_out_rows(spark):
     assert n.get((0, 1), 0) / (n[0, 0] + n.get((0, 1), 0)) < 0.01
 
 
+def test_linear_models_are_at_their_optimum():
+    """The gradient of the penalised likelihood vanishes, so the fit is the one that any method gives."""
+    rng = np.random.default_rng(4)
+    x = (rng.random((400, 12)) < 0.3).astype(np.float32)
+    y = (rng.random(400) < 1 / (1 + np.exp(-(2 * x[:, 0] - 3 * x[:, 1])))).astype(float)
+    m = toxicity.fit_linear(x, y, penalty=1.0, steps=3000)
+    error = m.probability(x) - y
+    assert np.abs((x.T @ error + m.weights) / len(y)).max() < 1e-3 and abs(error.mean()) < 1e-3
+    assert m.weights[0] > 1 and m.weights[1] < -1
+
+
+def test_chain_against_a_plain_loop(monkeypatch):
+    """Features of a fold's models are chosen without that fold, and later categories see its out-of-fold logits."""
+    monkeypatch.setattr(toxicity, "MAX_FEATURES", 9)
+    monkeypatch.setattr(toxicity, "MIN_Z", 1.5)
+    rng = np.random.default_rng(8)
+    n, width, folds = 300, 40, toxicity.FOLDS
+    present = (rng.random((n, width)) < 0.25).astype(np.float32)
+    first = rng.random(n) < 1 / (1 + np.exp(-(2 * present[:, 0] + 2 * present[:, 1] - 1)))
+    second = rng.random(n) < 1 / (1 + np.exp(-(3 * first + 2 * present[:, 2] - 3)))
+    y, fold = np.stack([first, second], axis=1).astype(float), rng.integers(0, folds, n)
+    tally = np.zeros((width, folds, 3), np.int64)
+    for d in range(n):
+        for f in np.flatnonzero(present[d]):
+            tally[f, fold[d]] += [1, int(y[d, 0]), int(y[d, 1])]
+    chain = toxicity.fit_chain(np.arange(width).astype(np.uint64), tally, fold, y, present, ["first", "second"])
+
+    def best(rows, c):
+        scored = []
+        for f in range(width):
+            has = [d for d in rows if present[d, f]]
+            k, m = sum(y[d, c] for d in has), len(has)
+            base = sum(y[d, c] for d in rows) / len(rows)
+            gain = (k * np.log(k / m / base) if k else 0) + ((m - k) * np.log((1 - k / m) / (1 - base)) if k < m else 0)
+            z = np.sqrt(2 * max(gain, 0)) if m >= toxicity.MIN_DOCS else 0
+            scored.append((-z, f))
+        return [f for z, f in sorted(scored)[:9] if -z >= 1.5]
+
+    before, models = np.zeros((n, 0), np.float32), []
+    for c in range(2):
+        outside = np.zeros(n)
+        for k in range(folds):
+            train, held = [d for d in range(n) if fold[d] != k], [d for d in range(n) if fold[d] == k]
+            cols = best(train, c)
+            m = toxicity.fit_linear(np.hstack([present[train][:, cols], before[train]]), y[train, c])
+            outside[held] = m.probability(np.hstack([present[held][:, cols], before[held]]))
+        cols = best(range(n), c)
+        models.append((cols, toxicity.fit_linear(np.hstack([present[:, cols], before]), y[:, c])))
+        assert chain.thresholds[c] == pytest.approx(toxicity.best_threshold(outside, y[:, c]), abs=1e-5)
+        before = np.hstack([before, toxicity._logit(outside)[:, None]])
+    p0 = models[0][1].probability(present[:, models[0][0]])
+    p1 = models[1][1].probability(np.hstack([present[:, models[1][0]], toxicity._logit(p0)[:, None]]))
+    got = chain.probabilities(present[:, chain.features.astype(int)])
+    assert got == pytest.approx(np.stack([p0, p1], axis=1), abs=1e-4)
+
+
+def test_fitting_stays_bounded_on_repeated_rows(spark):
+    """Forty thousand rows of one labelled id, half of them equal, and a bound of a thousand."""
+    docs = spark.range(40_000).select(F.lit(1).alias("doc_id"), F.when(F.col("id") < 20_000, F.lit("same words")).otherwise(F.concat(F.lit("word "), F.col("id").cast("string"))).alias("text"))
+    docs = docs.union(spark.range(2, 300).select(F.col("id").cast("int"), F.concat(F.lit("clean text "), F.col("id").cast("string"))))
+    labels = spark.range(1, 300).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") == 1).cast("int").alias("toxic"))
+    seen = []
+    keep = toxicity.fit_chain
+    toxicity.fit_chain = lambda *a: (seen.append(len(a[3])), keep(*a))[1]
+    try:
+        toxicity.fit(docs, labels, toxicity.default_categories(), max_labelled=1000)
+    finally:
+        toxicity.fit_chain = keep
+    assert 0 < seen[0] < 1200
+
+
 def test_toxicity_of_odd_rows(spark):
     docs, none = odd_docs(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = spark.createDataFrame([(1, 1, 1), (1, None, None), (6, 1, 0), (None, 1, 1), (99, 0, 1)], none.schema)
