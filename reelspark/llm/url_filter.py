@@ -11,12 +11,16 @@ from reelspark import scratch
 
 #: (rule, verdict); a rule is a host and the beginning of a path. Fixed values of the query op1.
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
-DAMPING, ROUNDS = 0.85, 15
-#: Weight of the edges between a host and the domain above it, against 1 for a page that links.
-DOMAIN_WEIGHT = 0.25
+#: Share of a host's trust that its links pass on; and what all hosts together may differ by between two tables when it ends (both start at 1).
+DAMPING, TOLERANCE = 0.85, 1e-4
+#: Rounds between two tables in the shared folder.
+ROUNDS_A_TABLE = 5
 #: A host is blocked if more than this share of its trust and distrust is distrust.
 BLOCK_SHARE = 0.5
 
+_HREF = r"""[^<>]*?(?<![\w-])href\s*=\s*["']?\s*([^"'<>\s]+)"""
+_LINK, _BASE = r"(?i)<(?:a|area)\s" + _HREF, r"(?i)<base\s" + _HREF
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,27 +48,36 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def _host_of_link(link: Column, base: Column) -> Column:
+    """Host that a link leads to: its own after a scheme or ``//``; ``base`` of relative ones; empty for other schemes and fragments."""
+    absolute = link.rlike(r"(?i)^[a-z][a-z0-9+.-]*://")
+    other = link.rlike(r"(?i)^(?:[a-z][a-z0-9+.-]*:|#)")
+    return F.when(absolute, host_of(link)).when(link.startswith("//"), host_of(F.concat(F.lit("x:"), link))).when(other, F.lit("")).otherwise(base)
+
+
 def host_edges(pages: DataFrame, host: Column, html: Column) -> DataFrame:
-    """(src, dst, weight): pages of src that link to dst, and weak edges both ways between a host and the domain above it."""
-    link = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'>\s]+)"""), F.lit(1))
-    linked = pages.filter(host != "").select(host.alias("src"), F.explode(F.array_distinct(F.transform(link, host_of))).alias("dst"))
-    linked = linked.filter((F.col("dst") != "") & (F.col("dst") != F.col("src"))).groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    hosts = pages.select(host.alias("h")).filter("h <> ''").distinct()
-    labels = F.split("h", r"\.")
-    above = hosts.select("h", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 2, F.lit(1))), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).alias("low"))
-    above = above.withColumn("high", F.expr("substring(low, instr(low, '.') + 1)")).filter("instr(low, '.') > 0 AND instr(high, '.') > 0").select("low", "high").distinct()
-    both = above.select(F.col("low").alias("src"), F.col("high").alias("dst")).union(above.select("high", "low")).withColumn("weight", F.lit(DOMAIN_WEIGHT))
-    return linked.unionByName(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
-
-
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+    """(src, dst, weight): how many pages of src link to another host dst, by ``a`` or ``area`` elements.
+
+    Links are absolute, protocol-relative, or relative to a ``base`` on another host.
+    """
+    text = F.coalesce(html, F.lit(""))
+    base = _host_of_link(F.regexp_extract(text, _BASE, 1), F.lit(""))
+    rows = pages.select(host.alias("src"), base.alias("base"), F.array_distinct(F.regexp_extract_all(text, F.lit(_LINK), F.lit(1))).alias("links")).filter("src <> ''")
+    hosts = F.array_distinct(F.transform("links", lambda link: _host_of_link(link, F.col("base"))))
+    linked = rows.select("src", F.explode(hosts).alias("dst")).filter("dst <> '' AND dst <> src")
+    return linked.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust): personalised PageRank from ``seeds`` (host, trusted, blocked).
 
     Trust starts at the trusted seeds and follows links; distrust starts at the blocked seeds and
     follows links backwards, to those who link there. What reaches a host without further edges
-    ends there. Both move in one pass; sums are combined in the map tasks,
-    so a host with very many links moves one row a task. Every fifth round is a table in the
-    shared folder.
+    ends there. Both move in one pass; sums are combined in the map tasks, so a host with very many
+    links moves one row a task. Every ``ROUNDS_A_TABLE`` rounds are a table in the shared folder; it
+    ends when two such tables differ by at most ``tolerance`` over all hosts together, or after ``rounds``.
+    What hosts still miss then is less than ``tolerance`` in all, since each round moves at most
+    ``damping`` times what the one before moved.
     """
     nodes = edges.select(F.col("src").alias("host")).union(edges.select("dst")).union(seeds.select("host")).distinct()
     totals = seeds.agg(F.sum("trusted"), F.sum("blocked")).first()
@@ -81,20 +94,28 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
     back = edges.select(F.col("dst").alias("from"), F.col("src").alias("to"), "weight", F.lit(False).alias("forward"))
     moves = scratch.written(ahead.union(back), "url-moves")
     rank = start.withColumn("trust", F.col("trust0")).withColumn("distrust", F.col("distrust0"))
-    for k in range(rounds):
-        sent = moves.join(rank.select(F.col("host").alias("from"), "trust", "distrust", "out_weight", "in_weight"), "from")
-        got = sent.groupBy(F.col("to").alias("host")).agg(
-            F.sum(F.when(F.col("forward"), F.col("trust") * F.col("weight") / F.col("out_weight"))).alias("t"),
-            F.sum(F.when(~F.col("forward"), F.col("distrust") * F.col("weight") / F.col("in_weight"))).alias("d"),
-        )
-        new = start.join(got, "host", "left").select(start["*"], F.coalesce("t", F.lit(0.0)).alias("t"), F.coalesce("d", F.lit(0.0)).alias("d"))
-        rank = new.select(
-            *start.columns,
-            (F.lit(damping) * F.col("t") + F.lit(1 - damping) * F.col("trust0")).alias("trust"),
-            (F.lit(damping) * F.col("d") + F.lit(1 - damping) * F.col("distrust0")).alias("distrust"),
-        )
-        if k % 5 == 4 or k == rounds - 1:
-            rank = scratch.written(rank, "url-rank")
+    done = 0
+    while rounds is None or done < rounds:
+        step, before = ROUNDS_A_TABLE if rounds is None else min(ROUNDS_A_TABLE, rounds - done), rank
+        for _ in range(step):
+            sent = moves.join(rank.select(F.col("host").alias("from"), "trust", "distrust", "out_weight", "in_weight"), "from")
+            got = sent.groupBy(F.col("to").alias("host")).agg(
+                F.sum(F.when(F.col("forward"), F.col("trust") * F.col("weight") / F.col("out_weight"))).alias("t"),
+                F.sum(F.when(~F.col("forward"), F.col("distrust") * F.col("weight") / F.col("in_weight"))).alias("d"),
+            )
+            new = start.join(got, "host", "left").select(start["*"], F.coalesce("t", F.lit(0.0)).alias("t"), F.coalesce("d", F.lit(0.0)).alias("d"))
+            rank = new.select(
+                *start.columns,
+                (F.lit(damping) * F.col("t") + F.lit(1 - damping) * F.col("trust0")).alias("trust"),
+                (F.lit(damping) * F.col("d") + F.lit(1 - damping) * F.col("distrust0")).alias("distrust"),
+            )
+        rank = scratch.written(rank, "url-rank")
+        done += step
+        if rounds is None:
+            old = before.select("host", F.col("trust").alias("old_trust"), F.col("distrust").alias("old_distrust"))
+            change = F.abs(F.col("trust") - F.col("old_trust")) + F.abs(F.col("distrust") - F.col("old_distrust"))
+            if (rank.join(old, "host").agg(F.sum(change)).first()[0] or 0.0) <= tolerance:
+                break
     return rank.select("host", "trust", "distrust")
 
 

@@ -617,6 +617,49 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.filter("false")).count() == 0
 
 
+def test_links_of_all_kinds(spark):
+    links = '<A class=x HREF="http://Abs.org/1"><a href=//rel.org/x?y><area href=\'https://area.org\'><a href="/own"><a href="mailto:a@mail.org"><a href="#top"><a data-href="http://no.org/"><link href="http://css.org/">'
+    rows = [(1, "http://src.org/a", links), (2, "http://src.org/b", '<a href="http://abs.org/2">'), (3, "http://based.org/", '<base href="//there.org/x/"><a href="y"><a href="z">'), (4, "http://own.org/", '<base href="/x/"><a href="y">'), (5, "http://n.org", None), (6, None, links)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = url_filter.host_edges(df, url_filter.host_of(F.col("url")), F.col("html")).collect()
+    assert {(r["src"], r["dst"]): r["weight"] for r in got} == {("src.org", "abs.org"): 2.0, ("src.org", "rel.org"): 1.0, ("src.org", "area.org"): 1.0, ("based.org", "there.org"): 1.0}
+
+
+def test_verdicts_on_a_planted_graph(spark):
+    """Hosts of one domain differ by who links where; all verdicts equal a plain loop run to its fixed point."""
+    rng = random.Random(11)
+    hosts = [f"h{k}.one.edu" for k in range(24)] + ["good.net", "bad.org", "mixed.com", "far.edu", "alone.edu"]
+    linked = {(a, b) for a in hosts[:24] for b in rng.sample(hosts[:24], 2) if a != b}
+    linked |= {("good.net", h) for h in hosts[:6]} | {(h, "bad.org") for h in hosts[14:20]} | {("mixed.com", "h3.one.edu"), ("h7.one.edu", "mixed.com"), ("far.edu", "h15.one.edu")}
+    pages = [(k, f"http://{h}/x/{k}", "".join(f'<a href="http://{b}/">' for a, b in sorted(linked) if a == h)) for k, h in enumerate(hosts)]
+    pages += [(100, "http://good.net/de/1", ""), (101, "http://bad.org/es/1", ""), (102, "http://bad.org/es/2", ""), (103, "http://mixed.com/en/1", "")]
+    got = {r["page_id"]: r for r in url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+
+    trusted = {"good.net": 1 / 2}
+    blocked = {"bad.org": 2 / 3, "mixed.com": 1 / 2}
+    start = {h: (trusted.get(h, 0) / sum(trusted.values()), blocked.get(h, 0) / sum(blocked.values())) for h in hosts}
+    out, into = {h: sum(a == h for a, _ in linked) for h in hosts}, {h: sum(b == h for _, b in linked) for h in hosts}
+    trust, distrust = {h: start[h][0] for h in hosts}, {h: start[h][1] for h in hosts}
+    for _ in range(300):
+        t = {h: 0.15 * start[h][0] + 0.85 * sum(trust[a] / out[a] for a, b in linked if b == h) for h in hosts}
+        distrust = {h: 0.15 * start[h][1] + 0.85 * sum(distrust[b] / into[b] for a, b in linked if a == h) for h in hosts}
+        trust = t
+    verdicts = {h: "block" if distrust[h] > (trust[h] + distrust[h]) / 2 else "allow" for h in hosts}
+    assert {h: got[k]["verdict"] for k, h in enumerate(hosts)} == verdicts
+    assert {verdicts[h] for h in hosts[:24]} == {"allow", "block"} and verdicts["far.edu"] == "block" and verdicts["alone.edu"] == "allow"
+    for k, h in enumerate(hosts):
+        assert got[k]["trust"] == pytest.approx(trust[h], abs=1e-3) and got[k]["distrust"] == pytest.approx(distrust[h], abs=1e-3)
+
+
+def test_spreading_ends_when_it_has_settled(spark):
+    """Along a chain of forty hosts distrust reaches the first, and a graph without edges ends at once."""
+    edges = spark.createDataFrame([(f"n{k:02d}", f"n{k + 1:02d}", 1.0) for k in range(40)], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("n40", 0.0, 1.0)], "host string, trusted double, blocked double")
+    got = {r["host"]: r["distrust"] for r in url_filter.spread(edges, seeds).collect()}
+    assert all(got[f"n{k:02d}"] == pytest.approx(0.15 * 0.85 ** (40 - k), rel=1e-6) for k in range(41))
+    assert [tuple(r) for r in url_filter.spread(edges.filter("false"), seeds).collect()] == [("n40", 0.0, pytest.approx(0.15))]
+
+
 def test_rank_spreads_as_by_hand(spark):
     edges = [("a", "b", 1.0), ("b", "c", 2.0), ("b", "a", 1.0), ("c", "a", 1.0), ("d", "c", 1.0)]
     seeds = {"a": (1.0, 0.0), "c": (0.0, 0.5), "e": (0.5, 0.5)}
