@@ -16,10 +16,11 @@ losing a pair, what may be similar; trees then do the joining inside small block
 5. *Rest*: classes outside their cluster's largest component are dealt into blocks of their own and
    joined, by trees again, with every block of the cluster. A pair inside one component is skipped.
 
-Tokens that a sample of documents shows to be very common are known to be shared and come last among
-the rare: they bypass the bins, so that no bin gathers a large part of all classes, and in step 3
-their classes meet in salted groups. The sample decides only that order and where tokens go, not
-what is found.
+Tokens that are very common are known to be shared and come last among the rare: they bypass the
+bins, so that no bin gathers a large part of all classes, and in step 3 their classes meet in salted
+groups. A sample tells the most common ones before anything is dealt; what it misses shows in the
+measured sizes of the bins, and goes from those that are too large. Both decide only that order and where tokens
+go, not what is found.
 
 Nothing is capped: pairs are left out only if proven dissimilar or already connected.
 """
@@ -47,7 +48,14 @@ COMMON_SAMPLE, COMMON_DOCS = 8_192, 128
 #: Groups that the classes of a common token meet in, and the document count that stands for common.
 SALTS, MANY = 64, 0xFFFFFFFF
 #: Tokens in a bin, and classes in a block.
-BIN_TOKENS, BLOCK = 1_500_000, 256
+BIN_TOKENS, BLOCK = 400_000, 256
+#: A bin is crowded if it has so many times the mean; common there is what has that share of the mean, but at most MOST_COMMON tokens are.
+CROWDED, CROWD_SHARE, MOST_COMMON = 2, 0.25, 1_000_000
+#: Bundles of blocks that a task joins.
+TASK_BUNDLES = 32
+
+
+_BINNED = "bin long, owners binary, counts binary, high binary, low binary, size long"
 
 
 def _prefix(n, num: int, den: int):
@@ -81,7 +89,7 @@ def _described(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den: int, sample: int, least: int) -> np.ndarray:
-    """Tokens that stand among the first of at least ``least`` classes of a sample; bounded by the sample, sorted."""
+    """Tokens that stand among the first of at least ``least`` classes of a sample, chosen by hash of the text; bounded by the sample, sorted."""
     share = min(1.0, sample / max(1, described.count()))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +99,7 @@ def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den:
             blobs = [(s[: _prefix(len(s), num, den)[0]] >> np.uint64(16)).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["key", "tokens"])
 
-    picked = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
+    picked = rows.filter(F.pmod(F.xxhash64("text_hash", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
     found = picked.filter("doc_id IS NOT NULL").select("data").mapInArrow(first, "key long, tokens binary").dropDuplicates(["key"])
     # Counted where they are: a token common in the sample is common in some task's share of it or summed up from all.
     counts = found.withColumn("share", F.pmod(F.col("key"), F.lit(8))).groupBy("share").applyInPandas(_token_counts, "tokens binary, counts binary").collect()
@@ -108,7 +116,7 @@ def _token_counts(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int, common) -> DataFrame:
-    """(bin, class keys, tokens per class, tokens as 32 + 16 bits) for the first tokens of every class a task sees.
+    """(bin, class keys, tokens per class, tokens as 32 + 16 bits, number of tokens) for the first tokens of every class a task sees.
 
     Common tokens go to a bin below zero, which is one of the class, not of the token.
     """
@@ -132,19 +140,70 @@ def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int, common) -> D
             bin_of = (token % np.uint64(bins)).astype(np.int64)
             frequent = _contains(common.value, token)
             bin_of[frequent] = -1 - (keys[who[frequent]] % bins)
-            order = np.lexsort((who, bin_of))
-            token, who, bin_of = token[order], who[order], bin_of[order]
-            out = ([], [], [], [], [])
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(bin_of)) + 1, [len(token)]))
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                own, count = np.unique(who[a:b], return_counts=True)
-                part = token[a:b]
-                blobs = (keys[own], count.astype(np.uint32), (part >> np.uint64(16)).astype(np.uint32), (part & np.uint64(0xFFFF)).astype(np.uint16))
-                for column, value in zip(out, (int(bin_of[a]), *(x.tobytes() for x in blobs)), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), *[pa.binary()] * 4), strict=True)], ["bin", "owners", "counts", "high", "low"])
+            yield _dealt(bin_of, token, keys[who])
+
+    return rows.filter("doc_id IS NOT NULL").select("data").mapInArrow(deal, _BINNED)
+
+
+def _dealt(bin_of: np.ndarray, token: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+    """One row a bin of (token, class) pairs; see ``_BINNED``."""
+    order = np.lexsort((owner, bin_of))
+    token, owner, bin_of = token[order], owner[order], bin_of[order]
+    out = ([], [], [], [], [], [])
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bin_of)) + 1, [len(token)])) if len(token) else np.zeros(1, np.int64)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own, count = np.unique(owner[a:b], return_counts=True)
+        part = token[a:b]
+        blobs = (own, count.astype(np.uint32), (part >> np.uint64(16)).astype(np.uint32), (part & np.uint64(0xFFFF)).astype(np.uint16))
+        for column, value in zip(out, (int(bin_of[a]), *(x.tobytes() for x in blobs), int(b - a)), strict=True):
+            column.append(value)
+    kinds = (pa.int64(), *[pa.binary()] * 4, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["bin", "owners", "counts", "high", "low", "size"])
+
+
+def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bin, token and class of each pair in rows of ``_BINNED``."""
+    owners, counts, high, low = (b"".join(batch.column(c).to_pylist()) for c in ("owners", "counts", "high", "low"))
+    token = (np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16)) | np.frombuffer(low, np.uint16)
+    bin_of = np.repeat(batch.column("bin").to_numpy(), batch.column("size").to_numpy())
+    return bin_of, token, np.repeat(np.frombuffer(owners, np.int64), np.frombuffer(counts, np.uint32))
+
+
+def _crowding_tokens(binned: DataFrame, bins: int) -> np.ndarray:
+    """Tokens that make bins crowded, sorted: at most ``MOST_COMMON``.
+
+    Bins are measured first; only in the crowded ones are tokens counted, in the tasks as far as they go.
+    """
+    sizes = binned.filter("bin >= 0").groupBy("bin").agg(F.sum("size").alias("tokens"))
+    total = sizes.agg(F.sum("tokens")).first()[0] or 0
+    crowded = sizes.filter(F.col("tokens") > CROWDED * total / bins).select("bin")
+    if not crowded.limit(1).count():
+        return np.zeros(0, np.uint64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, n = np.unique(_pairs(batch)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(n)], ["token", "n"])
+
+    counts = binned.join(crowded, "bin", "left_semi").select(*binned.columns).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    least = max(2, int(CROWD_SHARE * total / bins), total // MOST_COMMON)
+    return np.sort(np.array([r["token"] for r in counts.filter(F.col("n") >= least).select("token").collect()], np.int64).astype(np.uint64))
+
+
+def _thinned(binned: DataFrame, bins: int, crowding) -> DataFrame:
+    """``binned`` with the ``crowding`` tokens moved to the bins of their classes."""
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bin_of, token, owner = _pairs(batch)
+            out = _contains(crowding.value, token) & (bin_of >= 0)
+            if not out.any():
+                yield batch
+                continue
+            bin_of = np.where(out, -1 - owner % bins, bin_of)
+            yield _dealt(bin_of, token, owner)
 
-    return rows.filter("doc_id IS NOT NULL").select("data").mapInArrow(deal, "bin long, owners binary, counts binary, high binary, low binary")
+    return binned.mapInArrow(move, _BINNED)
 
 
 def _contains(names: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -272,11 +331,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bins = max(parts, -(-total // (2 * bin_tokens)))
 
-    common = spark.sparkContext.broadcast(_common_tokens(rows, described, k, num, den, common_sample, common_docs))  # bounded by the sample
-    binned = _binned(rows, k, bins, num, den, common).groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
-    shared = binned.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
+    common = _common_tokens(rows, described, k, num, den, common_sample, common_docs)  # bounded by the sample
+    binned = scratch.written(_binned(rows, k, bins, num, den, spark.sparkContext.broadcast(common)), "jaccard-bins")
+    crowding = _crowding_tokens(binned, bins)
+    if len(crowding):
+        binned = _thinned(binned, bins, spark.sparkContext.broadcast(crowding))
+        common = np.union1d(common, crowding)
+    common = spark.sparkContext.broadcast(common)
+    # As many tasks as bins, so that none reads more when the input grows.
+    found = binned.drop("size").repartition(bins, "bin").groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
+    shared = found.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
     kept = shared.join(classes.select("key", "n"), "key").select("key", "n", "tokens", "dfs").mapInArrow(_kept_tokens(bins, num, den, common), "bin long, tokens binary, owners binary")
-    stars = scratch.written(kept.groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
+    stars = scratch.written(kept.repartition(bins, "bin").groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
     clusters = components(stars, "jaccard-clusters").select(F.col("node").alias("key"), F.col("label").alias("cluster"))
     clusters = scratch.written(clusters.join(classes.select("key"), "key", "left_semi"), "jaccard-members")  # without the tokens among the nodes
 
@@ -294,6 +360,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     of = F.when(F.col("blocks") > 1, F.col("cluster"))
     first = one.select(of.alias("of"), F.explode(spread).alias("bundle"), "cluster", "key", "label", "marked", "hashes")
     join = _join_blocks(num, den)
+    first = first.repartition(max(parts, bundles // TASK_BUNDLES), "of", "bundle")
     links = scratch.written(first.groupBy("of", "bundle").applyInPandas(join, "a long, b long"), "jaccard-links")
 
     large = sets.filter("blocks > 1")

@@ -238,6 +238,20 @@ def test_components_of_large_clusters_in_small_blocks(spark):
     check_components(spark, rows, block=16, bin_tokens=500, common_sample=100, common_docs=6)
 
 
+def test_components_with_crowded_bins(spark, monkeypatch):
+    """A passage that the sample does not show but that crowds the bins of its tokens."""
+    seen = []
+    keep = jaccard._crowding_tokens
+    monkeypatch.setattr(jaccard, "_crowding_tokens", lambda *a: (seen.append(keep(*a)), seen[-1])[1])
+    monkeypatch.setattr(jaccard, "CROWDED", 1.2)
+    monkeypatch.setattr(jaccard, "CROWD_SHARE", 0.05)
+    passage = " ".join(f"shared{k}" for k in range(40))
+    rows = [(k, passage + " " + " ".join(f"own{k % 120}w{j}" for j in range(8 + k % 3))) for k in range(150)]
+    rows += [(500 + i, t) for i, t in near_copies(4, 5, 8, 60, 4)]
+    check_components(spark, rows, block=16, bin_tokens=200, common_sample=1, common_docs=100)
+    assert len(seen[0])
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components_at_the_limit(spark, seed):
     """Short sets whose similarity is often exactly 0.8, in chains."""
