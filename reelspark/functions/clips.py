@@ -53,3 +53,19 @@ def clip_of_image(path: Column) -> Column:
 
 def workspace_path(root: str, movie: Column, *parts: str) -> Column:
     return F.concat_ws("/", F.lit(root), movie, *[F.lit(p) for p in parts])
+
+
+def relative_path(path: Column, root: Column) -> Column:
+    """The path below ``root``; a path elsewhere stays whole."""
+    base = F.concat(F.rtrim(root, F.lit("/")), F.lit("/"))
+    return F.when(path.startswith(base), F.substr(path, F.length(base) + 1)).otherwise(path)
+
+
+def with_suffix(path: Column, suffix: str) -> Column:
+    """The path with another extension; one without gets it."""
+    return F.concat(F.regexp_replace(path, r"(?<=[^/])\.[^./]*$", ""), F.lit(suffix))
+
+
+def granularity(path: Column) -> Column:
+    """What the entries of a subtitle file are: words of a transcript in JSON, else sentences."""
+    return F.when(F.lower(path).endswith(".json"), F.lit("word")).otherwise(F.lit("sentence"))

@@ -42,6 +42,19 @@ def track_tag(track: Column) -> Column:
     return F.when(track.isNull(), F.lit("UNK")).otherwise(F.format_string("T%02d", track))
 
 
+def track_name(track: Column) -> Column:
+    """``Track 00007``; UNKNOWN for no track."""
+    return F.when(track.isNull(), F.lit("UNKNOWN")).otherwise(F.format_string("Track %05d", track))
+
+
+def track_file(track: Column) -> Column:
+    return F.format_string("Track_%05d", track)
+
+
+def character_tag(person: Column) -> Column:
+    return F.concat(F.lit("<char_"), person.cast("string"), F.lit(">"))
+
+
 def display_text(tag: Column, text: Column) -> Column:
     return F.concat(tag, F.lit(": "), text)
 
@@ -100,7 +113,9 @@ def salvaged_json(answer: Column, variant: int = 1) -> Column:
     return F.coalesce(F.try_parse_json(rest), F.try_parse_json(_braces(answer)))
 
 
-def parse_status(parsed: Column) -> Column:
-    """``success``, or ``parse_error`` where nothing was read or what was read is empty."""
+def parse_status(parsed: Column, empty_is_error: bool = True) -> Column:
+    """``success``, or ``parse_error`` where nothing was read or, unless it may be, what was read is empty."""
+    if not empty_is_error:
+        return F.when(parsed.isNull(), F.lit("parse_error")).otherwise(F.lit("success"))
     text = F.to_json(parsed)
     return F.when(parsed.isNull() | text.isin("{}", "[]", "null", "false", "0", '""'), F.lit("parse_error")).otherwise(F.lit("success"))

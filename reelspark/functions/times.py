@@ -40,3 +40,25 @@ def duration_text(seconds: Column) -> Column:
     s = F.format_string("%d.%ds", F.floor(tenths / 10), tenths % 10)
     minutes = F.concat(m.cast("string"), F.lit("m "), s)
     return F.when(h > 0, F.concat(h.cast("string"), F.lit("h "), minutes)).when(m > 0, minutes).otherwise(s)
+
+
+def frames_to_seconds(frames: Column, fps: Column | float) -> Column:
+    return frames / (F.lit(fps) if isinstance(fps, (int, float)) else fps)
+
+
+def media_duration(frames: Column, fps: Column) -> Column:
+    """Seconds of a file in thousandths; null where it tells no frames or no rate."""
+    return F.when((fps > 0) & (frames > 0), F.round(frames / fps, 3))
+
+
+def audio_slice(start: Column, end: Column, fps: float, rate: int, samples: Column) -> tuple[Column, Column]:
+    """First and last sample of a range of frames, inside the audio; both null where nothing is left."""
+    first = F.greatest(F.lit(0).cast("long"), (start / F.lit(fps) * rate).cast("long"))
+    last = F.least(samples.cast("long"), (end / F.lit(fps) * rate).cast("long"))
+    return F.when(first < last, first), F.when(first < last, last)
+
+
+def common_rows(audio: Column, video: Column) -> tuple[Column, Column]:
+    """Feature rows of audio (100 a second) and video (25 a second) that are used together: whole groups of four of the audio."""
+    length = F.least((audio - audio % 4) / F.lit(100.0), video.cast("double"))
+    return half_even(length * 100, 0).cast("long"), half_even(length * 25, 0).cast("long")

@@ -29,17 +29,26 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
     return near.filter((F.col("start") < F.col("r_end")) & (F.col("r_start") < F.col("end")) & (F.col("__slot") == first)).drop("__slot")
 
 
-def overlap_by_track(cues: DataFrame, segments: DataFrame, clip: str, cue: str, track: str, width: int = 10) -> DataFrame:
-    """clip, cue, track, overlap: for every cue and every track of its clip, the time they share (0 too).
+def frames_of_shots(shots: DataFrame, frames: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Rows of ``frames`` (keys, frame and more) with start_frame and end_frame of each shot that holds them; rows meet on slots of ``width``."""
+    a = frames.withColumn("__slot", F.floor(F.col("frame") / width))
+    held = shots.filter("end_frame > start_frame")
+    b = held.select(*keys, "start_frame", "end_frame", F.explode(F.sequence(F.floor(F.col("start_frame") / width), F.floor((F.col("end_frame") - 1) / width))).alias("__slot"))
+    return a.join(b, [*keys, "__slot"]).filter("start_frame <= frame AND frame < end_frame").drop("__slot")
 
+
+def overlap_by_track(cues: DataFrame, segments: DataFrame, clip: str, cue: str, track: str, width: int = 10, lowest: int = 2) -> DataFrame:
+    """clip, cue, track, overlap: for every cue the tracks that share time with it, and at 0 the ``lowest`` tracks of its clip that share none.
+
+    So the first ``lowest`` tracks of a ranking by overlap, then number, are there, without every cue meeting every track.
     ``cues``: clip, cue, start, end; ``segments``: clip, track, start, end; they meet on slots of ``width``.
     """
-    tracks = segments.select(clip, track).distinct()
-    pairs = cues.select(clip, cue).join(tracks, clip)
+    first = first_rows(segments.select(clip, track).distinct(), [clip], [F.col(track)], lowest)
+    pairs = cues.select(clip, cue).join(first, clip)
     shared = interval_join(cues.select(clip, cue, "start", "end"), segments.select(clip, track, "start", "end"), [clip], width)
     shared = shared.select(clip, cue, F.col(f"r_{track}").alias(track), overlap(F.col("start"), F.col("end"), F.col("r_start"), F.col("r_end")).alias("o"))
-    sums = shared.groupBy(clip, cue, track).agg(F.sum("o").alias("overlap"))
-    return pairs.join(sums, [clip, cue, track], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))
+    zero = F.lit(0).cast(shared.schema["o"].dataType).alias("o")
+    return shared.unionByName(pairs.select(clip, cue, track, zero)).groupBy(clip, cue, track).agg(F.sum("o").alias("overlap"))
 
 
 def assigned(cues: DataFrame, by_track: DataFrame, clip: str, cue: str, track: str, min_overlap: float, min_ratio: float) -> DataFrame:

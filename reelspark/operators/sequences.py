@@ -5,6 +5,10 @@ Windows are by series key, so a series is one group; series are clips and tracks
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +43,57 @@ def scenes(df: DataFrame, keys: list[str], frame: str, p: str, threshold: float,
     return found.select(*keys, "start_frame", "end_frame").unionByName(only)
 
 
+def scenes_by_windows(df: DataFrame, keys: list[str], frame: str, p: str, threshold: float, window: int, min_frames: int = 0) -> DataFrame:
+    """keys, start_frame, end_frame of the scenes that a scan in windows of ``window`` frames writes down.
+
+    Such a scan carries the last scene of a window over to the next, so scenes are those of the whole series. It never writes
+    the last one if that began in the last window, after others, or if the last window is full: then nothing follows that would
+    end it. Scenes shorter than ``min_frames`` go. Frames are numbered from 0.
+    """
+    found = scenes(df, keys, frame, p, threshold)
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    ends = found.groupBy(*keys).agg(F.max("start_frame").alias("__last"), F.count(F.lit(1)).alias("__scenes")).join(n, keys)
+    full = F.col("__n") % window == 0
+    began = (F.col("__last") >= F.floor(F.col("__n") / window) * window) & (F.col("__scenes") > 1)
+    ends = ends.select(*keys, F.when(full | began, F.col("__last")).alias("__unwritten"))
+    kept = found.join(ends, keys).filter(~F.col("start_frame").eqNullSafe(F.col("__unwritten")) & (F.col("end_frame") - F.col("start_frame") >= min_frames))
+    return kept.select(*keys, "start_frame", "end_frame")
+
+
+def min_scene_frames(seconds: float, fps: float = 25.0) -> int:
+    """Frames that a scene of a clip needs."""
+    return max(1, round(fps * seconds))
+
+
+def content_cuts(df: DataFrame, keys: list[str], frame: str, value: str, threshold: float) -> DataFrame:
+    """keys, start_frame, end_frame of stretches between frames whose ``value`` changes by more than ``threshold``; ends are exclusive."""
+    order = Window.partitionBy(*keys).orderBy(frame)
+    cut = F.coalesce(F.abs(F.col(value) - F.lag(value).over(order)) > threshold, F.lit(True)).cast("long")
+    marked = df.withColumn("__cut", cut).withColumn("__scene", F.sum("__cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(*keys, "__scene").agg(F.min(frame).alias("start_frame"), (F.max(frame) + 1).alias("end_frame")).drop("__scene")
+
+
+def sized_tracks(boxes: DataFrame, keys: list[str], frame: str, min_size: float = 1.0, min_frames: int = 1) -> DataFrame:
+    """keys, frames, width, height: of tracks (frame, x1, y1, x2, y2) filled between their frames, those whose mean width or height is above ``min_size``.
+
+    ``min_frames`` counts the frames before filling.
+    """
+    known = boxes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__known"))
+    filled = interpolated(boxes, keys, frame, ["x1", "y1", "x2", "y2"])
+    mean = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("frames"), F.avg(F.col("x2") - F.col("x1")).alias("width"), F.avg(F.col("y2") - F.col("y1")).alias("height"))
+    return mean.join(known, keys).filter((F.col("__known") >= min_frames) & (F.greatest("width", "height") > min_size)).drop("__known")
+
+
+def zipped(left: Column, right: Column) -> Column:
+    """Pairs (a, b) of two arrays by place, as many as the shorter one has."""
+    n = F.least(F.size(left), F.size(right))
+    return F.zip_with(F.slice(left, 1, n), F.slice(right, 1, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def sigmoid(x: Column) -> Column:
+    return 1 / (1 + F.exp(-x))
+
+
 def segments_above(df: DataFrame, keys: list[str], time: str, score: str, threshold: float, min_duration: float) -> DataFrame:
     """keys, start, end, duration of runs with score >= ``threshold`` that last longer than ``min_duration``.
 
@@ -91,14 +146,36 @@ def dot(a: Column, b: Column) -> Column:
 def neighbour_similarity(df: DataFrame, keys: list[str], frame: str, feature: str, reach: int) -> DataFrame:
     """keys, frame, offset, similarity of every frame with those up to ``reach`` before and after.
 
-    Rows meet by blocks of ``reach`` frames: each row goes to its own block and the next ones, so
-    the join is on equal keys and a series is spread over its blocks. Frames outside have no row.
+    Rows meet by blocks of ``reach`` frames: each row goes to its own block, and the earlier ones also to
+    the next, so the join is on equal keys and a series is spread over its blocks. A pair is met
+    once, multiplied in Arrow batches, and gives both its offsets. Frames outside have no row.
     """
     block = F.floor(F.col(frame) / reach).cast("long")
-    a = df.select(*keys, F.col(frame).alias("frame"), unit_vector(F.col(feature)).alias("a"), block.alias("block"))
-    b = df.select(*keys, F.col(frame).alias("other"), unit_vector(F.col(feature)).alias("b"), F.explode(F.array(block - 1, block, block + 1)).alias("block"))
-    near = a.join(b, [*keys, "block"]).filter(F.abs(F.col("other") - F.col("frame")) <= reach)
-    return near.select(*keys, "frame", (F.col("other") - F.col("frame")).alias("offset"), dot(F.col("a"), F.col("b")).alias("similarity"))
+    unit = df.select(*keys, F.col(frame).cast("long").alias("frame"), unit_vector(F.col(feature)).alias("a"), block.alias("block"))
+    ahead = unit.select(*keys, F.col("frame").alias("other"), F.col("a").alias("b"), F.explode(F.array(F.col("block") - 1, F.col("block"))).alias("block"))
+    later = F.col("other") - F.col("frame")
+    near = unit.join(ahead, [*keys, "block"]).filter((later >= 0) & (later <= reach)).select(*keys, "frame", later.alias("offset"), "a", "b")
+    kept = [f for f in near.schema.fields if f.name not in ("a", "b")]
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in ("a", "b"))
+            found = np.einsum("ij,ij->i", a, b) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found)], [*[f.name for f in kept], "similarity"])
+
+    pairs = near.mapInArrow(multiply, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", similarity double")
+    both = F.when(F.col("offset") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array(F.lit(0).cast("long"), F.col("offset")))
+    side = pairs.select("*", F.explode(both).alias("__side"))
+    # Side 0 is the earlier frame looking ahead, the other the later one looking back.
+    return side.select(*keys, (F.col("frame") + F.col("__side")).alias("frame"), F.when(F.col("__side") == 0, F.col("offset")).otherwise(-F.col("offset")).alias("offset"), "similarity")
+
+
+def similarity_lookup(df: DataFrame, keys: list[str], frame: str, feature: str, reach: int) -> DataFrame:
+    """keys, frame, similarities: an array of 2 ``reach`` + 1 values a frame, 0 where there is no frame."""
+    found = neighbour_similarity(df, keys, frame, feature, reach)
+    near = found.groupBy(*keys, "frame").agg(F.map_from_entries(F.collect_list(F.struct("offset", "similarity"))).alias("m"))
+    offsets = F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long"))
+    return near.select(*keys, "frame", F.transform(offsets, lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0.0))).alias("similarities"))
 
 
 def colour_histogram(df: DataFrame, keys: list[str], r: str, g: str, b: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
@@ -196,8 +196,8 @@ def orientation_lookup(spark: SparkSession, d: str) -> DataFrame:
 SELECT c_custkey, CAST(n // CAST(ceil(total/18.0) AS BIGINT) AS BIGINT) AS worker FROM t""")
 def chunk_partition(spark: SparkSession, d: str) -> DataFrame:
     """Work lists in eighteen runs."""
-    rows = resume.numbered(table(spark, d, "customer").select("c_custkey"), [F.col("c_custkey")])
-    return rows.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy())).select("c_custkey", resume.contiguous_worker(F.col("number"), F.col("total"), 18).alias("worker"))
+    rows = resume.numbered(table(spark, d, "customer").select("c_custkey"), [F.col("c_custkey")], "total")
+    return rows.select("c_custkey", resume.contiguous_worker(F.col("number"), F.col("total"), 18).alias("worker"))
 
 
 @query("SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) % 18 AS worker FROM customer")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelspark.operators import sequences as seq
 from reelspark.operators import tracking
 from reelspark.operators.ranking import ranked
+from reelspark.operators.resume import numbered
 from reelspark.plans import stand_ins as st
 from reelspark.plans.registry import query, table
 
@@ -56,19 +57,24 @@ def _track_rank(spark: SparkSession, d: str) -> DataFrame:
     total = seq.segments_above(scores, ["track"], "frame", "score", 50, 25).groupBy("track").agg(F.sum("duration").alias("total"))
     each = scores.groupBy("track").agg(F.round(F.avg("score"), 9).alias("mean"), F.max("score").alias("peak")).join(total, "track", "left")
     each = each.withColumn("total", F.coalesce("total", F.lit(0).cast("long")))
-    order = [F.col("total").desc(), F.col("mean").desc(), F.col("peak").desc(), F.col("track")]
-    return each.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long")).select("track", "total", "mean", "peak", "place")
+    return each.select("track", "total", "mean", "peak")
+
+
+def _order() -> list:
+    return [F.col("total").desc(), F.col("mean").desc(), F.col("peak").desc(), F.col("track")]
 
 
 @query(_RANK + "SELECT * FROM k")
 def track_rank(spark: SparkSession, d: str) -> DataFrame:
-    return _track_rank(spark, d)
+    ranked_ = numbered(_track_rank(spark, d), _order())
+    return ranked_.select("track", "total", "mean", "peak", (F.col("number") + 1).alias("place"))
 
 
 @query(_RANK + "SELECT * FROM k WHERE place <= 3")
 def pick_target_track(spark: SparkSession, d: str) -> DataFrame:
     """The top three of the ranking; the first is the target."""
-    return _track_rank(spark, d).filter("place <= 3")
+    top = _track_rank(spark, d).orderBy(*_order()).limit(3)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*_order())).cast("long"))  # three rows
 
 
 @query(f"""WITH {st.TRACK_SCORES},

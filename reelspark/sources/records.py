@@ -69,3 +69,8 @@ def lenient_valid(record: Column) -> Column:
     person = F.coalesce(F.try_variant_get(record, "$.has_person", "boolean"), F.lit(False))
     text = F.coalesce(F.try_variant_get(record, "$.has_text", "boolean"), F.lit(False))
     return person & ~text & ~missing_key(record, "has_text")
+
+
+def with_defaults(record: Column, defaults: dict[str, Column]) -> Column:
+    """Struct of VARIANT fields with a default (VARIANT) for each that ``record`` has no key for; a null stays null."""
+    return F.struct(*[F.when(missing_key(record, k), v).otherwise(F.try_variant_get(record, f"$.{k}", "variant")).alias(k) for k, v in defaults.items()])

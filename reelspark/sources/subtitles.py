@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspark.functions.clips import granularity
 from reelspark.functions.texts import strip
 from reelspark.functions.times import srt_seconds, srt_time
+from reelspark.sources.records import tolerant_documents
 
 _WORD = "array<struct<word:string,start:double,end:double>>"
 
@@ -48,6 +50,13 @@ def transcript_words(docs: DataFrame, key: str, doc: str = "doc") -> DataFrame:
     return rows.filter("start IS NOT NULL AND end IS NOT NULL AND end > start AND text <> ''")
 
 
+def entries(texts: DataFrame, key: str) -> DataFrame:
+    """key, idx, start, end, text, granularity of subtitle files (key, path, text), each read as its name says."""
+    kind = granularity(F.col("path"))
+    words = transcript_words(tolerant_documents(texts.filter(kind == "word")), key).withColumn("granularity", F.lit("word"))
+    return words.unionByName(srt_cues(texts.filter(kind == "sentence"), key).withColumn("granularity", F.lit("sentence")))
+
+
 def has_dialogue(doc: Column) -> Column:
     """Whether the segments' texts, or where they are empty the words', hold a letter or digit."""
     texts = F.try_variant_get(doc, "$.segments", "array<struct<text:string>>")

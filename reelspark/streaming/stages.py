@@ -61,3 +61,24 @@ def windowed(events: DataFrame, time: str, group: str, width: str, late: str) ->
     """Counts and sums by tumbling windows of event time; rows later than ``late`` are left out."""
     timed = events.withColumn("__time", F.col(time).cast("timestamp")).withWatermark("__time", late)
     return timed.groupBy(F.window("__time", width).alias("window"), group).agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_chain(
+    spark: SparkSession, first: str, schema: str, keys: list[str], base: str, chain: list[tuple[str, Callable[[DataFrame], DataFrame]]], goes_on: tuple[str, ...] = ("COMPLETED",)
+) -> dict[str, str]:
+    """Stages one after the other, each a streaming query over the table of the one before; gives the table of each.
+
+    ``first`` is the folder of items with ``schema``. A stage's function adds ``status`` to its items; those with a status in
+    ``goes_on`` are the next one's items. Every stage keeps its own checkpoint and table below ``base``, so a chain that is
+    run again takes up what is new and nothing else.
+    """
+    source, columns, tables = first, schema, {}
+    for name, work in chain:
+        items = watch(spark, source, columns)
+        if source != first:
+            items = items.filter(F.col("status").isin(*goes_on)).drop("status")
+        out = f"{base}/{name}"
+        spark.createDataFrame([], f"{schema}, status string").write.mode("ignore").parquet(out)
+        run_stage(items, keys, out, f"{base}/{name}-checkpoint", work, f"{schema}, status string").awaitTermination()
+        source, columns, tables[name] = out, f"{schema}, status string", out
+    return tables
