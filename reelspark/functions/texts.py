@@ -69,7 +69,7 @@ def speaking_label(name: str, score: Column, threshold: float) -> Column:
     hundredths = F.floor(F.abs(score) * 100 + 0.5).cast("long")
     number = F.concat(F.when(score < 0, F.lit("-")).otherwise(F.lit("")), F.format_string("%d.%02d", F.floor(hundredths / 100), hundredths % 100))
     status = F.when(score >= threshold, F.lit("speaking")).otherwise(F.lit("silent"))
-    return F.concat(F.lit(f"{name} | "), status, F.lit(" | score="), F.coalesce(number, F.lit("NA")))
+    return F.concat(F.lit(f"{name} | "), status, F.lit(" | score="), F.when(score.isNull(), F.lit("NA")).otherwise(number))
 
 
 def prompt(face_visible: Column, shot_type: Column, opening: str, framing: Mapping[str, str], other_framing: str, facing: tuple[str, str], closing: tuple[str, str]) -> Column:
@@ -91,6 +91,17 @@ def _without_fences(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("```json"), F.lit("")), F.lit("```"), F.lit(""))
 
 
+def strict_json(text: Column) -> Column:
+    """The text as VARIANT; null where it is not one JSON value and nothing else.
+
+    The parser itself stops after the first value and takes what follows for granted, so the text is put
+    into an array before a last element that must then be the second.
+    """
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(', "end"]')))
+    whole = (F.try_variant_get(both, "$[1]", "string") == "end") & F.try_variant_get(both, "$[2]", "variant").isNull()
+    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+
+
 def salvaged_json(answer: Column, variant: int = 1) -> Column:
     """The JSON in a model's answer, as VARIANT; null where none can be read.
 
@@ -104,13 +115,13 @@ def salvaged_json(answer: Column, variant: int = 1) -> Column:
         at = F.instr(answer, "assistant")
         rest = F.when(at > 0, F.substring(answer, at + 9, F.length(answer))).otherwise(answer)
         rest = strip(_without_fences(rest))
-        return F.coalesce(F.try_parse_json(rest), F.try_parse_json(_braces(rest)))
+        return F.coalesce(strict_json(rest), strict_json(_braces(rest)))
     rest = strip(_without_fences(answer))
     if variant == 1:
         at = F.instr(F.lower(rest), "assistant")
         after = strip(F.substring(rest, at + 9, F.length(rest)))
         rest = F.when(at > 0, strip(F.regexp_replace(after, r"^:", ""))).otherwise(rest)
-    return F.coalesce(F.try_parse_json(rest), F.try_parse_json(_braces(answer)))
+    return F.coalesce(strict_json(rest), strict_json(_braces(answer)))
 
 
 def parse_status(parsed: Column, empty_is_error: bool = True) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelspark.functions.texts import strict_json
 from reelspark.operators.resume import last_per_key
 
 #: Fixed value: the last line of a finished shot list.
@@ -24,7 +25,7 @@ def lines(texts: DataFrame, text: str = "text") -> DataFrame:
 
 def latest_records(rows: DataFrame, keys: list[str], schema: str) -> DataFrame:
     """Of rows (line_no, line and more): the JSON objects, and of each key the last. Blank and malformed lines go."""
-    parsed = rows.withColumn("__v", F.try_parse_json("line")).filter(F.col("__v").isNotNull() & F.schema_of_variant("__v").startswith("OBJECT"))
+    parsed = rows.withColumn("__v", strict_json(F.col("line"))).filter(F.col("__v").isNotNull() & F.schema_of_variant("__v").startswith("OBJECT"))
     parsed = parsed.withColumn("r", F.from_json("line", schema)).drop("line", "__v")
     flat = parsed.select(*[c for c in parsed.columns if c != "r"], "r.*")
     return last_per_key(flat, keys, "line_no")
@@ -37,7 +38,7 @@ def strict_records(spark: SparkSession, paths: str | list[str], schema: str) ->
 
 def tolerant_documents(texts: DataFrame) -> DataFrame:
     """``texts`` with ``doc``: the file's JSON as VARIANT, null if it is none."""
-    return texts.withColumn("doc", F.try_parse_json("text"))
+    return texts.withColumn("doc", strict_json(F.col("text")))
 
 
 def shots(rows: DataFrame, key: str) -> DataFrame:

@@ -139,6 +139,151 @@ def test_tracks(spark):
     assert greedy_tracks(df, ["clip", "scene"], 1).count() == 4
 
 
+def _windows_by_hand(p, size, threshold, least):
+    """A scan in windows that carries its last scene over, as scanners do it; see scenes_by_windows."""
+
+    def found(values):
+        out, start = [], None
+        for k, v in enumerate(values):
+            if v <= threshold and start is None:
+                start = k
+            elif v > threshold and start is not None:
+                out.append((start, k))
+                start = None
+        if start is not None:
+            out.append((start, len(values) - 1))
+        return out or [(0, len(values) - 1)]
+
+    out, carried, at, read = [], [], 0, 0
+    while True:
+        more = p[read : read + size]
+        if not more:
+            return out
+        read += len(more)
+        ended = len(more) < size
+        window = carried + more
+        own = found(window)
+        if len(own) == 1 and not ended:
+            carried = window
+            continue
+        out += [(at + a, at + b) for a, b in (own[:-1] if len(own) > 1 else own) if b - a >= least]
+        carried, at = window[own[-1][0] :], at + own[-1][0]
+        if ended:
+            return out
+
+
+def test_scenes_by_windows_against_a_scan(spark):
+    rng = random.Random(12)
+    series = {k: [float(rng.random() < rng.choice((0.05, 0.3, 0.9))) for _ in range(rng.randrange(1, 70))] for k in range(60)}
+    series |= {100: [1.0] * 25, 101: [0.0] * 20, 102: [0.0] * 23, 103: [1.0] * 30 + [0.0] * 3, 104: [0.0] * 12 + [1.0] + [0.0] * 9 + [1.0]}
+    df = spark.createDataFrame([(m, k, v) for m, values in series.items() for k, v in enumerate(values)], "movie long, frame long, p double")
+    for least in (0, 2):
+        got: dict[int, list] = {}
+        for r in sequences.scenes_by_windows(df, ["movie"], "frame", "p", 0.5, 10, least).orderBy("movie", "start_frame").collect():
+            got.setdefault(r["movie"], []).append((r["start_frame"], r["end_frame"]))
+        assert {m: got.get(m, []) for m in series} == {m: _windows_by_hand(values, 10, 0.5, least) for m, values in series.items()}
+
+
+def test_tracks_against_a_plain_loop():
+    """The rule as a scan over frames that never skips a face, with and without faces of the frame a track ends in."""
+
+    def by_hand(faces, least, same_frame):
+        rest, out, number = sorted(range(len(faces)), key=lambda k: faces[k][:2]), [], 0
+        while rest:
+            track = [rest.pop(0)]
+            for k in list(rest):
+                (frame, _, box), (last, _, where) = faces[k], faces[track[-1]]
+                if frame - last > 10:
+                    break
+                w, h = min(box[2], where[2]) - max(box[0], where[0]), min(box[3], where[3]) - max(box[1], where[1])
+                shared = max(w, 0) * max(h, 0)
+                both = (box[2] - box[0]) * (box[3] - box[1]) + (where[2] - where[0]) * (where[3] - where[1]) - shared
+                if (same_frame or frame > last) and shared / (both + 1e-5) > 0.5:
+                    track.append(k)
+                    rest.remove(k)
+            if len(track) >= least:
+                out += [(k, number) for k in track]
+                number += 1
+        return sorted(out)
+
+    rng = random.Random(13)
+    for _ in range(60):
+        faces, frame = [], 0
+        for _ in range(rng.randrange(1, 40)):
+            frame += rng.choice((0, 1, 1, 1, 2, 9, 10, 11))
+            x = rng.choice((0.0, 40.0)) + rng.randrange(12)
+            faces.append((frame, sum(f == frame for f, *_ in faces), (x, 0.0, x + 20.0, 20.0)))
+        for least, same_frame in ((1, False), (2, True), (3, False)):
+            assert sorted(tracks_of(faces, least, same_frame)) == by_hand(faces, least, same_frame)
+
+
+def test_numbering_in_ranges(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x").alias("total")).repartition(6)
+    got = resume.numbered(df, [F.col("k").desc()], "all").collect()
+    assert len(got) == 5000 and all(r["number"] == 4999 - r["k"] and r["all"] == 5000 and r["total"] == "x" for r in got)
+    assert resume.numbered(df.filter("false"), [F.col("k")]).count() == 0
+
+
+@pytest.mark.parametrize("text", ['{"a": 1} {"a": 2}', '{"a": 1}] more', '{"a": 1}, {"a": 2}', '{"a": 1} x', "", " ", '"', "1, 2", None])
+def test_one_json_value_and_nothing_else(spark, text):
+    assert one(spark, texts.strict_json(F.lit(text)).isNull())
+    assert one(spark, F.to_json(texts.strict_json(F.lit(' {"a": [1, {"b": null}]} ')))) == '{"a":[1,{"b":null}]}'
+
+
+def test_person_images(spark):
+    names = ["m/scene_1_person2.jpg", "m/scene_1_person1.JPG", "m/scene_1_person1_norm.jpg", "m/scene_2_person1.jpeg", "m/scene_2.jpg", "m/scene_1_person1.JPG"]
+    df = spark.createDataFrame([(n,) for n in names], "path string")
+    assert {r["clip"]: r["images"] for r in files.person_images(df, False).collect()} == {"scene_1": ["m/scene_1_person1.JPG", "m/scene_1_person1.JPG", "m/scene_1_person2.jpg"], "scene_2": ["m/scene_2_person1.jpeg"]}
+    assert {r["clip"]: r["images"] for r in files.person_images(df, True).collect()} == {"scene_1": ["m/scene_1_person1_norm.jpg"]}
+    assert sorted(r["path"] for r in files.matching(df).collect()) == sorted({n for n in names if "_person" in n})
+
+
+def test_strict_lines(spark, tmp_path):
+    good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
+    good.write_text('{"f": 1}\n{"f": 1}\n')
+    bad.write_text('{"f": 1}\n{broken\n')
+    assert records.strict_records(spark, str(good), "f long").count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records.strict_records(spark, str(bad), "f long").collect()
+
+
+def test_event_windows(spark, tmp_path):
+    rows = [("2024-01-01 00:00:05", "a"), ("2024-01-01 00:00:55", "a"), ("2024-01-01 00:01:05", "a"), ("2024-01-01 00:00:10", "b"), ("2024-01-01 00:09:00", "a")]
+    spark.createDataFrame(rows, "at string, who string").write.parquet(str(tmp_path / "in"))
+    counts = stages.windowed(stages.watch(spark, str(tmp_path / "in"), "at string, who string"), "at", "who", "1 minute", "10 minutes")
+    counts.writeStream.outputMode("complete").format("memory").queryName("minutes").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    got = sorted((str(r["window"]["start"]), r["who"], r["n"]) for r in spark.table("minutes").collect())
+    assert got == [("2024-01-01 00:00:00", "a", 2), ("2024-01-01 00:00:00", "b", 1), ("2024-01-01 00:01:00", "a", 1), ("2024-01-01 00:09:00", "a", 1)]
+
+
+def test_chain_goes_on_with_what_is_new(spark, tmp_path):
+    base, calls = str(tmp_path), []
+
+    def work(name):
+        def run(df):
+            calls.append((name, df.count()))
+            return df.select("k", F.when(F.col("k") % 3 == 0, F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("status"))
+
+        return run
+
+    chain = [("one", work("one")), ("two", work("two"))]
+    spark.range(6).toDF("k").write.parquet(base + "/items")
+    tables = stages.run_chain(spark, base + "/items", "k bigint", ["k"], base, chain)
+    spark.range(4, 9).toDF("k").write.mode("append").parquet(base + "/items")
+    stages.run_chain(spark, base + "/items", "k bigint", ["k"], base, chain)
+    assert sorted(r["k"] for r in spark.read.parquet(tables["one"]).collect()) == list(range(9))
+    assert sorted(r["k"] for r in spark.read.parquet(tables["two"]).collect()) == [1, 2, 4, 5, 7, 8]
+
+
+def test_speaker_results(spark):
+    from reelspark.functions import speakers
+
+    rows = [('{"<char_1>": {"is_speaking": true}, "<char_2>": {"is_speaking": false}, "x": 3}', True, ["<char_1>"]), ('[{"char": "a", "is_speaking": true}, {"char_id": 5, "is_speaking": 1}, {"is_speaking": true}, 7]', True, ["5", "a"]), ("[]", False, []), ("3", False, []), ('{"a": {"is_speaking": null}}', False, []), ('[{"is_speaking": true}]', True, []), (None, False, [])]
+    df = spark.createDataFrame(rows, "j string, any boolean, who array<string>")
+    for r in df.withColumn("v", F.parse_json("j")).select("j", "any", "who", speakers.any_speaking(F.col("v")).alias("a"), speakers.speaking_characters(F.col("v")).alias("w")).collect():
+        assert (r["a"], r["w"]) == (r["any"], r["who"]), r["j"]
+
+
 def test_empty_movies(spark):
     clips_ = spark.createDataFrame([("m", 1, None, None, None)], "movie string, clip long, duration double, has_person boolean, has_text boolean")
     dialogue = spark.createDataFrame([], "clip long, has_dialogue boolean, speakers long")
