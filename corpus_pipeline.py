@@ -49,10 +49,11 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last leaves a table in the shared folder."""
+    """All stages over ``documents``; every stage but the last writes a table in the shared folder, which goes when the next one's is there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.removed(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

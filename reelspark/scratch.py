@@ -1,7 +1,8 @@
 """Intermediate tables in the folder that the cluster shares.
 
 Long jobs cut their lineage by writing a Parquet table below ``spark.checkpoint.dir`` and reading
-it again: the files outlive any executor, and columns can be pruned on the second read.
+it again: the files outlive any executor, and columns can be pruned on the second read. Tables of steps that
+are over are removed.
 """
 
 from __future__ import annotations
@@ -39,4 +40,15 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     path = f"{shared_dir(spark)}/{unique(name)}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave; for those that nothing reads any more, since what came of them is written too."""
+    for table in tables:
+        if path := getattr(table, "_scratch_path", None):
+            spark = table.sparkSession
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -284,6 +284,17 @@ def test_speaker_results(spark):
         assert (r["a"], r["w"]) == (r["any"], r["who"]), r["j"]
 
 
+def test_removed_tables(spark):
+    from reelspark import scratch
+
+    first = scratch.written(spark.range(5).toDF("k"), "gone")
+    second = scratch.written(first.filter("k > 2"), "stays")
+    scratch.removed(first, spark.range(3))
+    assert sorted(r["k"] for r in second.collect()) == [3, 4]
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.parquet(first._scratch_path).count()
+
+
 def test_empty_movies(spark):
     clips_ = spark.createDataFrame([("m", 1, None, None, None)], "movie string, clip long, duration double, has_person boolean, has_text boolean")
     dialogue = spark.createDataFrame([], "clip long, has_dialogue boolean, speakers long")
