@@ -14,19 +14,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Each round every node takes the smallest label among its neighbours and itself, then the label
     of that label, so chains shorten by more than half; rounds end when none changes. Minima are
     combined in the map tasks, so a node with very many edges moves one row a task. Labels are a
-    table in the shared folder after every round. Empty in, empty out.
+    table in the shared folder after every round; those of earlier rounds are removed. Empty in, empty out.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a")).distinct()
     both = scratch.written(both, f"{name}-edges")
     labels = both.groupBy("node").agg(F.least(F.col("node"), F.min("near")).alias("label"))
-    labels = scratch.written(labels, f"{name}-labels")
+    labels = table = scratch.written(labels, f"{name}-labels")
     while True:
         seen = both.join(labels.select(F.col("node").alias("near"), "label"), "near").groupBy("node").agg(F.min("label").alias("seen"))
         best = scratch.written(labels.join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "seen").alias("label")), f"{name}-best")
         # Both sides are tables, so that a label that very many nodes hold can be split over tasks.
         jump = best.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        moved = best.join(jump, "label").select("node", "was", F.least("label", "further").alias("label"))
-        moved = scratch.written(moved, f"{name}-labels")
-        labels = moved.select("node", "label")
+        moved = scratch.written(best.join(jump, "label").select("node", "was", F.least("label", "further").alias("label")), f"{name}-labels")
+        scratch.removed(table, best)
+        table, labels = moved, moved.select("node", "label")
         if moved.filter("label <> was").limit(1).count() == 0:
+            scratch.removed(both)
             return labels

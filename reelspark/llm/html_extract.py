@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelspark import scratch
+
 #: Labelled pages that weights are fitted on, at most (in expectation; chosen by hash of the html).
 MAX_LABELLED = 5_000
 #: Names that are learnt, at most, and the fewest words under such a name.
@@ -463,6 +465,7 @@ def fit(pages: DataFrame, html_col: str = "html", max_labelled: int = MAX_LABELL
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), *(pa.array([v[i] for _, v in rows], pa.int64()) for i in (0, 1))], ["key", "inside", "outside"])
 
     sums = labelled.mapInArrow(count, "key string, inside long, outside long").groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+    sums = scratch.written(sums, "html-counts")
     known = set(_BLOCK) | set(_VOID) | set(_RAW) | {"a", "b", "i", "em", "strong", "span", "u", "s", "small", "sub", "sup", "code", "font", "label", "abbr", "cite", "q", "time", "mark"}
     # Blocks and tags are those of HTML, a few hundred; of names the most frequent ones are collected.
     is_name = F.col("key").startswith("@")

@@ -332,7 +332,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     bins = max(parts, -(-total // (2 * bin_tokens)))
 
     common = _common_tokens(rows, described, k, num, den, common_sample, common_docs)  # bounded by the sample
-    binned = scratch.written(_binned(rows, k, bins, num, den, spark.sparkContext.broadcast(common)), "jaccard-bins")
+    binned = dealt = scratch.written(_binned(rows, k, bins, num, den, spark.sparkContext.broadcast(common)), "jaccard-bins")
     crowding = _crowding_tokens(binned, bins)
     if len(crowding):
         binned = _thinned(binned, bins, spark.sparkContext.broadcast(crowding))
@@ -345,6 +345,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     stars = scratch.written(kept.repartition(bins, "bin").groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
     clusters = components(stars, "jaccard-clusters").select(F.col("node").alias("key"), F.col("label").alias("cluster"))
     clusters = scratch.written(clusters.join(classes.select("key"), "key", "left_semi"), "jaccard-members")  # without the tokens among the nodes
+    scratch.removed(dealt, stars)
 
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     members = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("members") / block)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
@@ -361,9 +362,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     first = one.select(of.alias("of"), F.explode(spread).alias("bundle"), "cluster", "key", "label", "marked", "hashes")
     join = _join_blocks(num, den)
     first = first.repartition(max(parts, bundles // TASK_BUNDLES), "of", "bundle")
-    links = scratch.written(first.groupBy("of", "bundle").applyInPandas(join, "a long, b long"), "jaccard-links")
+    links = within = scratch.written(first.groupBy("of", "bundle").applyInPandas(join, "a long, b long"), "jaccard-links")
 
-    large = sets.filter("blocks > 1")
+    large, state, more = sets.filter("blocks > 1"), None, None
     if large.limit(1).count():
         state = scratch.written(_labelled(large.drop("hashes"), links, "jaccard-first"), "jaccard-state")
         by_label = state.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -381,9 +382,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             .select("cluster", "group", F.explode(across).alias("block"), "key", "label", F.lit(True).alias("marked"), "hashes")
         )
         more = wide.union(rest).groupBy("cluster", "group", "block").applyInPandas(join, "a long, b long")
-        links = links.union(scratch.written(more, "jaccard-rest"))
+        more = scratch.written(more, "jaccard-rest")
+        links = links.union(more)
 
     linked = components(links, "jaccard-final").select(F.col("node").alias("key"), "label")
+    scratch.removed(clusters, sets, within, *[t for t in (state, more) if t is not None])
     linked = linked.join(classes.select("key", "rep"), "key")
     smallest = linked.groupBy("label").agg(F.min("rep").alias("component_id"))
     linked = linked.join(smallest, "label").select("key", "component_id")

@@ -44,7 +44,7 @@ def drop_site_lines(pages: DataFrame, id_col: str, host: Column, lines: Column,
     to no site and keep all lines; null or empty lines give an empty text. Repeated rows count as
     pages of their own. Other columns are not read. Empty in, empty out.
 
-    Frequencies are sums over (host, hash of line) combined in the map tasks, so a hot host or line
+    Frequencies are sums over (host, 128-bit hash of line) combined in the map tasks, so a hot host or line
     moves one row a task. The lines dropped on a host number at most (lines per page) / ``ratio``,
     so they fit in one array a host; the pages meet them by a broadcast if they are few in all,
     else by a join whose hot hosts adaptive execution splits.
@@ -52,13 +52,14 @@ def drop_site_lines(pages: DataFrame, id_col: str, host: Column, lines: Column,
     rows = scratch.written(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines")), "line-pages")
     sited = rows.filter(F.col("host").isNotNull())
     totals = sited.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    each = sited.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: F.xxhash64(x)))).alias("line"))
+    name = lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(x, F.lit(1)).alias("b"))  # noqa: E731  128 bits
+    each = sited.select("host", F.explode(F.array_distinct(F.transform("lines", name))).alias("line"))
     on = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("on_pages")).filter(F.col("on_pages") >= min_pages)
     common = on.join(totals, "host").filter(F.col("on_pages") > F.lit(ratio) * F.col("pages"))
     common = scratch.written(common.groupBy("host").agg(F.collect_list("line").alias("common")), "line-common")
     few = (common.agg(F.sum(F.size("common"))).first()[0] or 0) <= BROADCAST_LINES
     found = rows.join(F.broadcast(common) if few else common, "host", "left")
-    kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("common"), F.xxhash64(x))))
+    kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("common"), name(x))))
     found = found.withColumn("kept", kept)
     return found.select(
         "page_id", "host", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("text")

@@ -114,7 +114,9 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dampin
         if rounds is None:
             old = before.select("host", F.col("trust").alias("old_trust"), F.col("distrust").alias("old_distrust"))
             change = F.abs(F.col("trust") - F.col("old_trust")) + F.abs(F.col("distrust") - F.col("old_distrust"))
-            if (rank.join(old, "host").agg(F.sum(change)).first()[0] or 0.0) <= tolerance:
+            moved = rank.join(old, "host").agg(F.sum(change)).first()[0] or 0.0
+            scratch.removed(before)
+            if moved <= tolerance:
                 break
     return rank.select("host", "trust", "distrust")
 
