@@ -147,14 +147,8 @@ def real_dialogue(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: The parts of the image-editing prompt.
-_FRAMING = {
-    "half_body": "转化为标准的半身直立站姿照片。",
-    "full_body": "转化为标准的全身直立站姿照片。",
-    "close_up": "转化为标准的特写直立站姿照片。",
-    "upper_body": "转化为标准的上半身直立站姿照片。",
-    "medium_shot": "转化为标准的中景直立站姿照片。",
-    "long_shot": "转化为标准的远景直立站姿照片。",
-}
+_SHOTS = {"half_body": "半身", "full_body": "全身", "close_up": "特写", "upper_body": "上半身", "medium_shot": "中景", "long_shot": "远景"}
+_FRAMING = {name: f"转化为标准的{shot}直立站姿照片。" for name, shot in _SHOTS.items()}
 _OPENING, _OTHER = "基于原图人物进行编辑。", "转化为标准的人像照片，景别与构图可根据原图内容自行合理判断。"
 _FACING = ("正面", "背面")
 _CLOSING = ("最重要约束：生成的人物必须是", "视角。绝不可旋转人物身体。保持所有服装、头发和配件细节与原图完美一致。纯白色背景。3:4纵向比例。")
