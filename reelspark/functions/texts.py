@@ -98,8 +98,9 @@ def strict_json(text: Column) -> Column:
     into an array before a last element that must then be the second.
     """
     both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(', "end"]')))
-    whole = (F.try_variant_get(both, "$[1]", "string") == "end") & F.try_variant_get(both, "$[2]", "variant").isNull()
-    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+    whole = lambda v: (F.try_variant_get(v, "$[1]", "string") == "end") & F.try_variant_get(v, "$[2]", "variant").isNull()
+    # As the variable of a function the array is parsed once, not once for each use.
+    return F.get(F.transform(F.array(both), lambda v: F.when(whole(v), F.try_variant_get(v, "$[0]", "variant"))), 0)
 
 
 def salvaged_json(answer: Column, variant: int = 1) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.functions.texts import strict_json
+from reelspark.functions.texts import strict_json, strip
 from reelspark.operators.resume import last_per_key
 
 #: Fixed value: the last line of a finished shot list.
@@ -25,8 +25,8 @@ def lines(texts: DataFrame, text: str = "text") -> DataFrame:
 
 def latest_records(rows: DataFrame, keys: list[str], schema: str) -> DataFrame:
     """Of rows (line_no, line and more): the JSON objects, and of each key the last. Blank and malformed lines go."""
-    parsed = rows.withColumn("__v", strict_json(F.col("line"))).filter(F.col("__v").isNotNull() & F.schema_of_variant("__v").startswith("OBJECT"))
-    parsed = parsed.withColumn("r", F.from_json("line", schema)).drop("line", "__v")
+    is_object = strip(F.col("line")).startswith("{") & strict_json(F.col("line")).isNotNull()
+    parsed = rows.filter(is_object).withColumn("r", F.from_json("line", schema)).drop("line")
     flat = parsed.select(*[c for c in parsed.columns if c != "r"], "r.*")
     return last_per_key(flat, keys, "line_no")
 
