@@ -139,10 +139,6 @@ def unit_vector(v: Column) -> Column:
     return F.transform(v, lambda x: x / F.greatest(norm, F.lit(1e-12)))
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
 def neighbour_similarity(df: DataFrame, keys: list[str], frame: str, feature: str, reach: int) -> DataFrame:
     """keys, frame, offset, similarity of every frame with those up to ``reach`` before and after.
 

@@ -135,10 +135,10 @@ def stage_pending(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT 'screened' AS stage, count(*) AS done, (SELECT count(*) FROM documents) - count(*) AS pending FROM labels
 UNION ALL SELECT 'transcribed', count(DISTINCT conv_id), (SELECT count(*) FROM documents) - count(DISTINCT conv_id) FROM conversations""")
 def stage_progress(spark: SparkSession, d: str) -> DataFrame:
-    all_ = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("all"))
+    everything = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("all")).scalar()
     done = table(spark, d, "labels").agg(F.lit("screened").alias("stage"), F.count(F.lit(1)).alias("done"))
     done = done.unionByName(table(spark, d, "conversations").agg(F.lit("transcribed").alias("stage"), F.count_distinct("conv_id").alias("done")))
-    return done.crossJoin(all_).select("stage", "done", (F.col("all") - F.col("done")).alias("pending"))  # two rows and one
+    return done.select("stage", "done", (everything - F.col("done")).alias("pending"))
 
 
 def _dataset(spark: SparkSession, d: str, items: DataFrame) -> DataFrame:
@@ -150,18 +150,20 @@ def _dataset(spark: SparkSession, d: str, items: DataFrame) -> DataFrame:
     return speaking.join(images, "clip").join(meta, "movie").select("movie", "clip", "meta", "images")
 
 
-@query("""WITH imgs AS (SELECT l_orderkey AS clip, list('p' || l_linenumber || '_norm.jpg' ORDER BY l_linenumber) AS images FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_orderkey)
-SELECT o_custkey AS movie, o_orderkey AS clip, c_name AS meta, array_to_string(images, ',') AS images FROM orders JOIN customer ON c_custkey = o_custkey JOIN imgs ON clip = o_orderkey WHERE o_orderstatus = 'F'""")
+_DATASET = """WITH imgs AS (SELECT l_orderkey AS clip, list('p' || l_linenumber || '_norm.jpg' ORDER BY l_linenumber) AS images FROM lineitem GROUP BY l_orderkey)
+SELECT o_custkey AS movie, o_orderkey AS clip, c_name AS meta, array_to_string(images, ',') AS images FROM orders JOIN customer ON c_custkey = o_custkey JOIN imgs ON clip = o_orderkey WHERE o_orderstatus = 'F'"""
+
+
+@query(_DATASET)
 def dataset_join(spark: SparkSession, d: str) -> DataFrame:
-    """Speaking clips with their metadata and the images numbered 1 to 3, as its SQL has it; clips that lack any go."""
-    return _dataset(spark, d, table(spark, d, "lineitem").filter("l_linenumber <= 3"))
+    """Speaking clips with their metadata and every image; clips that lack any go."""
+    return _dataset(spark, d, table(spark, d, "lineitem"))
 
 
-@query("""WITH imgs AS (SELECT l_orderkey AS clip, list('p' || l_linenumber || '_norm.jpg' ORDER BY l_linenumber) AS images FROM lineitem GROUP BY l_orderkey)
-SELECT o_custkey AS movie, o_orderkey AS clip, c_name AS meta, array_to_string(images, ',') AS images FROM orders JOIN customer ON c_custkey = o_custkey JOIN imgs ON clip = o_orderkey WHERE o_orderstatus = 'F'""")
+@query(_DATASET)
 def dataset_join_whole(spark: SparkSession, d: str) -> DataFrame:
-    """The same with every image of a clip."""
-    return _dataset(spark, d, table(spark, d, "lineitem"))
+    """The same, under the name it had while ``dataset_join`` took three images a clip."""
+    return dataset_join(spark, d)
 
 
 @query("SELECT 'scene_' || l_orderkey AS clip, count(*) AS images, min('m/scene_' || l_orderkey || '_person' || l_linenumber || '_norm.jpg') AS first FROM lineitem GROUP BY l_orderkey")

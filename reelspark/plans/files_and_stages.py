@@ -10,8 +10,10 @@ from reelspark.functions import clips as cl
 from reelspark.functions import speakers
 from reelspark.functions import texts as tx
 from reelspark.operators import resume
+from reelspark.operators import sequences as seq
 from reelspark.plans import stand_ins as st
 from reelspark.plans.registry import query, table
+from reelspark.plans.series import _SCENES
 from reelspark.sources import files, records, subtitles
 from reelspark.streaming import stages
 
@@ -200,3 +202,16 @@ def stage_chain(spark: SparkSession, d: str) -> DataFrame:
     tables = stages.run_chain(spark, base + "/items", "doc_id bigint", ["doc_id"], base, chain)
     found = [spark.read.schema("doc_id bigint, status string").parquet(path).select(F.lit(name).alias("stage"), "status") for name, path in tables.items()]
     return found[0].union(found[1]).union(found[2]).groupBy("stage", "status").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query(_SCENES + "SELECT movie, count(*) AS shots, CAST(sum(end_frame - start_frame) AS BIGINT) AS frames, movie <> 'view' AS complete FROM r GROUP BY movie")
+def shot_list_appended(spark: SparkSession, d: str) -> DataFrame:
+    """Shot lists written in two runs, each appending what it found, with an end mark for all films but one, and read again."""
+    base = scratch.shared_dir(spark) + "/" + scratch.unique("shot-lists")
+    lines = records.shot_lines(seq.scenes(st.frame_scores(spark, d), ["movie"], "frame", "p", 0.2), "movie")
+    early = F.col("line_no") < 500
+    for part in (lines.filter(early), lines.filter(~early), records.end_marks(lines.filter("movie <> 'view'"), "movie")):
+        part.write.mode("append").parquet(base)
+    rows = spark.read.schema(lines.schema).parquet(base)
+    read = records.shots(rows, "movie").groupBy("movie").agg(F.count(F.lit(1)).alias("shots"), F.sum(F.col("end_frame") - F.col("start_frame")).alias("frames"))
+    return read.join(records.is_complete(rows, "movie"), "movie")

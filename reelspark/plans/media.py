@@ -50,19 +50,21 @@ def strip_speaker_prefix(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("conv_id").alias("clip"), "turn", tx.without_speaker(F.concat(prefix, F.col("text"))).alias("text"))
 
 
-@query("SELECT doc_id, CASE WHEN length(t) > 72 THEN left(t, 69) || '...' ELSE t END AS line FROM (SELECT doc_id, left(text, 20 + CAST(doc_id%100 AS BIGINT)) AS t FROM documents)")
-def subtitle_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Beginnings of texts, of up to 119 characters as the SQL cuts them, as lines on the picture."""
-    text = F.expr("left(text, cast(20 + doc_id % 100 as int))")
-    return table(spark, d, "documents").select("doc_id", tx.ellipsis(text).alias("line"))
+_LINES = "SELECT doc_id, CASE WHEN length(text) > 72 THEN left(text, 69) || '...' ELSE text END AS line FROM documents"
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > 72 THEN left(text, 69) || '...' ELSE text END AS line FROM documents")
-def subtitle_lines_whole(spark: SparkSession, d: str) -> DataFrame:
+@query(_LINES)
+def subtitle_lines(spark: SparkSession, d: str) -> DataFrame:
     """Whole texts, of any length, as lines on the picture."""
     return table(spark, d, "documents").select("doc_id", tx.ellipsis(F.col("text")).alias("line"))
 
 
+@query(_LINES)
+def subtitle_lines_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The same, under the name it had while ``subtitle_lines`` took beginnings of texts."""
+    return subtitle_lines(spark, d)
+
+
 def _salvage(variant: int):
     def run(spark: SparkSession, d: str) -> DataFrame:
         parsed = st.answers(spark, d).withColumn("v", tx.salvaged_json(F.col("answer"), variant))

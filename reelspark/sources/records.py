@@ -50,6 +50,16 @@ def shots(rows: DataFrame, key: str) -> DataFrame:
     return kept.filter("start_frame IS NOT NULL AND end_frame IS NOT NULL")
 
 
+def shot_lines(found: DataFrame, key: str) -> DataFrame:
+    """key, line_no, line: a line of a shot list for each shot (key, start_frame, end_frame), in the order of their starts; ``shots`` reads it."""
+    return found.select(key, F.col("start_frame").cast("long").alias("line_no"), F.concat_ws(" ", "start_frame", "end_frame").alias("line"))
+
+
+def end_marks(finished: DataFrame, key: str) -> DataFrame:
+    """The line that ends the shot list of each ``key``, once, after all others; ``is_complete`` reads it."""
+    return finished.select(key).distinct().select(key, F.lit(2**63 - 1).cast("long").alias("line_no"), F.lit(COMPLETE).alias("line"))
+
+
 def is_complete(rows: DataFrame, key: str) -> DataFrame:
     """key, complete: whether the last line that is not blank is the end mark."""
     return rows.filter(F.trim("line") != "").groupBy(key).agg((F.max_by(F.trim("line"), "line_no") == COMPLETE).alias("complete"))

@@ -312,16 +312,32 @@ def test_dataset_has_every_image(spark, tmp_path):
     }
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
-    got = {r["clip"]: r["images"] for r in QUERIES["dataset_join_whole"](spark, str(tmp_path)).collect()}
-    assert got == {1: ",".join(f"p{k}_norm.jpg" for k in range(1, 8)), 2: "p4_norm.jpg,p5_norm.jpg"}
+    for name in ("dataset_join", "dataset_join_whole"):
+        got = {r["clip"]: r["images"] for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert got == {1: ",".join(f"p{k}_norm.jpg" for k in range(1, 8)), 2: "p4_norm.jpg,p5_norm.jpg"}
 
 
 def test_subtitle_lines_of_whole_texts(spark, tmp_path):
-    """Lengths on both sides of the limit, under an id whose text the cut query shortens to 20 characters."""
+    """Lengths on both sides of the limit; ids tell nothing about what is taken."""
     rows = [(100 * k, text) for k, text in enumerate(("", "short", "a" * 72, "b" * 73, "c" * 5000, None))]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r["line"] for r in QUERIES["subtitle_lines_whole"](spark, str(tmp_path)).collect()}
-    assert got == {0: "", 100: "short", 200: "a" * 72, 300: "b" * 69 + "...", 400: "c" * 69 + "...", 500: None}
+    for name in ("subtitle_lines", "subtitle_lines_whole"):
+        got = {r["doc_id"]: r["line"] for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert got == {0: "", 100: "short", 200: "a" * 72, 300: "b" * 69 + "...", 400: "c" * 69 + "...", 500: None}
+
+
+def test_shot_lists_as_files(spark, tmp_path):
+    """Lines of two films, of which one is finished, written as files and read as whole texts."""
+    found = spark.createDataFrame([("a", 7, 20), ("a", 0, 7), ("b", 3, 4)], "film string, start_frame long, end_frame long")
+    rows = records.shot_lines(found, "film").unionByName(records.end_marks(found.filter("film = 'a'"), "film"))
+    for film in ("a", "b"):
+        lines = [r["line"] for r in rows.filter(F.col("film") == film).orderBy("line_no").collect()]
+        (tmp_path / f"{film}.txt").write_text("\n".join(lines) + "\n")
+    assert (tmp_path / "a.txt").read_text() == "0 7\n7 20\n# COMPLETE\n"
+    texts = records.whole_texts(spark, str(tmp_path)).withColumn("film", F.regexp_extract("path", r"([^/]*)\.txt$", 1)).drop("path")
+    read = records.lines(texts)
+    assert sorted(tuple(r) for r in records.shots(read, "film").select("film", "start_frame", "end_frame").collect()) == [("a", 0, 7), ("a", 7, 20), ("b", 3, 4)]
+    assert {r["film"]: r["complete"] for r in records.is_complete(read, "film").collect()} == {"a": True, "b": False}
 
 
 def test_resume_and_merge(spark):
