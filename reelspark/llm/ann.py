@@ -9,6 +9,7 @@ ranked anew by the original vectors, in double precision.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspark import scratch
+from reelspark.llm.sampling import about
 
 BOOKS, WORDS, BEAM = 12, 256, 4
 #: Vectors that codebooks are fitted on, at most (chosen by hash), and passes of their fit.
@@ -106,18 +108,21 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def build_index(good: DataFrame, dim: int, max_fit: int = MAX_FIT) -> tuple[DataFrame, np.ndarray]:
-    """Every row of ``good``, all of ``dim`` components, with its codes and norms as a table in the shared folder, and the codebooks (of fixed size)."""
-    total = good.count()
+    """Every row of ``good``, all of ``dim`` components, with its codes and norms as a table in the shared folder, and the codebooks (of fixed size).
+
+    Codes are of the vectors over one power of two, above all components, so that single precision neither overflows nor loses digits.
+    """
+    total, largest = good.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("vector", F.abs)))).first()
+    power = math.frexp(largest or 1.0)[1]
     hashed = F.xxhash64("vec_id", "vector")
-    picked = good.filter(F.pmod(hashed, F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_fit / max(1, total))))
-    picked = picked.orderBy(hashed, "vec_id").limit(max_fit)  # repeated rows are picked together
-    x = np.array([r["vector"] for r in picked.select("vector").collect()], np.float32).reshape(-1, dim)
+    picked = good.filter(about(hashed, max_fit, total)).orderBy(hashed, "vec_id").limit(max_fit)  # repeated rows are picked together
+    x = np.ldexp(np.array([r["vector"] for r in picked.select("vector").collect()], np.float64).reshape(-1, dim), -power).astype(np.float32)
     books = fit_codebooks(x)
     sent = good.sparkSession.sparkContext.broadcast(books)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _vectors(batch.column(1), dim).astype(np.float32)
+            v = np.ldexp(_vectors(batch.column(1), dim), -power).astype(np.float32)
             codes, norms = encode(v, sent.value)
             ratio = np.sqrt((v * v).sum(1) / np.maximum(norms, 1e-12))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratio, pa.float32())], ["vec_id", "vector", "codes", "norm"])
@@ -160,7 +165,8 @@ def search(index: DataFrame, books: np.ndarray, queries: DataFrame, dim: int, k:
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, q = sent.value
-            lookup = np.stack([q.astype(np.float32) @ book.T for book in table.value])  # books x queries x words
+            level = np.ldexp(q, -np.frexp(np.abs(q).max(axis=1, initial=0))[1][:, None]).astype(np.float32)  # a query's own power of two changes no order
+            lookup = np.stack([level @ book.T for book in table.value])  # books x queries x words
             best_id = np.zeros((len(ids), 0), np.int64)
             best_score = np.zeros((len(ids), 0))
             for batch in batches:

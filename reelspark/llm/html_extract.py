@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
+from reelspark.llm.sampling import about
 
 #: Labelled pages that weights are fitted on, at most (in expectation; chosen by hash of the html).
 MAX_LABELLED = 5_000
@@ -452,9 +453,7 @@ def fit(pages: DataFrame, html_col: str = "html", max_labelled: int = MAX_LABELL
     """Weights from the pages that mark their content by one article or main element."""
     page = F.col(html_col).cast("string")
     labelled = pages.select(page.alias("html")).filter(F.regexp_count(F.col("html"), F.lit(r"(?i)<(?:article|main)\b")) == 1)
-    total = labelled.count()
-    if total > max_labelled:
-        labelled = labelled.filter(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / total))
+    labelled = labelled.filter(about(F.xxhash64("html"), max_labelled, labelled.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from reelspark import scratch
 from reelspark.llm.components import components
+from reelspark.llm.sampling import about
 from reelspark.llm.shingles import set_key, shingle_sets
 from reelspark.llm.signature_tree import linking_pairs, required
 
@@ -90,7 +91,7 @@ def _described(rows: DataFrame, k: int) -> DataFrame:
 
 def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den: int, sample: int, least: int) -> np.ndarray:
     """Tokens that stand among the first of at least ``least`` classes of a sample, chosen by hash of the text; bounded by the sample, sorted."""
-    share = min(1.0, sample / max(1, described.count()))
+    total = described.count()
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +100,7 @@ def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den:
             blobs = [(s[: _prefix(len(s), num, den)[0]] >> np.uint64(16)).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["key", "tokens"])
 
-    picked = rows.filter(F.pmod(F.xxhash64("text_hash", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
+    picked = rows.filter(about(F.xxhash64("text_hash", F.lit(5)), sample, total))
     found = picked.filter("doc_id IS NOT NULL").select("data").mapInArrow(first, "key long, tokens binary").dropDuplicates(["key"])
     # Counted where they are: a token common in the sample is common in some task's share of it or summed up from all.
     counts = found.withColumn("share", F.pmod(F.col("key"), F.lit(8))).groupBy("share").applyInPandas(_token_counts, "tokens binary, counts binary").collect()

@@ -143,7 +143,8 @@ def repeat_by_mix(
         & docs[source_col].cast("string").eqNullSafe(found["__mix_source"])
         & (n_words(docs[text_col]) == found["__mix_size"])
     )
-    below = F.pmod(F.xxhash64(docs[text_col].cast("string"), F.lit(seed)), F.lit(1_000_000)) * F.col("__mix_copies") < F.col("__mix_more") * 1_000_000
+    hashed = F.xxhash64(docs[text_col].cast("string"), F.lit(seed)).cast("double")
+    below = hashed < F.col("__mix_more") / F.col("__mix_copies") * F.lit(2.0**64) - F.lit(2.0**63)
     repeats = F.col("__mix_whole") + ((F.col("__mix_more") == F.col("__mix_copies")) | below).cast("long")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_repeats"))).alias("__mix_time")
     taken = docs.join(found, same).withColumn("__mix_repeats", repeats).filter("__mix_repeats > 0")

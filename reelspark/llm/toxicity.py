@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
+from reelspark.llm.sampling import about
 from reelspark.llm.shingles import CHUNK_BYTES, _power, mix
 
 #: Labelled documents used for fitting, at most (in expectation; chosen by hash).
@@ -198,17 +199,12 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_co
     """Fit the chain for ``categories`` (name: boolean column of ``labels``, null counts as false), in that order."""
     names = list(categories)
     own = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("label_id")).agg(*[F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(f"y{k}") for k, c in enumerate(categories.values())])
-    labelled = own.count()
-    share = min(1.0, max_labelled / max(1, labelled))
-    hashed = F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(1_000_000))
-    own = own.filter(hashed < int(share * 1_000_000)) if share < 1 else own
+    own = own.filter(about(F.xxhash64("label_id", F.lit(7)), max_labelled, own.count()))
     sample = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).cast("string").cast("binary").alias("data"))
     own = F.broadcast(own)  # bounded by max_labelled
     # An id may stand on very many rows: they are thinned by a hash of id and text, and equal ones become one.
     rows = docs.select(F.col(id_col).cast("long").alias("label_id")).join(own, "label_id").count()
-    sample = sample.join(own, "label_id").withColumn("hash", F.xxhash64("label_id", "data"))
-    if rows > max_labelled:
-        sample = sample.filter(F.pmod("hash", F.lit(1_000_000)) < int(max_labelled / rows * 1_000_000))
+    sample = sample.join(own, "label_id").withColumn("hash", F.xxhash64("label_id", "data")).filter(about(F.col("hash"), max_labelled, rows))
     sample = sample.dropDuplicates(["label_id", "hash"]).withColumn("fold", F.pmod(F.xxhash64("label_id", F.lit(11)), F.lit(FOLDS)).cast("int"))
     columns = ["label_id", "data", *[f"y{k}" for k in range(len(names))], "fold"]
     sample = scratch.written(sample.select(*columns), "toxicity-sample")

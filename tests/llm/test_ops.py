@@ -16,6 +16,7 @@ import corpus_pipeline
 from reelspark.llm import ann, exact_dedup, html_extract, jaccard, line_dedup, mixing, packing, tokens, toxicity, url_filter
 from reelspark.llm.components import components
 from reelspark.llm.queries import QUERIES, SQL
+from reelspark.llm.sampling import about
 from reelspark.llm.shingles import shingle_sets
 from reelspark.llm.signature_tree import linking_pairs
 
@@ -48,6 +49,19 @@ def empty_docs(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def test_samples_keep_their_size(spark):
+    """Also where the share is far below a millionth: the bound is told, not rounded to none."""
+    hashes = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    for wanted in (0, 10, 1_000, 150_000):
+        got = hashes.filter(about(F.col("h"), wanted, 200_000)).count()
+        assert abs(got - wanted) <= 6 * wanted**0.5
+    assert hashes.filter(about(F.col("h"), 200_000, 200_000)).count() == 200_000
+    lowest = -(1 << 63)
+    tiny = spark.createDataFrame([(lowest + 5_000,), (lowest + 20_000,)], "h long")
+    assert [r["h"] for r in tiny.filter(about(F.col("h"), 1, (1 << 64) // 10_000)).collect()] == [lowest + 5_000]
+    assert spark.createDataFrame([], "h long").filter(about(F.col("h"), 5, 0)).count() == 0
+
+
 # --- exact duplicates
 
 
@@ -726,6 +740,17 @@ def test_odd_vectors(spark):
     assert ann.nearest(df.filter("vec_id = 1"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("power", [-400, -130, 130, 400])
+def test_very_large_and_small_vectors(spark, power):
+    """Beyond single precision, products inside double: the neighbours are those of the same vectors at one."""
+    v = np.random.default_rng(3).normal(size=(900, 8))
+    plain, scaled = (
+        [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(spark.createDataFrame([(k, x) for k, x in enumerate(m.tolist())], "vec_id long, embedding array<double>"), F.col("vec_id") % 90 == 0).orderBy("query_id", "rank").collect()]
+        for m in (v, np.ldexp(v, power))
+    )
+    assert len(plain) == 200 and scaled == plain
+
+
 def test_equal_vectors_go_by_id(spark):
     """More equal vectors in one task than a shortlist holds, in no order of ids."""
     rows = [(k * 7919 % 2000, [1.0, 2.0]) for k in range(2000)] + [(2000, [1.0, 2.0]), (2001, [0.5, 1.0])]
