@@ -13,8 +13,10 @@ losing a pair, what may be similar; trees then do the joining inside small block
 4. *Blocks*: a cluster is dealt by hash into blocks of about ``BLOCK`` classes. First every block is
    joined with the cluster's block 0, each by a signature tree with dual traversal and exact
    comparison at the leaves. In a cluster of near copies that already connects nearly all.
-5. *Rest*: classes outside their cluster's largest component are dealt into blocks of their own and
-   joined, by trees again, with every block of the cluster. A pair inside one component is skipped.
+5. *Rest*: classes outside their cluster's largest component are dealt into groups of their own, by
+   bands of set size, and joined, by trees again, with every block of the cluster, of which only the
+   sets of the same and the next bands move: sizes further apart prove a pair dissimilar. A pair
+   inside one component is skipped.
 
 Tokens that are very common are known to be shared and come last among the rare: they bypass the
 bins, so that no bin gathers a large part of all classes, and in step 3 their classes meet in salted
@@ -27,6 +29,7 @@ Nothing is capped: pairs are left out only if proven dissimilar or already conne
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +57,8 @@ BIN_TOKENS, BLOCK = 400_000, 256
 CROWDED, CROWD_SHARE, MOST_COMMON = 2, 0.25, 1_000_000
 #: Bundles of blocks that a task joins.
 TASK_BUNDLES = 32
+#: Tasks of a stage at most, as many as a driver can keep track of; beyond, tasks hold several bins or bundles, one after the other.
+MAX_TASKS = 100_000
 
 
 _BINNED = "bin long, owners binary, counts binary, high binary, low binary, size long"
@@ -339,11 +344,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         binned = _thinned(binned, bins, spark.sparkContext.broadcast(crowding))
         common = np.union1d(common, crowding)
     common = spark.sparkContext.broadcast(common)
-    # As many tasks as bins, so that none reads more when the input grows.
-    found = binned.drop("size").repartition(bins, "bin").groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
+    # As many tasks as bins, so that none reads more when the input grows; memory is that of a bin even where a task has several.
+    tasks = min(bins, MAX_TASKS)
+    found = binned.drop("size").repartition(tasks, "bin").groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
     shared = found.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
     kept = shared.join(classes.select("key", "n"), "key").select("key", "n", "tokens", "dfs").mapInArrow(_kept_tokens(bins, num, den, common), "bin long, tokens binary, owners binary")
-    stars = scratch.written(kept.repartition(bins, "bin").groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
+    stars = scratch.written(kept.repartition(tasks, "bin").groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
     clusters = components(stars, "jaccard-clusters").select(F.col("node").alias("key"), F.col("label").alias("cluster"))
     clusters = scratch.written(clusters.join(classes.select("key"), "key", "left_semi"), "jaccard-members")  # without the tokens among the nodes
     scratch.removed(dealt, stars)
@@ -362,27 +368,30 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     of = F.when(F.col("blocks") > 1, F.col("cluster"))
     first = one.select(of.alias("of"), F.explode(spread).alias("bundle"), "cluster", "key", "label", "marked", "hashes")
     join = _join_blocks(num, den)
-    first = first.repartition(max(parts, bundles // TASK_BUNDLES), "of", "bundle")
+    first = first.repartition(max(parts, min(MAX_TASKS, bundles // TASK_BUNDLES)), "of", "bundle")
     links = within = scratch.written(first.groupBy("of", "bundle").applyInPandas(join, "a long, b long"), "jaccard-links")
 
     large, state, more = sets.filter("blocks > 1"), None, None
     if large.limit(1).count():
+        # Similar sets are at most one band of sizes apart; the width is a little above the ratio, for the logarithm's last digits.
+        width = max(math.log(den / num), 1e-6) * (1 + 1e-6)
+        large = large.withColumn("band", F.floor(F.log(F.octet_length("hashes")) / width))
         state = scratch.written(_labelled(large.drop("hashes"), links, "jaccard-first"), "jaccard-state")
         by_label = state.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
-        main = by_label.groupBy("cluster").agg(F.max(F.struct("size", "label")).alias("m"), F.sum("size").alias("all"))
-        main = main.select("cluster", F.col("m.label").alias("main"), (F.col("all") - F.col("m.size")).alias("outside"))
-        main = main.filter("outside > 0").withColumn("groups", F.ceil(F.col("outside") / block))
-        open_ = state.join(main, "cluster").select("cluster", "key", "block", "blocks", "label", "main", "groups")
+        main = by_label.groupBy("cluster").agg(F.max(F.struct("size", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
+        outside = state.join(main, "cluster").filter("label <> main").groupBy("cluster", "main", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias("groups"))
+        # One row a cluster: the bands of its outside classes, as many as sizes have, each with its number of groups.
+        outside = outside.groupBy("cluster", "main").agg(F.collect_list(F.struct("band", "groups")).alias("bands"))
+        open_ = state.join(outside, "cluster").select("cluster", "key", "block", "blocks", "band", "label", "main", "bands")
         open_ = large.select("key", "hashes").join(open_, "key")
-        every = F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)
-        across = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-        wide = open_.select("cluster", F.explode(every).alias("group"), F.col("block"), "key", "label", F.lit(False).alias("marked"), "hashes")
-        rest = (
-            open_.filter(F.col("label") != F.col("main"))
-            .withColumn("group", F.pmod(F.xxhash64("key", F.lit(1)), F.col("groups")))
-            .select("cluster", "group", F.explode(across).alias("block"), "key", "label", F.lit(True).alias("marked"), "hashes")
-        )
-        more = wide.union(rest).groupBy("cluster", "group", "block").applyInPandas(join, "a long, b long")
+        close = F.filter("bands", lambda b: F.abs(b["band"] - F.col("band")) <= 1)
+        own = F.filter("bands", lambda b: b["band"] == F.col("band"))[0]["groups"]
+        every = F.explode(F.flatten(F.transform(close, lambda b: F.transform(F.sequence(F.lit(0).cast("long"), b["groups"] - 1), lambda g: F.struct(b["band"].alias("band"), g.alias("group"))))))
+        wide = open_.select("cluster", every.alias("to"), "block", "key", "label", F.lit(False).alias("marked"), "hashes")
+        to = F.struct("band", F.pmod(F.xxhash64("key", F.lit(1)), own).alias("group"))
+        across = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        rest = open_.filter("label <> main").select("cluster", to.alias("to"), across.alias("block"), "key", "label", F.lit(True).alias("marked"), "hashes")
+        more = wide.union(rest).groupBy("cluster", "to", "block").applyInPandas(join, "a long, b long")
         more = scratch.written(more, "jaccard-rest")
         links = links.union(more)
 

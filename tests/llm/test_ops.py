@@ -252,6 +252,15 @@ def test_components_of_large_clusters_in_small_blocks(spark):
     check_components(spark, rows, block=16, bin_tokens=500, common_sample=100, common_docs=6)
 
 
+def test_components_of_a_cluster_with_all_sizes(spark, monkeypatch):
+    """One cluster by a shared passage whose sets are of 60 to 460 shingles, linked in chains only; tasks hold several bins."""
+    monkeypatch.setattr(jaccard, "MAX_TASKS", 3)
+    passage = [f"shared{k}" for k in range(60)]
+    rows = [(k, " ".join(passage + [f"own{j}" for j in range(0, 4 + 10 * (k // 2))] + ["end"] * (k % 2))) for k in range(80)]
+    rows += [(1000 + k, " ".join(passage + [f"alone{k}w{j}" for j in range(5 * k)])) for k in range(60)]
+    check_components(spark, rows, block=4, bin_tokens=500)
+
+
 def test_components_with_crowded_bins(spark, monkeypatch):
     """A passage that the sample does not show but that crowds the bins of its tokens."""
     seen = []
