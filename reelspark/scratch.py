@@ -2,7 +2,7 @@
 
 Long jobs cut their lineage by writing a Parquet table below ``spark.checkpoint.dir`` and reading
 it again: the files outlive any executor, and columns can be pruned on the second read. Tables of steps that
-are over are removed.
+are over are removed; those that a lazy result still reads stand in the application's own folder, which ``clear`` removes.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: dict[str, str] = {}  # application id -> folder, where the cluster names none
 
 
@@ -29,6 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def app_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def unique(name: str) -> str:
     """``name`` with an ending that no other run has."""
     return f"{name}-{uuid.uuid4().hex}"
@@ -37,9 +43,15 @@ def unique(name: str) -> str:
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back with the schema it was written with."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{unique(name)}"
+    path = f"{app_dir(spark)}/{unique(name)}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    # Nothing reads the shuffles of this write once the table stands, so they need not wait for the driver's garbage collection.
+    before = spark.conf.get(_CLEANUP, None)
+    try:
+        spark.conf.set(_CLEANUP, "true")
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
     table._scratch_path = path
     return table
@@ -49,6 +61,14 @@ def removed(*tables: DataFrame) -> None:
     """Delete tables that ``written`` gave; for those that nothing reads any more, since what came of them is written too."""
     for table in tables:
         if path := getattr(table, "_scratch_path", None):
-            spark = table.sparkSession
-            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+            _delete(table.sparkSession, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables of this application; for when every result that reads one is stored elsewhere."""
+    _delete(spark, app_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
