@@ -13,6 +13,7 @@ from reelspark.llm.jaccard import OP6_SQL, op6_ngram_jaccard
 from reelspark.llm.line_dedup import OP4_SQL, op4_line_dedup
 from reelspark.llm.mixing import OP3_SQL, op3_mixing
 from reelspark.llm.packing import op10_packing
+from reelspark.llm.substring_dedup import OP11_SQL, op11_substring_dedup
 from reelspark.llm.tokens import op7_token_counts
 from reelspark.llm.toxicity import op8_toxicity
 from reelspark.llm.url_filter import op1_url_filter
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op11_substring_dedup": op11_substring_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -35,4 +37,5 @@ SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op6_ngram_jaccard": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_substring_dedup": OP11_SQL,
 }
