@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelspark.llm.ann import op2_ann
+from reelspark.llm.collocations import OP12_SQL, op12_collocations
 from reelspark.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from reelspark.llm.html_extract import op5_html_extract
 from reelspark.llm.jaccard import OP6_SQL, op6_ngram_jaccard
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_collocations": op12_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -38,4 +40,5 @@ SQL: dict[str, str] = {
     "op6_ngram_jaccard": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op11_substring_dedup": OP11_SQL,
+    "op12_collocations": OP12_SQL,
 }

@@ -41,9 +41,9 @@ def joined(texts: list[bytes], lower: bool = False) -> np.ndarray:
     return _LOWER[data] if lower else data
 
 
-def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of every word."""
-    in_word = _IN_WORD[data]
+def spans(data: np.ndarray, in_word: np.ndarray = _IN_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every word; ``in_word``: which of the 256 bytes words are made of."""
+    in_word = in_word[data]
     edges = np.flatnonzero(in_word[1:] != in_word[:-1]) + 1
     return edges[::2], edges[1::2]
 
@@ -99,7 +99,12 @@ def rolled(words: np.ndarray, k: int) -> np.ndarray:
 def _pair(a: np.ndarray, b: np.ndarray, offset: int) -> np.ndarray:
     """Hashes of runs that go on with the run of ``b`` that begins ``offset`` words later."""
     n = max(0, min(len(a), len(b) - offset))
-    return mix(a[:n] + _STEP) * _ODD + b[offset : offset + n]
+    return follow(a[:n], b[offset : offset + n])
+
+
+def follow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hashes of sequences that hash to ``a`` and then to ``b``."""
+    return mix(a + _STEP) * _ODD + b
 
 
 def batches(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
