@@ -361,15 +361,15 @@ w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS ws FROM p),
 g AS (
   SELECT lang, k, array_to_string(ws[i:i+k-1], ' ') AS t
   FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) v(k) WHERE len(ws) >= k)),
-f AS (SELECT lang, k, t, count(*) AS c FROM g GROUP BY lang, k, t),
+f AS MATERIALIZED (SELECT lang, k, t, lang || chr(10) || t AS id, count(*) AS c FROM g GROUP BY lang, k, t),
 n AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang),
-a AS (SELECT lang, k, t, c, string_split(t, ' ') AS ws FROM f WHERE k > 1 AND c >= 30),
+a AS MATERIALIZED (SELECT lang, k, t, c, string_split(t, ' ') AS ws FROM f WHERE k > 1 AND c >= 30),
 cuts AS (SELECT lang, k, t, c, ws, unnest(range(1, k)) AS j FROM a),
 s AS (
   SELECT cuts.lang, cuts.k, cuts.t, cuts.c, j, x.c AS l, y.c AS r, CAST(CAST(2000000 AS HUGEINT) * cuts.c // (x.c + y.c) AS BIGINT) AS score
-  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.t = array_to_string(ws[1:j], ' ') AND x.k = j
-            JOIN f y ON y.lang = cuts.lang AND y.t = array_to_string(ws[j+1:], ' ') AND y.k = cuts.k - j),
-b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, t ORDER BY score, j) = 1),
+  FROM cuts JOIN f x ON x.id = cuts.lang || chr(10) || array_to_string(ws[1:j], ' ')
+            JOIN f y ON y.id = cuts.lang || chr(10) || array_to_string(ws[j+1:], ' ')),
+b AS MATERIALIZED (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, t ORDER BY score, j) = 1),
 parts AS (
   SELECT lang, c, array_to_string(ws[i:i+m-1], ' ') AS t
   FROM (SELECT lang, c, ws, k, m, unnest(range(1, k - m + 2)) AS i FROM a, (VALUES (2), (3)) v(m) WHERE m < k)),

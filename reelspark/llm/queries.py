@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelspark.llm.ann import op2_ann
 from reelspark.llm.collocations import OP12_SQL, op12_collocations
 from reelspark.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from reelspark.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from reelspark.llm.html_extract import op5_html_extract
 from reelspark.llm.jaccard import OP6_SQL, op6_ngram_jaccard
 from reelspark.llm.line_dedup import OP4_SQL, op4_line_dedup
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_substring_dedup": op11_substring_dedup,
     "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -41,4 +43,5 @@ SQL: dict[str, str] = {
     "op9_exact_dedup": OP9_SQL,
     "op11_substring_dedup": OP11_SQL,
     "op12_collocations": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
