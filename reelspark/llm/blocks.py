@@ -97,3 +97,15 @@ def with_answers(blocks: DataFrame, *answers: DataFrame, how: str = "inner") ->
         every = rows if every is None else every.union(rows)
     grouped = every.groupBy("block").agg(F.collect_list("answer").alias("answers"))
     return blocks.join(grouped.hint("shuffle_hash"), "block", how)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes each as the largest needs."""
+    for width in (1, 2, 4):
+        if numbers.max(initial=0) < 1 << 8 * width:
+            return numbers.astype(f"<u{width}").tobytes()
+    return numbers.astype("<u8").tobytes()
+
+
+def unpacked(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // count}" if count else np.uint8).astype(np.int64)

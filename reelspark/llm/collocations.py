@@ -5,12 +5,12 @@
    suffixes with a common prefix of n words (LCP intervals) are its phrases of n words with their
    counts. Sorted keys and counts go, cut into tiles by hash, to be added up over all shards; each shard
    learns which of its phrases reach the threshold, and their counts in all.
-3. A phrase is no more frequent than its parts. So words are counted first, then pairs of frequent
+3. A phrase is no more frequent than its parts. So words are counted first and infrequent ones become breaks, then pairs of
    words, then phrases of three and four whose pairs are all frequent; the rest never leaves its shard.
 4. A shard that holds a phrase also holds its parts, and knows their counts. One shard of those
    that hold a phrase scores it and tells which of its parts it makes superfluous.
 
-Keys are 128 bits of hash with seeds drawn anew for each run; a language is part of the key.
+Keys are 96 bits of hash with seeds drawn anew for each run; a language is part of the key.
 """
 
 from __future__ import annotations
@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspark import scratch
-from reelspark.llm.blocks import MAX_TASKS, by_tile, table_of, with_answers
+from reelspark.llm.blocks import MAX_TASKS, by_tile, packed, table_of, unpacked, with_answers
 from reelspark.llm.words import follow, hashes, joined, mix, new_seed, per_text, spans
 
 LEAST, LONGEST, COVERED, TOP = 30, 4, 80, 2000
 #: Bytes of text in a shard, and words in all per tile.
-SHARD_BYTES, TILE_WORDS = 1 << 23, 1 << 21
+SHARD_BYTES, TILE_WORDS = 1 << 22, 1 << 20
 #: Salts that a language's phrases are ranked in first.
 SALTS = 64
 
@@ -39,8 +39,10 @@ _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _IN_WORD = ~_BREAK
 _IN_WORD[[9, 32]] = False
 
-_SHARD = {"shard": pa.int64(), "langs": pa.list_(pa.string()), "lang_words": pa.list_(pa.int64()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "one": pa.binary(), "two": pa.binary(), "n": pa.binary()}
-_SHARD_SQL = "shard long, langs array<string>, lang_words array<long>, seq binary, vocabulary binary, lang_of binary, one binary, two binary, n binary"
+_SHARD = {"block": pa.int64(), "langs": pa.list_(pa.string()), "lang_words": pa.list_(pa.int64()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "one": pa.binary(), "two": pa.binary(), "n": pa.binary()}
+_SHARD_SQL = "block long, langs array<string>, lang_words array<long>, seq binary, vocabulary binary, lang_of binary, one binary, two binary, n binary"
+_COMPACT = {"block": pa.int64(), "langs": pa.list_(pa.string()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "one": pa.binary(), "two": pa.binary(), "totals": pa.binary()}
+_COMPACT_SQL = "block long, langs array<string>, seq binary, vocabulary binary, lang_of binary, one binary, two binary, totals binary"
 _SENT = {"tile": pa.int32(), "block": pa.int64(), "one": pa.binary(), "two": pa.binary(), "n": pa.binary()}
 _SENT_SQL = "tile int, block long, one binary, two binary, n binary"
 _ANSWER = {"block": pa.int64(), "tile": pa.int32(), "frequent": pa.binary(), "own": pa.binary(), "totals": pa.binary()}
@@ -66,7 +68,7 @@ def encoded(texts: list[bytes], langs: list[str], seeds: tuple[int, int]) -> dic
     seq[np.arange(len(ids)) + np.cumsum(new)] = ids + 1
     words = [data[a:b].tobytes() for a, b in zip(first[at].tolist(), last[at].tolist(), strict=True)]
     return {
-        "langs": names, "lang_words": np.bincount(lang, minlength=len(names)).tolist(), "seq": seq.tobytes(), "vocabulary": b" ".join(words),
+        "langs": names, "lang_words": np.bincount(lang, minlength=len(names)).tolist(), "seq": _planes(seq), "vocabulary": b" ".join(words),
         "lang_of": lang[at].astype(np.int32).tobytes(), "one": one.tobytes(), "two": two.tobytes(), "n": n.astype(np.int64).tobytes(),
     }
 
@@ -123,50 +125,69 @@ def _keys(seq: np.ndarray, at: np.ndarray, n: int, word: np.ndarray) -> np.ndarr
         return mix(key + _U(n))
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers below 2^32 with all their first bytes before all their second ones and so on, as compression likes them."""
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int32)
+
+
+def _order(one: np.ndarray, two: np.ndarray, tiles: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that keys are sent in, and the tiles in that order."""
+    tile = (one >> _U(32)) % _U(tiles)
+    order = np.lexsort((two, one, tile))
+    return order, tile[order].astype(np.int64)
+
+
+def _rows(shard: int, tiles: int, one: np.ndarray, two: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    order, tile = _order(one, two, tiles)
+    one, two, n = one[order], two[order].astype(np.uint32), n[order]
+    return table_of(_SENT, [(t, shard, one[a:b].tobytes(), two[a:b].tobytes(), packed(n[a:b])) for t, a, b in by_tile(tile)])
+
+
+def _told(answers: list[dict], kind: int, tiles: int, one: np.ndarray, two: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts in all of what was sent (0 where below the threshold), and whether this shard is to score it."""
+    order, tile = _order(one, two, tiles)
+    by = {a["tile"]: a for a in answers or () if a["kind"] == kind}
+    totals, own = np.zeros(len(one), np.int64), np.zeros(len(one), bool)
+    for t, a, b in by_tile(tile):
+        if t in by:
+            frequent, mine = (np.unpackbits(np.frombuffer(by[t][c], np.uint8), count=b - a).astype(bool) for c in ("frequent", "own"))
+            totals[order[a:b][frequent]] = unpacked(by[t]["totals"], int(frequent.sum()))
+            own[order[a:b]] = mine
+    return totals, own
+
+
+def _words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    every = np.arange(len(row["one"]) // 8)
+    one, two = (_keys(every + 1, every, 1, np.frombuffer(row[c], _U)) for c in ("one", "two"))
+    return one, two, np.frombuffer(row["n"], np.int64)
+
+
+def _compacted(row: dict, tiles: int) -> tuple:
+    """A row of ``_COMPACT``: the shard with only its frequent words, the most frequent first; others are breaks, and runs of breaks one."""
+    totals = _told(row["answers"], 0, tiles, *_words(row))[0]
+    keep = np.argsort(-totals, kind="stable")[: int((totals > 0).sum())]
+    renamed = np.zeros(len(totals) + 1, np.int32)
+    renamed[keep + 1] = np.arange(1, len(keep) + 1)
+    seq = renamed[_unplaned(row["seq"])]
+    seq = seq[(seq > 0) | np.concatenate(([False], seq[:-1] > 0))] if len(seq) else seq
+    words = row["vocabulary"].split(b" ")
+    names = (np.frombuffer(row[c], kind)[keep].tobytes() for c, kind in (("lang_of", np.int32), ("one", _U), ("two", _U)))
+    return row["block"], row["langs"], _planes(seq), b" ".join([words[i] for i in keep]), *names, totals[keep].tobytes()
+
+
 class _Shard:
-    """A shard as far as answers tell its frequent phrases; each level is worked out from the answers to the one before."""
+    """A compacted shard as far as answers tell its frequent phrases; each level is worked out from the answers to the one before."""
 
     def __init__(self, row: dict, tiles: int):
-        self.row, self.tiles = row, tiles
+        self.row, self.tiles, self.answers = row, tiles, row.get("answers")
         self.one, self.two = (np.frombuffer(row[c], _U) for c in ("one", "two"))
-        self.n, self.seq = np.frombuffer(row["n"], np.int64), np.frombuffer(row["seq"], np.int32)
-        self.answers = row.get("answers") or []
-
-    def sent(self, one: np.ndarray, two: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order of keys as they are sent, and the tiles in that order."""
-        tile = (one >> _U(32)) % _U(self.tiles)
-        order = np.lexsort((two, one, tile))
-        return order, tile[order].astype(np.int64)
-
-    def rows(self, one: np.ndarray, two: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        order, tile = self.sent(one, two, n)
-        one, two, n, block = one[order], two[order], n[order], self.row["shard"]
-        return table_of(_SENT, [(t, block, one[a:b].tobytes(), two[a:b].tobytes(), n[a:b].astype(np.uint32).tobytes()) for t, a, b in by_tile(tile)])
-
-    def told(self, kind: int, one: np.ndarray, two: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts in all of what was sent (0 where below the threshold), and whether this shard is to score it."""
-        order, tile = self.sent(one, two, n)
-        answers = {a["tile"]: a for a in self.answers if a["kind"] == kind}
-        totals, own = np.zeros(len(one), np.int64), np.zeros(len(one), bool)
-        for t, a, b in by_tile(tile):
-            if t in answers:
-                frequent, mine = (np.unpackbits(np.frombuffer(answers[t][c], np.uint8), count=b - a).astype(bool) for c in ("frequent", "own"))
-                totals[order[a:b][frequent]] = np.frombuffer(answers[t]["totals"], np.int64)
-                own[order[a:b]] = mine
-        return totals, own
-
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _keys(np.arange(1, len(self.one) + 1), np.arange(len(self.one)), 1, self.one), _keys(np.arange(1, len(self.one) + 1), np.arange(len(self.one)), 1, self.two), self.n
-
-    def know_words(self) -> None:
-        """Infrequent words become breaks; runs of breaks one break."""
-        totals = self.told(0, *self.words())[0]
-        seq = np.where(self.seq > 0, self.seq, 0)
-        seq = seq * np.concatenate(([False], totals > 0))[seq]
-        seq = seq[(seq > 0) | np.concatenate(([False], seq[:-1] > 0))] if len(seq) else seq
-        self.suffixes = Suffixes(seq)
+        self.suffixes = Suffixes(_unplaned(row["seq"]))
         self.seq, size = self.suffixes.seq, self.suffixes.size
-        self.total = {1: np.concatenate(([0], totals))[self.seq]}
+        self.total = {1: np.concatenate(([0], np.frombuffer(row["totals"], np.int64)))[self.seq]}
         self.allowed = {2: (self.seq[:size] > 0) & (self.seq[1 : size + 1] > 0)}
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +196,7 @@ class _Shard:
 
     def know_pairs(self) -> None:
         sent = self.pairs()
-        totals, self.own2 = self.told(1, *sent)
+        totals, self.own2 = _told(self.answers, 0, self.tiles, *sent)
         self.at2, size = self.at, self.suffixes.size
         self.total[2] = self._by_place(totals, self.number)
         pair = self.total[2] > 0
@@ -196,7 +217,7 @@ class _Shard:
     def scored(self) -> pa.RecordBatch:
         """Rows of ``_PHRASES``: the phrases that this shard is to score, and parts that they make superfluous."""
         sent = self.longer()
-        totals, own = self.told(2, *sent)
+        totals, own = _told(self.answers, 1, self.tiles, *sent)
         three = len(self.at3)
         self.total[3], self.total[4] = self._by_place(totals[:three], self.number3), self._by_place(totals[three:], self.number4)
         words, langs = self.row["vocabulary"].split(b" "), self.row["langs"]
@@ -236,9 +257,9 @@ def _added(least: int):
 
     def add(group: pa.Table) -> pa.Table:
         shards = group["block"].to_pylist()
-        one, two = (np.concatenate([np.frombuffer(x, _U) for x in group[c].to_pylist()]) for c in ("one", "two"))
-        parts = [np.frombuffer(x, np.uint32) for x in group["n"].to_pylist()]
-        sizes, n = [len(x) for x in parts], np.concatenate(parts).astype(np.int64)
+        one, two = (np.concatenate([np.frombuffer(x, kind) for x in group[c].to_pylist()]) for c, kind in (("one", _U), ("two", np.uint32)))
+        sizes = [len(x) // 8 for x in group["one"].to_pylist()]
+        n = np.concatenate([unpacked(x, size) for x, size in zip(group["n"].to_pylist(), sizes, strict=True)])
         order = np.lexsort((np.repeat(shards, sizes), two, one))
         new = np.concatenate(([True], (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])))
         starts = np.flatnonzero(new)
@@ -253,7 +274,7 @@ def _added(least: int):
             end += size
             frequent = total[mine] > 0
             if frequent.any():
-                rows.append((shard, group["tile"][0].as_py(), np.packbits(frequent).tobytes(), np.packbits(own[mine]).tobytes(), total[mine][frequent].tobytes()))
+                rows.append((shard, group["tile"][0].as_py(), np.packbits(frequent).tobytes(), np.packbits(own[mine]).tobytes(), packed(total[mine][frequent])))
         return pa.Table.from_batches([table_of(_ANSWER, rows)])
 
     return add
@@ -304,43 +325,40 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     def each(work):
         def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for row in batch.to_pylist():
-                    yield work(_Shard(row, tiles))
+                for k in range(batch.num_rows):
+                    yield work(batch.slice(k, 1).to_pylist()[0])
 
         return over
 
-    def send_words(s: _Shard) -> pa.RecordBatch:
-        return s.rows(*s.words())
+    def send_words(row: dict) -> pa.RecordBatch:
+        return _rows(row["block"], tiles, *_words(row))
 
-    def send_pairs(s: _Shard) -> pa.RecordBatch:
-        s.know_words()
-        return s.rows(*s.pairs())
+    def send_pairs(row: dict) -> pa.RecordBatch:
+        return _rows(row["block"], tiles, *_Shard(row, tiles).pairs())
 
-    def send_longer(s: _Shard) -> pa.RecordBatch:
-        s.know_words()
-        s.know_pairs()
-        return s.rows(*s.longer())
+    def send_longer(row: dict) -> pa.RecordBatch:
+        shard = _Shard(row, tiles)
+        shard.know_pairs()
+        return _rows(row["block"], tiles, *shard.longer())
 
-    def score(s: _Shard) -> pa.RecordBatch:
-        s.know_words()
-        s.know_pairs()
-        return s.scored()
+    def score(row: dict) -> pa.RecordBatch:
+        shard = _Shard(row, tiles)
+        shard.know_pairs()
+        return shard.scored()
 
-    def counted(sent: DataFrame, name: str) -> DataFrame:
+    def counted(rows: DataFrame, send, name: str) -> DataFrame:
+        sent = rows.mapInArrow(each(send), _SENT_SQL)
         return scratch.written(sent.repartition(tasks, "tile").groupBy("tile").applyInArrow(_added(least), _ANSWER_SQL), name)
 
-    keys, whole = ("shard", "one", "two", "n"), ("shard", "seq", "one", "two", "n")
-    words = counted(table.select(*keys, F.lit(b"").alias("seq")).mapInArrow(each(send_words), _SENT_SQL), "phrase-words")
-    held = table.withColumnRenamed("shard", "block")
-
-    def knowing(columns: tuple[str, ...], *answers: DataFrame) -> DataFrame:
-        return with_answers(held.select(*["block" if c == "shard" else c for c in columns]), *answers).withColumnRenamed("block", "shard")
-
-    pairs = counted(knowing(whole, words).mapInArrow(each(send_pairs), _SENT_SQL), "phrase-pairs")
-    longer = counted(knowing(whole, words, pairs).mapInArrow(each(send_longer), _SENT_SQL), "phrase-longer")
-    every = (*whole, "langs", "lang_of", "vocabulary")
-    found = scratch.written(knowing(every, words, pairs, longer).mapInArrow(each(score), _PHRASES_SQL), "phrase-found")
-    scratch.removed(words, pairs, longer)
+    words = counted(table.select("block", "one", "two", "n"), send_words, "phrase-words")
+    compact = with_answers(table.drop("lang_words"), words).mapInArrow(each(lambda row: table_of(_COMPACT, [_compacted(row, tiles)])), _COMPACT_SQL)
+    compact = scratch.written(compact, "phrase-compact")
+    held = compact.select("block", "seq", "one", "two", "totals")
+    pairs = counted(held, send_pairs, "phrase-pairs")
+    longer = counted(with_answers(held, pairs), send_longer, "phrase-longer")
+    found = scratch.written(with_answers(compact, pairs, longer).mapInArrow(each(score), _PHRASES_SQL), "phrase-found")
+    sizes = scratch.written(sizes, "phrase-sizes")
+    scratch.removed(table, words, compact, pairs, longer)
     best = found.groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("a", "l", "r", "score")], F.bool_or("dropped").alias("dropped")).filter("NOT dropped").drop("dropped")
     order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     salted = best.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))

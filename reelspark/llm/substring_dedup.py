@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
-from reelspark.llm.blocks import BLOCK_BYTES, MAX_TASKS, TILE_BYTES, blocked, by_tile, table_of, tiles_of, with_answers
+from reelspark.llm.blocks import BLOCK_BYTES, MAX_TASKS, TILE_BYTES, blocked, by_tile, packed, table_of, tiles_of, with_answers
 from reelspark.llm.words import hashes, joined, new_seed, per_text, rolled, spans
 
 #: Words of a window.
@@ -131,14 +131,6 @@ def _exact_merged(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([table_of(_BITS, rows)])
 
 
-def _packed(offsets: np.ndarray) -> bytes:
-    """Numbers from 0 in as few bytes each as the largest needs."""
-    for width in (1, 2, 4):
-        if offsets.max() < 1 << 8 * width:
-            return offsets.astype(f"u{width}").tobytes()
-    return offsets.tobytes()
-
-
 def _kept(w: _Windows, removed: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """Words removed of each text, and the text of the others, joined by one space."""
     gone = np.zeros(len(w.first) + 1, np.int64)
@@ -195,7 +187,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 base = ids[0]  # the smallest
                 with np.errstate(over="ignore"):
                     docs = (np.array(ids, np.int64) - np.int64(base)).astype(np.uint64)[w.doc[c.heads]] if base is not None else np.zeros(len(c.heads), np.uint64)
-                yield table_of(_EXACT, [(tile, block, base, c.one[a:b].tobytes(), c.two[a:b].tobytes(), _packed(docs[a:b])) for tile, a, b in by_tile(c.tile)])
+                yield table_of(_EXACT, [(tile, block, base, c.one[a:b].tobytes(), c.two[a:b].tobytes(), packed(docs[a:b])) for tile, a, b in by_tile(c.tile)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
