@@ -12,7 +12,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Held while a table is written. Nothing reads the shuffles of the write once the table stands, so they need not wait for the
+#: driver's garbage collection; and rows of some megabytes go to Python few at a time.
+_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _own: dict[str, str] = {}  # application id -> folder, where the cluster names none
 
 
@@ -45,13 +47,14 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     spark = df.sparkSession
     path = f"{app_dir(spark)}/{unique(name)}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    # Nothing reads the shuffles of this write once the table stands, so they need not wait for the driver's garbage collection.
-    before = spark.conf.get(_CLEANUP, None)
+    before = {k: spark.conf.get(k, None) for k in _WHILE_WRITING}
     try:
-        spark.conf.set(_CLEANUP, "true")
+        for k, v in _WHILE_WRITING.items():
+            spark.conf.set(k, v)
         writer.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
     table._scratch_path = path
     return table
