@@ -73,8 +73,11 @@ class Pivots:
 
 
 def brackets(both: np.ndarray, near: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores are between these if distances are between ``near`` and ``far``; ``both``: |q|^2 + M^2. A little wider, for rounding."""
-    slack = 1e-9 * both + 1
+    """Scores are between these if distances are between ``near`` and ``far``; ``both``: |q|^2 + M^2.
+
+    Wider by what rounding may do: a distance near 0 is off by the square root of a double's last digits.
+    """
+    slack = 1e-6 * both + 1
     return (both - far * far) / 2 - slack, (both - near * near) / 2 + slack
 
 
@@ -82,7 +85,7 @@ def build_table(good: DataFrame, dim: int, top: float, total: int) -> tuple[Data
     """Every row of ``good`` with its distances to the pivots, in chunks of rows near the same pivot, as a table in the shared folder."""
     hashed = F.xxhash64("vec_id", "vector")
     picked = good.filter(about(hashed, 4 * PIVOTS, total)).orderBy(hashed, "vec_id").limit(PIVOTS).select("vector").collect()
-    pivots = Pivots(np.array([r["vector"] for r in picked], np.float64).reshape(-1, dim), top)
+    pivots = Pivots(np.array([r["vector"] for r in picked], np.float64).reshape(len(picked), dim), top)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -192,7 +195,8 @@ def _search(table: DataFrame, anchors: Anchors, dim: int, positives: int, negati
     def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = sent.value
         place, positive, score = pairs.value
-        floor, roof = -(-low * score // 100), high * score // 100
+        hundreds, rest = np.divmod(score, 100)  # so that no product passes 64 bits
+        floor, roof = low * hundreds - (-low * rest // 100), high * hundreds + high * rest // 100
         of = [np.flatnonzero(place == k) for k in range(len(a.ids))]
         best = _Best(len(place), negatives)
         least, most = np.full(len(a.ids), np.inf), np.full(len(a.ids), -np.inf)
