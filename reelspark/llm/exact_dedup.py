@@ -12,26 +12,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
-from reelspark.llm.textcols import without_white
+from reelspark.llm.textcols import free_name, without_white
 
 _MAX = "9223372036854775807"
-#: Above any (max long - id), so that the id never reaches the digits of the length.
+#: Above any (max long - id + 1), so that the id never reaches the digits of the length.
 _STEP = "20000000000000000000"
 
 
 def _rank(n: Column, doc_id: Column) -> Column:
     """Larger for more code points, then for the smaller id: one fixed-width number, so that hash aggregation applies."""
     step = F.lit(_STEP).cast("decimal(38,0)")
-    back = F.lit(_MAX).cast("decimal(38,0)") - F.coalesce(doc_id.cast("decimal(38,0)"), F.lit(_MAX).cast("decimal(38,0)"))
+    back = F.lit(_MAX).cast("decimal(38,0)") - doc_id.cast("decimal(38,0)") + 1  # 1 to 2^64; 0 stands for no id
+    back = F.coalesce(back, F.lit(0))
     return (n.cast("decimal(10,0)").cast("decimal(38,0)") * step + back).cast("decimal(38,0)")
 
 
 def _rank_id(rank: Column) -> Column:
-    out = (F.lit(_MAX).cast("decimal(38,0)") - rank % F.lit(_STEP).cast("decimal(38,0)")).cast("long")
-    return F.when(out != F.expr(f"{_MAX}L"), out)
+    back = rank % F.lit(_STEP).cast("decimal(38,0)")
+    return F.when(back > 0, (F.lit(_MAX).cast("decimal(38,0)") - back + 1).cast("long"))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     text = F.col(text_col).cast("string")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -97,16 +98,17 @@ def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     that agree in these any one stays, but only one, whether they share an id or have none. Rows go
     by a key made once in a table in the shared folder. Groups are found as in ``exact_duplicates``.
     """
-    keyed = scratch.written(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
+    row = free_name("row", docs.columns)
+    keyed = scratch.written(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-rows")
     rank = _rank(F.col("n"), F.col("doc_id"))
     salted = (
-        _keyed(keyed, id_col, text_col, "__row")
+        _keyed(keyed, id_col, text_col, F.col(row).alias("row"))
         .withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         .groupBy("digest", "body", "salt")
-        .agg(F.max(rank).alias("rank"), F.max_by("__row", rank).alias("__row"))
+        .agg(F.max(rank).alias("rank"), F.max_by("row", rank).alias("row"))
     )
-    stay = salted.groupBy("digest", "body").agg(F.max_by("__row", "rank").alias("__row")).select("__row")
-    return keyed.join(stay, "__row", "left_semi").select(*[keyed[c] for c in docs.columns])
+    stay = salted.groupBy("digest", "body").agg(F.max_by("row", "rank").alias(row)).select(row)
+    return keyed.join(stay, row, "left_semi").select(*[keyed[c] for c in docs.columns])
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,9 @@ from reelspark import scratch
 from reelspark.llm.components import components
 from reelspark.llm.sampling import about
 from reelspark.llm.shingles import set_key, shingle_sets
-from reelspark.llm.signature_tree import linking_pairs, required
+from reelspark.llm.textcols import free_name
+from reelspark.llm.signature_tree import linking_pairs
+from reelspark.llm.words import new_seed
 
 #: Slack of the token prefix, as a divisor of the set size.
 SHARE = 8
@@ -79,13 +81,13 @@ def _texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
     return [t or b"" for t in batch.column(column).to_pylist()]
 
 
-def _described(rows: DataFrame, k: int) -> DataFrame:
+def _described(rows: DataFrame, k: int, seed: int) -> DataFrame:
     """doc_id, n, key, key2, text_hash of every document."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys = [], []
-            for s in shingle_sets(_texts(batch), k):
+            for s in shingle_sets(_texts(batch), k, seed):
                 sizes.append(len(s))
                 keys.append(set_key(s))
             one, two = (pa.array([x[p] for x in keys], pa.int64()) for p in (0, 1))
@@ -94,13 +96,13 @@ def _described(rows: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(describe, "doc_id long, n long, key long, key2 long, text_hash long")
 
 
-def _common_tokens(rows: DataFrame, described: DataFrame, k: int, num: int, den: int, sample: int, least: int) -> np.ndarray:
+def _common_tokens(rows: DataFrame, described: DataFrame, k: int, seed: int, num: int, den: int, sample: int, least: int) -> np.ndarray:
     """Tokens that stand among the first of at least ``least`` classes of a sample, chosen by hash of the text; bounded by the sample, sorted."""
     total = described.count()
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in shingle_sets(_texts(batch, 0), k) if len(s)]
+            sets = [s for s in shingle_sets(_texts(batch, 0), k, seed) if len(s)]
             keys = [set_key(s)[0] for s in sets]
             blobs = [(s[: _prefix(len(s), num, den)[0]] >> np.uint64(16)).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["key", "tokens"])
@@ -121,7 +123,7 @@ def _token_counts(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"tokens": [names[several].tobytes()], "counts": [counts[several].astype(np.uint32).tobytes()]})
 
 
-def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int, common) -> DataFrame:
+def _binned(rows: DataFrame, k: int, seed: int, bins: int, num: int, den: int, common) -> DataFrame:
     """(bin, class keys, tokens per class, tokens as 32 + 16 bits, number of tokens) for the first tokens of every class a task sees.
 
     Common tokens go to a bin below zero, which is one of the class, not of the token.
@@ -131,7 +133,7 @@ def _binned(rows: DataFrame, k: int, bins: int, num: int, den: int, common) -> D
         seen: set[int] = set()
         for batch in batches:
             owner, sizes, tokens = [], [], []
-            for s in shingle_sets(_texts(batch, 0), k):
+            for s in shingle_sets(_texts(batch, 0), k, seed):
                 if not len(s) or (key := set_key(s)[0]) in seen:
                     continue
                 seen.add(key)
@@ -328,17 +330,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     with equal sets, repeated rows among them, link. A row without an id takes no part: its
     component_id is null. Other columns are not read. Empty in, empty out.
     """
-    spark = docs.sparkSession
+    spark, seed = docs.sparkSession, new_seed()
     rows = _documents(docs, id_col, text_col)
-    described = scratch.written(_described(rows, k), "jaccard-documents")
+    described = scratch.written(_described(rows, k, seed), "jaccard-documents")
     classes = described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("key", "key2", "n").agg(F.min("doc_id").alias("rep"))
     classes = scratch.written(classes, "jaccard-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bins = max(parts, -(-total // (2 * bin_tokens)))
 
-    common = _common_tokens(rows, described, k, num, den, common_sample, common_docs)  # bounded by the sample
-    binned = dealt = scratch.written(_binned(rows, k, bins, num, den, spark.sparkContext.broadcast(common)), "jaccard-bins")
+    common = _common_tokens(rows, described, k, seed, num, den, common_sample, common_docs)  # bounded by the sample
+    binned = dealt = scratch.written(_binned(rows, k, seed, bins, num, den, spark.sparkContext.broadcast(common)), "jaccard-bins")
     crowding = _crowding_tokens(binned, bins)
     if len(crowding):
         binned = _thinned(binned, bins, spark.sparkContext.broadcast(crowding))
@@ -357,7 +359,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     members = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("members") / block)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
     wanted = members.join(classes.select("key", "rep"), "key")
-    sets = scratch.written(_with_sets(rows, wanted, k), "jaccard-sets")
+    sets = scratch.written(_with_sets(rows, wanted, k, seed), "jaccard-sets")
 
     # A bundle is either a share of the clusters of one block, or a block of a larger cluster with that cluster's block 0.
     bundles = max(parts, -(-(sets.count()) // block))
@@ -406,7 +408,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     )
 
 
-def _with_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def _with_sets(rows: DataFrame, wanted: DataFrame, k: int, seed: int) -> DataFrame:
     """``wanted`` (key, rep and more) with ``hashes``: the whole set, made again from the text of ``rep``."""
     columns = [c for c in wanted.columns if c != "rep"]
     schema = T.StructType([*(f for f in wanted.schema.fields if f.name != "rep"), T.StructField("hashes", T.BinaryType())])
@@ -414,7 +416,7 @@ def _with_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # An id that stands on several rows brings all their texts; the key says which is meant.
-            made = [s.tobytes() if set_key(s)[0] == key else None for s, key in zip(shingle_sets(_texts(batch, len(columns)), k), batch.column("key").to_pylist(), strict=True)]
+            made = [s.tobytes() if set_key(s)[0] == key else None for s, key in zip(shingle_sets(_texts(batch, len(columns)), k, seed), batch.column("key").to_pylist(), strict=True)]
             out = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.binary())], [*columns, "hashes"])
             yield out.filter(out.column("hashes").is_valid())
 
@@ -440,12 +442,13 @@ def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id and rows that repeat one link like others, and of rows that tie only one stays. Rows of
     null and blank texts link with nothing and stay.
     """
-    keyed = scratch.written(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
-    found = jaccard_components(keyed, id_col="__row", text_col=text_col).select(F.col("doc_id").alias("__row"), "component_id")
-    ids = keyed.select("__row", F.col(id_col).cast("long").alias("id"))
-    order = F.struct(F.col("id").isNull(), "id", "__row")
-    stay = found.join(ids, "__row").groupBy("component_id").agg(F.min(order).alias("m")).select(F.col("m.__row").alias("__row"))
-    return keyed.join(stay, "__row", "left_semi").select(*[keyed[c] for c in docs.columns])
+    row = free_name("row", docs.columns)
+    keyed = scratch.written(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
+    found = jaccard_components(keyed, id_col=row, text_col=text_col).select(F.col("doc_id").alias("row"), "component_id")
+    ids = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    stay = found.join(ids, "row").groupBy("component_id").agg(F.min(order).alias("m")).select(F.col("m.row").alias(row))
+    return keyed.join(stay, row, "left_semi").select(*[keyed[c] for c in docs.columns])
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from reelspark import scratch
 
-#: A line goes if it is on more than RATIO of its host's pages and on MIN_PAGES of them at least.
-RATIO, MIN_PAGES = 0.3, 3
+#: A line goes if it is on more than RATIO of its host's pages, and on two of them at least: what is on one page only repeats nothing.
+RATIO, MIN_PAGES = 0.3, 2
 #: Dropped (host, line) pairs up to which they are sent to every executor instead of joined: about 4 MB.
 BROADCAST_LINES = 100_000
 

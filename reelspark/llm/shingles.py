@@ -2,7 +2,8 @@
 
 Words are maximal runs without [\\x20\\x09-\\x0D], A-Z lower-cased. A set holds the distinct k-word
 shingles as sorted 64-bit hashes; with fewer words the whole sequence is the only shingle; a text
-without words has the empty set. Two shingles count as equal when their 64-bit hashes are.
+without words has the empty set. Two shingles count as equal when their hashes are; hashes are seeded
+(see ``words``), and callers draw a seed for each run, so no text can be made to share a hash with another.
 """
 
 from __future__ import annotations
@@ -11,83 +12,38 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Bytes hashed at once; a longer text is hashed alone. Arrays of eight bytes for each are held.
+from reelspark.llm.words import batches, hashes, joined, mix, per_text, rolled, spans
+
+#: Bytes hashed at once; a longer text is hashed alone, at some ten bytes a byte.
 CHUNK_BYTES = 1 << 21
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C13  # odd; 3 modulo 8
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_PLACE = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9FB21C651E98DF25], _U)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IN_WORD = np.ones(256, bool)
-_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection on 64-bit numbers that spreads every bit over all."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, _U)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=_U)
-    return _powers[0], _powers[1]
-
-
-def _chunk_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    in_word = np.concatenate(([False], _IN_WORD[data], [False]))
-    edges = np.flatnonzero(in_word[1:] != in_word[:-1])
-    first, last = edges[::2], edges[1::2]
-    forward, back = _power(len(data) + 1)
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum((_LOWER[data].astype(_U) + _U(1)) * forward[: len(data)], out=sums[1:])
-    words = mix((sums[last] - sums[first]) * back[first] + (last - first).astype(_U) * _PLACE[7])
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    bounds = np.concatenate(([0], np.searchsorted(first, ends)))
-    rolled = np.zeros(max(0, len(words) - k + 1), _U)
-    for j in range(k):
-        rolled += mix(words[j : len(rolled) + j] ^ _PLACE[j % 7]) * (_PLACE[j % 7] + _U(2 * j))
-    rolled = mix(rolled)
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+def _chunk_sets(texts: list[bytes], k: int, seed: int) -> Iterator[np.ndarray]:
+    data = joined(texts, lower=True)
+    first, last = spans(data)
+    bounds = per_text(texts, first)
+    words = hashes(data, first, last, seed)
+    del data, first, last
+    runs = rolled(words, k)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= k:
-            out.append(np.unique(rolled[a : b - k + 1]))
-        elif b > a:
-            whole = _U(b - a)
-            for w in words[a:b]:
-                whole = mix(np.array([w ^ whole * _PLACE[6]], _U))[0]
-            out.append(np.array([whole], _U))
+            yield np.unique(runs[a : b - k + 1])
         else:
-            out.append(np.zeros(0, _U))
-    return out
+            with np.errstate(over="ignore"):
+                yield mix(rolled(words[a:b], b - a) + _U(b - a)) if b > a else np.zeros(0, _U)
 
 
-def shingle_sets(texts: list[bytes], k: int = 5) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes], k: int = 5, seed: int = 0) -> Iterator[np.ndarray]:
     """One sorted array of distinct hashes per text, in order."""
-    with np.errstate(over="ignore"):
-        run, size = [], 0
-        for t in texts:
-            if run and size + len(t) > CHUNK_BYTES:
-                yield from _chunk_sets(run, k)
-                run, size = [], 0
-            run.append(t)
-            size += len(t)
-        if run:
-            yield from _chunk_sets(run, k)
+    for run in batches(texts, CHUNK_BYTES):
+        yield from _chunk_sets(run, k, seed)
 
 
-def set_key(hashes: np.ndarray) -> tuple[int, int]:
+def set_key(numbers: np.ndarray) -> tuple[int, int]:
     """128 bits that name a set, as two signed 64-bit numbers."""
     with np.errstate(over="ignore"):
-        mixed = mix(hashes + _U(len(hashes)))
-        one, two = mixed.sum(dtype=_U), np.bitwise_xor.reduce(mix(mixed * _PLACE[0])) if len(mixed) else _U(0)
+        mixed = mix(numbers + _U(len(numbers)))
+        one, two = mixed.sum(dtype=_U), np.bitwise_xor.reduce(mix(mixed * _U(0xD6E8FEB86659FD93))) if len(mixed) else _U(0)
     return int(np.int64(one.astype(np.int64))), int(np.int64(two.astype(np.int64)))

@@ -23,3 +23,11 @@ def n_words(text: Column) -> Column:
     for c in WHITE[1:]:
         out = F.replace(out, F.lit(c), F.lit(" "))
     return F.size(F.array_remove(F.split(out, " "), "")).cast("long")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name`` with as many underscores as it takes to be no column of ``taken``; names differ by more than case."""
+    lower = {t.lower() for t in taken}
+    while name in lower:
+        name += "_"
+    return name

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reelspark import scratch
 from reelspark.llm.sampling import about
-from reelspark.llm.shingles import CHUNK_BYTES, _power, mix
+from reelspark.llm.words import batches, hashes, joined, per_text, spans
 
 #: Labelled documents used for fitting, at most (in expectation; chosen by hash).
 MAX_LABELLED = 10_000
@@ -30,47 +30,35 @@ MAX_FEATURES, MIN_DOCS, MIN_Z = 1024, 4, 4.0
 FOLDS, BINS = 5, 16
 #: Share of right ones among what a threshold takes, at least: clean documents are to stay.
 MIN_PRECISION = 0.8
+#: Bytes whose features are made at once; a longer text is alone.
+CHUNK_BYTES = 1 << 21
+#: Features are hashes with this seed, always the same: a fitted chain names its features by them.
+SEED = 1
 #: Beginnings of longer words that count as features of their own, in bytes.
 BEGINNINGS = (4, 5)
 
 _U = np.uint64
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[48:58] = _IN_WORD[65:91] = _IN_WORD[97:123] = _IN_WORD[128:] = True
 
 
 def _chunk_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature) of every word and word beginning, repeats included."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    in_word = np.concatenate(([False], _IN_WORD[data], [False]))
-    edges = np.flatnonzero(in_word[1:] != in_word[:-1])
-    first, last = edges[::2], edges[1::2]
-    forward, back = _power(len(data) + 1)
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum((_LOWER[data].astype(_U) + _U(1)) * forward[: len(data)], out=sums[1:])
-    text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), first, side="right")
-    out, who = [mix((sums[last] - sums[first]) * back[first])], [text]
+    data = joined(texts, lower=True)
+    first, last = spans(data, _IN_WORD)
+    text = np.repeat(np.arange(len(texts)), np.diff(per_text(texts, first)))
+    out, who = [hashes(data, first, last, SEED)], [text]
     for length in BEGINNINGS:
         long = last - first > length
-        start = first[long]
-        out.append(mix((sums[start + length] - sums[start]) * back[start] + _U(length)))
+        out.append(hashes(data, first[long], first[long] + length, SEED + length))
         who.append(text[long])
     return np.concatenate(who), np.concatenate(out)
 
 
 def _features(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(number of texts, text numbers, features) of runs of texts."""
-    run, size = [], 0
-    with np.errstate(over="ignore"):
-        for t in texts:
-            if run and size + len(t) > CHUNK_BYTES:
-                yield len(run), *_chunk_features(run)
-                run, size = [], 0
-            run.append(t)
-            size += len(t)
-        if run:
-            yield len(run), *_chunk_features(run)
+    for run in batches(texts, CHUNK_BYTES):
+        yield len(run), *_chunk_features(run)
 
 
 @dataclass

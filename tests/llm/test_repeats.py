@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelspark.llm import collocations, hard_negatives, substring_dedup
+from reelspark.llm import collocations, exact_dedup, hard_negatives, jaccard, line_dedup, substring_dedup
 from reelspark.llm.words import hashes, joined, new_seed, rolled, spans
 
 DOCS = "doc_id long, text string, lang string"
@@ -198,3 +198,41 @@ def test_brackets_hold_and_prune(spark, data):
     assert ((low <= scores) & (scores <= high)).all()
     tenth = np.sort(scores, axis=1)[:, -10, None]
     assert (high >= tenth).mean() < 0.5
+
+
+def test_links_are_not_made_by_hash_collisions(spark):
+    """Long words that polynomials modulo 2^64 confuse share no shingle, in one text or in two."""
+    thue = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    rows = [(1, thue, "en"), (2, other, "en"), (3, " ".join([thue] * 9), "en"), (4, " ".join([other] * 9), "en"), (5, thue.upper(), "en")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_the_largest_id_is_an_id(spark):
+    most = (1 << 63) - 1
+    for rows, keep in (
+        ([(most, "a b"), (most - 1, "c")], {most: (most, True), most - 1: (most - 1, True)}),
+        ([(most, "a b"), (None, "a  b"), (None, "x")], {most: (None, False), None: (None, True)}),
+        ([(most, "a b"), (None, "a b"), (-(1 << 63), "c")], {most: (most, True), None: (most, False), -(1 << 63): (-(1 << 63), True)}),
+        ([(-(1 << 63), "a b"), (most, "a b"), (None, "ab ")], {-(1 << 63): (-(1 << 63), True), most: (-(1 << 63), False), None: (-(1 << 63), False)}),
+    ):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        for r in exact_dedup.exact_duplicates(df).collect():
+            if not (r["doc_id"] is None and r["group_size"] == 1):
+                assert (r["keep_id"], r["kept"]) == keep[r["doc_id"]]
+        assert exact_dedup.drop_duplicates(df).count() == exact_dedup.keep_one_row(df).count() == len({t.replace(" ", "") for _, t in rows})
+
+
+def test_rows_keep_their_own_columns(spark):
+    """Also those that are named like the key that the operators number rows with."""
+    rows = [(1, "a b c d e f", "mine", 7, "x"), (2, "a b c d e f", "yours", 8, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string, row_ int, __row string")
+    for keep in (exact_dedup.keep_one_row, jaccard.keep_one_row):
+        assert [tuple(r) for r in keep(df).collect()] == [rows[0]]
+
+
+def test_two_page_hosts(spark):
+    pages = spark.createDataFrame([(1, "h", ["menu", "one"]), (2, "h", ["menu", "two"]), (3, "solo", ["menu", "three"])], "page_id long, host string, lines array<string>")
+    got = {r["page_id"]: r["text"] for r in line_dedup.drop_site_lines(pages, "page_id", F.col("host"), F.col("lines")).collect()}
+    assert got == {1: "one", 2: "two", 3: "menu\nthree"}
