@@ -28,10 +28,14 @@ def any_speaking(result: Column) -> Column:
     return F.coalesce(by_name, F.exists(F.try_variant_get(result, "$", "array<variant>"), _speaking), F.lit(False))
 
 
+#: Fixed value: what a prompt says where no characters are known.
+NO_CHARACTERS = "No specific main characters detected. Describe the scene generally."
+
+
 def character_lines(characters: Column) -> Column:
-    """A line a character for a prompt, from an array of struct(person_id, x_min, y_min, x_max, y_max)."""
+    """A line a character for a prompt, from an array of struct(person_id, x_min, y_min, x_max, y_max); ``NO_CHARACTERS`` for none."""
     edges = ("x_min", "y_min", "x_max", "y_max")
     line = lambda c: F.format_string(
         "- <char_%s> is located at bounding box [" + ", ".join(f"{e}:%.3f" for e in edges) + "]\n", c["person_id"].cast("string"), *[F.coalesce(c[e].cast("double"), F.lit(0.0)) for e in edges]
     )
-    return F.array_join(F.transform(characters, line), "")
+    return F.when(F.coalesce(F.size(characters), F.lit(0)) > 0, F.array_join(F.transform(characters, line), "")).otherwise(F.lit(NO_CHARACTERS))

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelspark.functions.times import nearest
+
 #: Beginnings that name the speaker of a subtitle, in the order they are removed.
 SPEAKER_PREFIXES = (
     r"(?i)^\[\s*SPEAKER[_\-\s]*\d+\s*\]\s*:?\s*",
@@ -65,8 +67,8 @@ def has_words(text: Column) -> Column:
 
 
 def speaking_label(name: str, score: Column, threshold: float) -> Column:
-    """``Track | speaking | score=0.25``; no score is silent and NA. Hundredths by rounding half up."""
-    hundredths = F.floor(F.abs(score) * 100 + 0.5).cast("long")
+    """``Track | speaking | score=0.25``; no score is silent and NA. The nearest hundredth of the exact score."""
+    hundredths = nearest(F.abs(score), 2)
     number = F.concat(F.when(score < 0, F.lit("-")).otherwise(F.lit("")), F.format_string("%d.%02d", F.floor(hundredths / 100), hundredths % 100))
     status = F.when(score >= threshold, F.lit("speaking")).otherwise(F.lit("silent"))
     return F.concat(F.lit(f"{name} | "), status, F.lit(" | score="), F.when(score.isNull(), F.lit("NA")).otherwise(number))

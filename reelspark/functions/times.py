@@ -26,17 +26,30 @@ def srt_seconds(code: Column) -> Column:
     return h * 3600 + m * 60 + s + ms / 1000
 
 
+def nearest(x: Column, digits: int) -> Column:
+    """The whole number nearest to x * 10^``digits``, for x from 0 and up to three digits: of the exact value of x, halves to even.
+
+    The product is kept in two doubles: the number's upper bits, which a float holds, and the rest are multiplied without loss.
+    """
+    x = x.cast("double")
+    high = x.cast("float").cast("double")
+    a, b = high * float(10**digits), (x - high) * float(10**digits)
+    whole = F.floor(a + b)
+    over = (a + b - whole - 0.5) + ((a - (a + b)) + b)
+    return whole + ((over > 0) | ((over == 0) & (whole % 2 == 1))).cast("long")
+
+
 def minutes_text(seconds: Column) -> Column:
-    """``MM:SS.ss``; hundredths of the seconds by rounding half up, without carrying over."""
+    """``MM:SS.ss``; the seconds to the nearest hundredth of their exact value, without carrying over."""
     minutes = F.floor(seconds / 60)
-    hundredths = F.floor((seconds - minutes * 60) * 100 + 0.5).cast("long")
+    hundredths = nearest(seconds % 60, 2)
     return F.format_string("%02d:%02d.%02d", minutes, F.floor(hundredths / 100), hundredths % 100)
 
 
 def duration_text(seconds: Column) -> Column:
-    """``1h 2m 3.4s``, without the leading units that are zero; tenths by rounding half up, without carrying over."""
+    """``1h 2m 3.4s``, without the leading units that are zero; the seconds to the nearest tenth of their exact value, without carrying over."""
     h, m = F.floor(seconds / 3600), F.floor((seconds % 3600) / 60)
-    tenths = F.floor((seconds % 60) * 10 + 0.5).cast("long")
+    tenths = nearest(seconds % 60, 1)
     s = F.format_string("%d.%ds", F.floor(tenths / 10), tenths % 10)
     minutes = F.concat(m.cast("string"), F.lit("m "), s)
     return F.when(h > 0, F.concat(h.cast("string"), F.lit("h "), minutes)).when(m > 0, minutes).otherwise(s)

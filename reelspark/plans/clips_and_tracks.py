@@ -160,7 +160,7 @@ def tracking_payload(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {st.BOXES}, {st.FACES},
-chars AS (SELECT clip, frame AS person, x1 / 854 * 854.0 AS x1, y1 / 480 * 480.0 AS y1, x2 / 854 * 854.0 AS x2, y2 / 480 * 480.0 AS y2 FROM boxes WHERE frame % 5 = 0),
+chars AS (SELECT clip, frame AS person, x1 / 854 * 854.0 AS x1, y1 / 480 * 480.0 AS y1, x2 / 854 * 854.0 AS x2, y2 / 480 * 480.0 AS y2 FROM boxes),
 t AS (SELECT clip, CAST(floor(x1 / 56) AS BIGINT) AS track, frame, face_no, x1, y1, x2, y2, conf, row_number() OVER (PARTITION BY clip, floor(x1 / 56) ORDER BY frame, face_no) - 1 AS pos, count(*) OVER (PARTITION BY clip, floor(x1 / 56)) AS n FROM faces),
 mid AS (SELECT * FROM t WHERE pos = n // 2), score AS (SELECT clip, track, avg(conf - 0.3) AS mean FROM t GROUP BY clip, track),
 p AS (SELECT c.clip, c.person, m.track, greatest(0, least(c.x2, m.x2) - greatest(c.x1, m.x1)) * greatest(0, least(c.y2, m.y2) - greatest(c.y1, m.y1)) / ((m.x2 - m.x1) * (m.y2 - m.y1)) AS iof FROM chars c JOIN mid m ON m.clip = c.clip),
@@ -169,7 +169,7 @@ SELECT c.clip, '<char_' || c.person || '>' AS tag, coalesce(k.track, -1) AS trac
 FROM chars c LEFT JOIN k ON k.clip = c.clip AND k.person = c.person AND k.place = 1 LEFT JOIN score s ON s.clip = k.clip AND s.track = k.track""")
 def late_fusion(spark: SparkSession, d: str) -> DataFrame:
     """Characters, given in shares of the picture, with the track whose middle face lies most in them, above 0.8; who speaks on average."""
-    share = st.boxes(spark, d).filter("frame % 5 = 0").select("clip", F.col("frame").alias("person"), *[(F.col(c) / s).alias(c) for c, s in (("x1", 854), ("y1", 480), ("x2", 854), ("y2", 480))])
+    share = st.boxes(spark, d).select("clip", F.col("frame").alias("person"), *[(F.col(c) / s).alias(c) for c, s in (("x1", 854), ("y1", 480), ("x2", 854), ("y2", 480))])
     chars = share.select("clip", "person", *[c.alias(f"c_{n}") for n, c in zip(("x1", "y1", "x2", "y2"), bx.scaled(bx.box(""), 854.0, 480.0), strict=True)])
     faces = st.faces(spark, d).withColumn("track", F.floor(F.col("x1") / 56).cast("long"))
     placed = ranked(faces, ["clip", "track"], [F.col("frame"), F.col("face_no")], "pos")
@@ -238,13 +238,13 @@ def media_numbers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {st.TRACK_SCORES} SELECT track, frame, 'Track | ' || CASE WHEN score >= 250 THEN 'speaking' ELSE 'silent' END || ' | score=' || CASE WHEN frame % 11 = 0 THEN 'NA' ELSE CAST(floor(score) AS BIGINT) || '.' || lpad(CAST(CAST(floor((score - floor(score)) * 100 + 1e-6) AS BIGINT) AS VARCHAR), 2, '0') END AS label,
-  'T' || lpad(CAST(track AS VARCHAR), CAST(greatest(2, length(CAST(track AS VARCHAR))) AS INT), '0') AS tag, 'Track ' || lpad(CAST(track AS VARCHAR), 5, '0') AS name, 'Track_' || lpad(CAST(track AS VARCHAR), 5, '0') AS file FROM (SELECT track, frame, CASE WHEN frame % 11 = 0 THEN NULL ELSE score END AS score FROM track_scores)""")
+@query(f"""WITH {st.TRACK_SCORES} SELECT track, frame, 'Track | ' || CASE WHEN score >= 31 THEN 'speaking' ELSE 'silent' END || ' | score=' || CASE WHEN score IS NULL THEN 'NA' ELSE printf('%.2f', score) END AS label,
+  'T' || lpad(CAST(track AS VARCHAR), CAST(greatest(2, length(CAST(track AS VARCHAR))) AS INT), '0') AS tag, 'Track ' || lpad(CAST(track AS VARCHAR), 5, '0') AS name, 'Track_' || lpad(CAST(track AS VARCHAR), 5, '0') AS file FROM (SELECT track, frame, CASE WHEN frame % 11 = 0 THEN NULL ELSE score / 8 END AS score FROM track_scores)""")
 def track_labels(spark: SparkSession, d: str) -> DataFrame:
     """Labels, tags and names of tracks; each eleventh frame has no score."""
-    score = F.when(F.col("frame") % 11 != 0, F.col("score"))
+    score = F.when(F.col("frame") % 11 != 0, F.col("score") / 8)
     track = F.col("track")
-    return st.track_scores(spark, d).select("track", "frame", texts.speaking_label("Track", score, 250).alias("label"), texts.track_tag(track).alias("tag"), texts.track_name(track).alias("name"), texts.track_file(track).alias("file"))
+    return st.track_scores(spark, d).select("track", "frame", texts.speaking_label("Track", score, 31).alias("label"), texts.track_tag(track).alias("tag"), texts.track_name(track).alias("name"), texts.track_file(track).alias("file"))
 
 
 @query(f"WITH {st.TRACK_SCORES} SELECT track, frame, round(1 / (1 + exp(-(score - 245) / 100)), 6) AS p FROM track_scores")

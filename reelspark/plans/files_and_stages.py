@@ -138,14 +138,16 @@ def caption_defaults(spark: SparkSession, d: str) -> DataFrame:
     return full.select("id", text("video_id"), text("duration_sec"), F.to_json("r.characters").alias("characters"), F.to_json("r.caption").alias("caption"))
 
 
-@query("""WITH p AS (SELECT user_id AS clip, list({'p': event_id % 9, 'a': event_id % 500, 'b': event_id % 300, 'c': 500 + event_id % 400, 'd': 600 + event_id % 399} ORDER BY event_id) AS ps FROM events WHERE event_id % 50 = 0 GROUP BY user_id)
-SELECT clip, array_to_string(list_transform(ps, lambda x: '- <char_' || x.p || '> is located at bounding box [x_min:0.' || lpad(CAST(x.a AS VARCHAR), 3, '0') || ', y_min:0.' || lpad(CAST(x.b AS VARCHAR), 3, '0') || ', x_max:0.' || lpad(CAST(x.c AS VARCHAR), 3, '0') || ', y_max:0.' || lpad(CAST(x.d AS VARCHAR), 3, '0') || ']' || chr(10)), '') AS lines FROM p""")
+@query("""WITH p AS (SELECT user_id AS clip, list({'p': event_id % 9, 'a': event_id % 500, 'b': event_id % 300, 'c': 500 + event_id % 400, 'd': 600 + event_id % 399} ORDER BY event_id) AS ps FROM events GROUP BY user_id)
+SELECT clip, array_to_string(list_transform(ps, lambda x: '- <char_' || x.p || '> is located at bounding box [x_min:0.' || lpad(CAST(x.a AS VARCHAR), 3, '0') || ', y_min:0.' || lpad(CAST(x.b AS VARCHAR), 3, '0') || ', x_max:0.' || lpad(CAST(x.c AS VARCHAR), 3, '0') || ', y_max:0.' || lpad(CAST(x.d AS VARCHAR), 3, '0') || ']' || chr(10)), '') AS lines FROM p
+UNION ALL SELECT -1 - c_custkey, 'No specific main characters detected. Describe the scene generally.' FROM customer""")
 def character_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Characters and their boxes as lines of a prompt."""
+    """Characters and their boxes as lines of a prompt; customers stand for clips without any."""
     e = F.col("event_id")
     item = F.struct(e, (e % 9).alias("person_id"), (e % 500 / 1000).alias("x_min"), (e % 300 / 1000).alias("y_min"), ((500 + e % 400) / 1000).alias("x_max"), ((600 + e % 399) / 1000).alias("y_max"))
-    people = table(spark, d, "events").filter("event_id % 50 = 0").groupBy(F.col("user_id").alias("clip")).agg(F.array_sort(F.collect_list(item)).alias("people"))
-    return people.select("clip", speakers.character_lines(F.col("people")).alias("lines"))
+    people = table(spark, d, "events").groupBy(F.col("user_id").alias("clip")).agg(F.array_sort(F.collect_list(item)).alias("people"))
+    nobody = table(spark, d, "customer").select((-1 - F.col("c_custkey")).alias("clip"), F.when(F.col("c_custkey") % 2 == 0, F.array()).alias("people"))
+    return people.unionByName(nobody.withColumn("people", F.col("people").cast(people.schema["people"].dataType))).select("clip", speakers.character_lines(F.col("people")).alias("lines"))
 
 
 @query("""SELECT role AS speaker, '{' || string_agg(turn || ':' || n, ',' ORDER BY turn) || '}' AS distribution FROM (SELECT role, turn, count(*) AS n FROM conversations GROUP BY role, turn) GROUP BY role""")

@@ -20,16 +20,20 @@ def clip_duration_variants(spark: SparkSession, d: str) -> DataFrame:
     return st.clips(spark, d).select("clip", "file", F.round(cl.duration_by_prefix(f), 6).alias("for_statistics"), F.round(cl.duration_by_suffix(f), 6).alias("for_detection"), cl.is_long_enough(f).alias("long_enough"))
 
 
-@query("""WITH t AS (SELECT event_id, event_id*7 AS c FROM events)
-SELECT event_id, lpad(CAST(c//6000 AS VARCHAR), CAST(greatest(2, length(CAST(c//6000 AS VARCHAR))) AS INT), '0') || ':' || lpad(CAST((c%6000)//100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c%100 AS VARCHAR), 2, '0') AS text FROM t""")
+@query("""WITH t AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_id * 7 / 100.0::DOUBLE WHEN 1 THEN event_id / 8.0::DOUBLE ELSE event_id * 5 / 1000.0::DOUBLE END AS s FROM events)
+SELECT event_id, printf('%02d', CAST(floor(s / 60) AS BIGINT)) || ':' || printf('%05.2f', s % 60) AS text FROM t""")
 def format_time(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", tm.minutes_text(F.col("event_id") * 7 / 100).alias("text"))
+    """Among the times are halves of hundredths, and numbers whose decimals look like halves but are none."""
+    e = F.col("event_id")
+    return table(spark, d, "events").select("event_id", tm.minutes_text(F.when(e % 3 == 0, e * 7 / 100.0).when(e % 3 == 1, e / 8.0).otherwise(e * 5 / 1000.0)).alias("text"))
 
 
-@query("""WITH t AS (SELECT event_id, event_id*13 AS c FROM events), u AS (SELECT *, c//36000 AS h, (c%36000)//600 AS m, (c%600)//10 || '.' || c%10 || 's' AS s FROM t)
+@query("""WITH t AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_id * 13 / 10.0::DOUBLE WHEN 1 THEN event_id / 4.0::DOUBLE ELSE event_id * 5 / 100.0::DOUBLE END AS x FROM events),
+u AS (SELECT event_id, CAST(floor(x / 3600) AS BIGINT) AS h, CAST(floor((x % 3600) / 60) AS BIGINT) AS m, printf('%.1fs', x % 60) AS s FROM t)
 SELECT event_id, CASE WHEN h > 0 THEN h || 'h ' || m || 'm ' || s WHEN m > 0 THEN m || 'm ' || s ELSE s END AS text FROM u""")
 def format_duration(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", tm.duration_text(F.col("event_id") * 13 / 10).alias("text"))
+    e = F.col("event_id")
+    return table(spark, d, "events").select("event_id", tm.duration_text(F.when(e % 3 == 0, e * 13 / 10.0).when(e % 3 == 1, e / 4.0).otherwise(e * 5 / 100.0)).alias("text"))
 
 
 @query("""WITH t AS (SELECT conv_id AS clip, CAST(sum(length(text)) AS BIGINT) AS s FROM conversations GROUP BY conv_id)
@@ -92,11 +96,16 @@ def failed_answers(spark: SparkSession, d: str) -> DataFrame:
     return parsed.filter("status = 'parse_error'").select("id", "answer")
 
 
-@query(f"""WITH {st.SEGMENTS} SELECT clip, row_number() OVER (PARTITION BY clip ORDER BY turn) AS idx, "start" * 1.0::DOUBLE AS "start", "end" * 1.0::DOUBLE AS "end", '[' || speaker || '] ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM segments WHERE "end" > "start" """)
+@query(f"""WITH {st.SEGMENTS}, c AS (
+  SELECT clip, turn, row_number() OVER (PARTITION BY clip ORDER BY turn) AS idx, "start" * 1.0::DOUBLE AS "start", "end" * 1.0::DOUBLE AS "end",
+    CASE WHEN turn % 5 = 4 THEN '' ELSE trim(regexp_replace(text, '\\s+', ' ', 'g')) END AS said, CASE turn % 4 WHEN 1 THEN '' WHEN 2 THEN '' ELSE '[' || speaker || '] ' END AS prefix
+  FROM segments WHERE "end" > "start")
+SELECT clip, idx, "start", "end", trim(prefix || said) AS text FROM c WHERE trim(prefix || said) <> ''""")
 def srt_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Turns written as SRT files and read again."""
-    cues = st.segments(spark, d).filter("end > start").withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
-    return subtitles.srt_cues(subtitles.srt_texts(cues, "clip", "turn"), "clip")
+    """Turns written as SRT files and read again: speakers' numbers and UNKNOWN go, and with them the cues of nothing else."""
+    cues = st.segments(spark, d).filter("end > start").withColumn("text", F.when(F.col("turn") % 5 == 4, F.lit("")).otherwise(F.trim(F.regexp_replace("text", r"\s+", " "))))
+    speaker = F.when(F.col("turn") % 4 == 2, F.concat(F.lit("SPEAKER_0"), F.col("turn").cast("string"))).when(F.col("turn") % 4 != 1, F.col("speaker"))
+    return subtitles.srt_cues(subtitles.srt_texts(cues.withColumn("speaker", speaker), "clip", "turn"), "clip")
 
 
 @query("SELECT user_id % 50 AS file, max(event_id) AS line_no, max_by(event_type, event_id) AS kind FROM events WHERE event_id % 7 <> 0 GROUP BY 1")
@@ -108,14 +117,15 @@ def jsonl_last_wins(spark: SparkSession, d: str) -> DataFrame:
     return records.latest_records(rows, ["file"], "file bigint, kind string")
 
 
-@query("""WITH t AS (SELECT conv_id AS clip, turn, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
-SELECT clip, turn + 1 AS idx, turn * 2.0::DOUBLE AS "start", turn * 2.0::DOUBLE + 1 AS "end", 'w' || turn AS text FROM t WHERE turn % 3 <> 1""")
+@query("""SELECT conv_id AS clip, turn + 1 AS idx, turn * 2.0::DOUBLE AS "start", turn * 2.0::DOUBLE + 1.235 AS "end", 'w' || turn AS text FROM conversations WHERE turn % 3 <> 1 AND turn % 5 <> 4 AND conv_id % 5 <> 3""")
 def word_entries(spark: SparkSession, d: str) -> DataFrame:
-    """Words of transcripts, each third without an end; numbers count all of them."""
-    end = F.when(F.col("turn") % 3 == 1, F.lit("null")).otherwise((F.col("turn") * 2 + 1).cast("string"))
-    word = F.concat(F.lit('{"word": " w'), F.col("turn").cast("string"), F.lit('", "start": '), (F.col("turn") * 2).cast("string"), F.lit(', "end": '), end, F.lit("}"))
+    """Words of transcripts, each third without an end, each fifth a speaker's name only; numbers count all of them. Each fifth transcript has an empty list of its own words, which counts."""
+    end = F.when(F.col("turn") % 3 == 1, F.lit("null")).otherwise(F.concat((F.col("turn") * 2 + 1).cast("string"), F.lit(".2349")))
+    said = F.concat(F.when(F.col("turn") % 2 == 0, F.lit("[SPEAKER_01]: ")).otherwise(F.lit("unknown: ")), F.when(F.col("turn") % 5 == 4, F.lit("")).otherwise(F.concat(F.lit("w"), F.col("turn").cast("string"))))
+    word = F.concat(F.lit('{"word": " '), said, F.lit('", "start": '), (F.col("turn") * 2).cast("string"), F.lit(', "end": '), end, F.lit("}"))
     docs = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("clip")).agg(F.array_sort(F.collect_list(F.struct("turn", word.alias("w")))).alias("ws"))
-    docs = docs.select("clip", F.concat(F.lit('{"segments": [{"words": ['), F.array_join(F.transform("ws", lambda x: x["w"]), ","), F.lit("]}]}")).alias("text"))
+    own = F.when(F.col("clip") % 5 == 3, F.lit('"word_segments": [], ')).otherwise(F.lit(""))
+    docs = docs.select("clip", F.concat(F.lit("{"), own, F.lit('"segments": [7, {"words": ['), F.array_join(F.transform("ws", lambda x: x["w"]), ","), F.lit("]}]}")).alias("text"))
     return subtitles.transcript_words(records.tolerant_documents(docs), "clip")
 
 

@@ -6,18 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspark.functions.clips import granularity
-from reelspark.functions.texts import strip
-from reelspark.functions.times import srt_seconds, srt_time
+from reelspark.functions.texts import strip, without_speaker
+from reelspark.functions.times import nearest, srt_seconds, srt_time
 from reelspark.sources.records import tolerant_documents
 
-_WORD = "array<struct<word:string,start:double,end:double>>"
-
 
 def srt_cues(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key, idx, start, end, text of the cues of SRT texts.
 
     Blocks are parted by blank lines; the number line may be missing, then the cue gets the number of cues
-    kept so far plus one. Cues with bad times, no length or no text go.
+    kept so far plus one. Speakers' prefixes go from the texts. Cues with bad times, no length or then no text go.
     """
     clean = F.replace(F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")), F.lit("﻿"), F.lit(""))
     blocks = texts.select(key, F.posexplode(F.split(strip(clean), r"\n\s*\n")).alias("block_no", "block"))
@@ -30,24 +28,29 @@ def srt_cues(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
         key, "block_no",
         F.when(~timed, F.get("rows", 0).try_cast("long")).alias("own"),
         srt_seconds(F.get(times, 0)).alias("start"), srt_seconds(F.get(times, 1)).alias("end"),
-        F.array_join(F.slice("rows", at + 2, F.greatest(F.size("rows"), F.lit(1))), " ").alias("text"),
+        without_speaker(F.array_join(F.slice("rows", at + 2, F.greatest(F.size("rows"), F.lit(1))), " ")).alias("text"),
     )
     kept = parsed.filter("start IS NOT NULL AND end IS NOT NULL AND end > start AND text <> ''")
     count = F.row_number().over(Window.partitionBy(key).orderBy("block_no"))
-    return kept.select(key, F.coalesce("own", count.cast("long")).alias("idx"), "start", "end", "text")
+    return kept.select(key, F.coalesce("own", count.cast("long")).alias("idx"), *_thousandths("start", "end"), "text")
+
+
+def _thousandths(*names: str) -> list[Column]:
+    return [(nearest(F.col(n), 3) / 1000.0).alias(n) for n in names]
 
 
 def transcript_words(docs: DataFrame, key: str, doc: str = "doc") -> DataFrame:
     """key, idx, start, end, text of the words of VARIANT transcripts.
 
-    Words are ``word_segments``, or where that is missing or empty those of all segments in order. The
-    number counts all of them from 1; words without bounds, length or text go afterwards.
+    Words are ``word_segments`` if that is a list, also an empty one, else those of all segments in order. The
+    number counts all of them from 1; speakers' prefixes go from the texts, and words without bounds, length or then text afterwards.
     """
-    flat = F.flatten(F.transform(F.try_variant_get(doc, "$.segments", f"array<struct<words:{_WORD}>>"), lambda s: F.coalesce(s["words"], F.array().cast(_WORD))))
-    own = F.try_variant_get(doc, "$.word_segments", _WORD)
-    words = docs.select(key, F.posexplode(F.when(F.size(own) > 0, own).otherwise(flat)).alias("pos", "w"))
-    rows = words.select(key, (F.col("pos") + 1).cast("long").alias("idx"), "w.start", "w.end", strip(F.col("w.word")).alias("text"))
-    return rows.filter("start IS NOT NULL AND end IS NOT NULL AND end > start AND text <> ''")
+    listed = lambda v, path: F.try_variant_get(v, path, "array<variant>")
+    flat = F.flatten(F.transform(listed(F.col(doc), "$.segments"), lambda s: F.coalesce(listed(s, "$.words"), F.array().cast("array<variant>"))))
+    words = docs.select(key, F.posexplode(F.coalesce(listed(F.col(doc), "$.word_segments"), flat)).alias("pos", "w"))
+    bound = lambda k: F.try_variant_get("w", f"$.{k}", "double").alias(k)
+    rows = words.select(key, (F.col("pos") + 1).cast("long").alias("idx"), bound("start"), bound("end"), without_speaker(F.try_variant_get("w", "$.word", "string")).alias("text"))
+    return rows.filter("start IS NOT NULL AND end IS NOT NULL AND end > start AND text <> ''").select(key, "idx", *_thousandths("start", "end"), "text")
 
 
 def entries(texts: DataFrame, key: str) -> DataFrame:

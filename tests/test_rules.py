@@ -62,7 +62,12 @@ def test_times(spark):
     assert one(spark, times.srt_seconds(F.lit("01:01:01,250"))) == 3661.25
     assert one(spark, times.srt_seconds(F.lit("01:01,250"))) is None
     assert one(spark, times.minutes_text(F.lit(75.5))) == "01:15.50"
-    assert one(spark, times.duration_text(F.lit(3725.25))) == "1h 2m 5.3s"
+    assert one(spark, times.duration_text(F.lit(3725.25))) == "1h 2m 5.2s"
+    for x in (0.125, 2.675, 125.625, 0.25, 0.375, 59.995, 59.996, 1.005, 8.345, 0.045, 1e6 + 0.005, 0.0, 7.0):
+        assert one(spark, times.minutes_text(F.lit(x))) == f"{int(x // 60):02d}:{x % 60:05.2f}"
+        assert one(spark, texts.speaking_label("T", F.lit(-x), 0)).endswith(f"score={-x:.2f}".replace("-0.00", "0.00"))
+    for x in (0.25, 0.35, 0.05, 0.15, 2.45, 59.95, 61.25):
+        assert one(spark, times.duration_text(F.lit(x))).endswith(f"{x % 60:.1f}s")
 
 
 @pytest.mark.parametrize("text", ["[SPEAKER_00]: hi", "speaker-1 hi", "[ UNKNOWN ] hi", "Unknown: hi", "  hi  "])
@@ -88,9 +93,9 @@ def test_boxes(spark):
 
 
 def test_srt(spark):
-    text = "1\n00:00:01,000 --> 00:00:02,000\n[A] one\n\n00:00:03,000 --> 00:00:04,000\ntwo\nlines\n\n3\n00:00:05.000 --> 00:00:06,000\nbad\n\n4\n00:00:07,000 --> 00:00:07,000\nempty\n\n9\n00:00:08,000 --> 00:00:09,500\n  \n"
+    text = "1\n00:00:01,000 --> 00:00:02,000\n[A] one\n\n8\n00:00:01,000 --> 00:00:02,000\nUNKNOWN:\n\n9\n00:00:02,001 --> 00:00:02,999\n[SPEAKER_01] hi\n\n00:00:03,000 --> 00:00:04,000\ntwo\nlines\n\n3\n00:00:05.000 --> 00:00:06,000\nbad\n\n4\n00:00:07,000 --> 00:00:07,000\nempty\n\n9\n00:00:08,000 --> 00:00:09,500\n  \n"
     got = subtitles.srt_cues(spark.createDataFrame([("f", text)], "k string, text string"), "k").orderBy("start").collect()
-    assert [(r["idx"], r["start"], r["end"], r["text"]) for r in got] == [(1, 1.0, 2.0, "[A] one"), (2, 3.0, 4.0, "two lines")]
+    assert [(r["idx"], r["start"], r["end"], r["text"]) for r in got] == [(1, 1.0, 2.0, "[A] one"), (9, 2.001, 2.999, "hi"), (3, 3.0, 4.0, "two lines")]
 
 
 def test_records(spark):
