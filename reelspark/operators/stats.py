@@ -49,3 +49,18 @@ def global_stats(by_movie: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("movies"), F.sum("clips").alias("clips"), F.round(F.sum("seconds"), 2).alias("seconds"), F.round(F.try_divide(F.sum("seconds"), F.sum("clips")), 4).alias("mean_seconds"),
         F.min("min_seconds").alias("min_seconds"), F.max("max_seconds").alias("max_seconds"), F.sum("with_dialogue").alias("with_dialogue"),
     )
+
+
+def rolled_up(rows: DataFrame, levels: list[str], value: str, measure: str) -> DataFrame:
+    """levels, level, rows, total, distribution: over each of ``levels`` in turn, the first alone, and all rows.
+
+    ``level`` is the number of levels summed over (null levels of the data are told from those by it), ``total`` the sum of ``measure`` and
+    ``distribution`` the map of counts by ``value``, in order; a null value is no entry. Rows are first counted by levels and value, so the one
+    expansion, to all levels, is of those counts; maps of higher levels are merged by adding counts of equal keys.
+    """
+    base = rows.groupBy(*levels, value).agg(F.count(F.lit(1)).alias("n"), F.sum(measure).alias("s"))
+    sets = [[*map(F.col, levels[:k]), F.col(value)] for k in range(len(levels), -1, -1)]
+    merged = base.groupingSets(sets, *levels, value).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.grouping_id().alias("id"))
+    counts = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(value, "n"))))
+    out = merged.groupBy(*levels, "id").agg(F.sum("n").alias("rows"), F.sum("s").alias("total"), F.map_from_entries(counts).alias("distribution"))
+    return out.select(*levels, F.bit_count("id").cast("long").alias("level"), "rows", "total", "distribution")
