@@ -29,8 +29,8 @@ from reelspark.llm.sampling import about
 
 #: Labelled pages that weights are fitted on, at most (in expectation; chosen by hash of the html).
 MAX_LABELLED = 5_000
-#: Names that are learnt, at most, and the fewest words under such a name.
-MAX_NAMES, NAME_WORDS = 1_000, 200
+#: The fewest words under a name that is learnt, on the labelled pages together.
+NAME_WORDS = 200
 #: Prior words and tags per place.
 PRIOR = 30.0
 MOST, LEAST_WORD, LEAST_TAG = 3.0, 0.2, 0.001
@@ -40,8 +40,9 @@ MARKED_WORD, AGAINST = 1.0, -1.5
 #: (of one with a plain name: and if it has the page's main heading). A mark counts unless the text outside is that many times its own.
 SPARE, SPARE_PLAIN, OUTSIDE = 0.25, 0.1, 4
 
-#: Elements whose content is no text.
-_RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "select", "button", "textarea", "canvas", "math", "audio", "video", "title", "head")
+#: Elements whose content is no text: code, controls, and what is shown by other means. The fallback of an ``object`` and the lettering of an
+#: ``svg`` drawing are left out with them; ``math`` is text.
+_RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "select", "button", "textarea", "canvas", "audio", "video", "title", "head")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -66,6 +67,11 @@ _DOUBTFUL = frozenset(
     "promo promotion banner notice notices alert popup modal overlay widget respond reply replies discussion header search toc skip toolbar copyright"
     " legal disclaimer complementary tags hidden".split()
 )
+#: Words of compound names that say how a part is built and not what is in it.
+_BUILT = frozenset(
+    "area articles bar block blocks box btn button buttons card cards cell col column container content cta entry form grid group holder icon icons inner item items"
+    " left link links list module outer panel placeholder post posts right row rows section slot stories strip top bottom unit widget widgets wrap wrapper".split()
+)
 #: Quotes count after an equals sign only; elsewhere a tag ends at the next >.
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')|=)*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|aria-label|style|hidden)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -262,7 +268,9 @@ class Weights:
         for words in names:
             bad = [w for w in words if self.odds("@" + w) < AGAINST]
             whole = len(bad) == len(words)
-            if bad and (whole or tag not in _LEAVES and tag != "article"):
+            # In an article prose has names of its own, such as legal-analysis: there every word must say so, but for those on the build.
+            told = whole or (all(w in bad or w in _BUILT for w in words) if in_article else tag not in _LEAVES and tag != "article")
+            if bad and told and (whole or tag != "article"):
                 found.append((min(self.odds("@" + w) for w in bad), whole and any(w in _PLAIN for w in bad)))
         return (min(o for o, _ in found), any(s for _, s in found)) if found else None
 
@@ -466,12 +474,12 @@ def fit(pages: DataFrame, html_col: str = "html", max_labelled: int = MAX_LABELL
     sums = labelled.mapInArrow(count, "key string, inside long, outside long").groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
     sums = scratch.written(sums, "html-counts")
     known = set(_BLOCK) | set(_VOID) | set(_RAW) | {"a", "b", "i", "em", "strong", "span", "u", "s", "small", "sub", "sup", "code", "font", "label", "abbr", "cite", "q", "time", "mark"}
-    # Blocks and tags are those of HTML, a few hundred; of names the most frequent ones are collected.
+    # Blocks and tags are those of HTML, a few hundred; names are those of the labelled sample.
     is_name = F.col("key").startswith("@")
     names = F.regexp_extract("key", r"^</?([a-z0-9]+)$", 1)
     kept = sums.filter(~is_name & (~F.col("key").startswith("<") | names.isin(*sorted(known)))).collect()
     seen = F.col("inside") + F.col("outside")
-    kept += sums.filter(is_name & (seen >= NAME_WORDS)).orderBy(seen.desc(), "key").limit(MAX_NAMES).collect()
+    kept += sums.filter(is_name & (seen >= NAME_WORDS)).collect()
     return Weights({r["key"]: (r["inside"], r["outside"]) for r in kept})
 
 
