@@ -13,20 +13,35 @@ def overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
     return F.greatest(zero, F.least(e1, e2) - F.greatest(s1, s2))
 
 
+#: Slots of a level are so many times as wide as those of the level below.
+_STEP = 4
+
+
 def interval_join(left: DataFrame, right: DataFrame, keys: list[str], width: int) -> DataFrame:
     """Pairs of rows with equal ``keys`` whose [start, end) overlap; columns of the right get ``r_``.
 
-    Intervals are cut into slots of ``width`` and rows meet on (keys, slot), so no key's rows are
-    compared with all others and a hot key is spread over its slots. A pair stays only in the first slot
-    that both touch. Empty intervals overlap nothing.
+    Rows meet on (keys, level, slot), so no key's rows are compared with all others and a hot key is spread over its slots. An interval is
+    on the lowest level whose slots (of ``width`` on level 0, on each further one four times as wide) are as long as itself, so it touches two of them at most, however
+    long it is. It goes to its own level and those above, as far as there are any, and a pair meets on the higher of its two
+    levels, in the first slot that both touch. Empty intervals overlap nothing.
     """
-    slots = lambda s, e: F.explode(F.sequence(F.floor(s / width), F.floor((e - 1e-9) / width)))
-    a = left.filter("end > start").withColumn("__slot", slots(F.col("start"), F.col("end")))
-    b = right.filter("end > start").select(*[F.col(c).alias(c if c in keys else f"r_{c}") for c in right.columns])
-    b = b.withColumn("__slot", slots(F.col("r_start"), F.col("r_end")))
-    near = a.join(b, [*keys, "__slot"])
-    first = F.floor(F.greatest("start", "r_start") / width)
-    return near.filter((F.col("start") < F.col("r_end")) & (F.col("r_start") < F.col("end")) & (F.col("__slot") == first)).drop("__slot")
+    names = {c: c if c in keys else f"r_{c}" for c in right.columns}
+    level = lambda s, e: F.greatest(F.lit(0), F.ceil(F.log((e - s) / width) / F.log(F.lit(float(_STEP))) - 1e-9)).cast("int")
+    a = left.filter("end > start").withColumn("__own", level(F.col("start"), F.col("end")))
+    b = right.filter("end > start").withColumn("__own", level(F.col("start"), F.col("end")))
+    top = a.select("__own").union(b.select("__own")).agg(F.max("__own")).first()[0] or 0
+    wide = lambda at: F.lit(float(width)) * F.pow(F.lit(float(_STEP)), at)
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("__level", F.explode(F.sequence("__own", F.lit(top))) if top else F.lit(0))
+        at = wide(F.col("__level"))
+        return rows.withColumn("__slot", F.explode(F.sequence(F.floor(F.col("start") / at), F.floor((F.col("end") - 1e-9) / at))))
+
+    b = dealt(b).select(*[F.col(c).alias(n) for c, n in names.items()], F.col("__own").alias("__other"), "__level", "__slot")
+    near = dealt(a).join(b, [*keys, "__level", "__slot"])
+    first = F.floor(F.greatest("start", "r_start") / wide(F.col("__level")))
+    meets = (F.col("start") < F.col("r_end")) & (F.col("r_start") < F.col("end"))
+    return near.filter(meets & (F.col("__level") == F.greatest("__own", "__other")) & (F.col("__slot") == first)).drop("__own", "__other", "__level", "__slot")
 
 
 def frames_of_shots(shots: DataFrame, frames: DataFrame, keys: list[str], width: int) -> DataFrame:

@@ -5,8 +5,6 @@ Windows are by series key, so a series is one group; series are clips and tracks
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -142,28 +140,32 @@ def unit_vector(v: Column) -> Column:
 def neighbour_similarity(df: DataFrame, keys: list[str], frame: str, feature: str, reach: int) -> DataFrame:
     """keys, frame, offset, similarity of every frame with those up to ``reach`` before and after.
 
-    Rows meet by blocks of ``reach`` frames: each row goes to its own block, and the earlier ones also to
-    the next, so the join is on equal keys and a series is spread over its blocks. A pair is met
-    once, multiplied in Arrow batches, and gives both its offsets. Frames outside have no row.
+    A series is cut into blocks of at least 64 frames; the first ``reach`` of a block also go to the one before, so a vector
+    moves little more than once and a series is spread over its blocks. A block is one matrix product; each
+    pair is found in the block of its earlier frame, and gives both its offsets. Frames outside have no row.
     """
-    block = F.floor(F.col(frame) / reach).cast("long")
-    unit = df.select(*keys, F.col(frame).cast("long").alias("frame"), unit_vector(F.col(feature)).alias("a"), block.alias("block"))
-    ahead = unit.select(*keys, F.col("frame").alias("other"), F.col("a").alias("b"), F.explode(F.array(F.col("block") - 1, F.col("block"))).alias("block"))
-    later = F.col("other") - F.col("frame")
-    near = unit.join(ahead, [*keys, "block"]).filter((later >= 0) & (later <= reach)).select(*keys, "frame", later.alias("offset"), "a", "b")
-    kept = [f for f in near.schema.fields if f.name not in ("a", "b")]
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in ("a", "b"))
-            found = np.einsum("ij,ij->i", a, b) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found)], [*[f.name for f in kept], "similarity"])
-
-    pairs = near.mapInArrow(multiply, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", similarity double")
-    both = F.when(F.col("offset") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array(F.lit(0).cast("long"), F.col("offset")))
-    side = pairs.select("*", F.explode(both).alias("__side"))
-    # Side 0 is the earlier frame looking ahead, the other the later one looking back.
-    return side.select(*keys, (F.col("frame") + F.col("__side")).alias("frame"), F.when(F.col("__side") == 0, F.col("offset")).otherwise(-F.col("offset")).alias("offset"), "similarity")
+    size = max(64, 8 * reach)
+    at = F.col(frame).cast("long")
+    block = F.floor(at / size).cast("long")
+    both = F.when(at - block * size < reach, F.array(block - 1, block)).otherwise(F.array(block))
+    unit = df.select(*keys, at.alias("frame"), unit_vector(F.col(feature)).alias("v"), F.explode(both).alias("block"))
+    kept = [f for f in unit.schema.fields if f.name in keys]
+
+    def multiply(group: pa.Table) -> pa.Table:
+        frames = group["frame"].combine_chunks().to_numpy()
+        v = group["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(frames), -1)
+        own = np.flatnonzero(frames // size == group["block"][0].as_py())
+        later = frames[None, :] - frames[own, None]
+        a, b = np.nonzero((later >= 0) & (later <= reach))
+        found, offset = (v[own] @ v.T)[a, b], later[a, b]
+        ahead = offset > 0  # the pair seen from the later frame
+        where = np.concatenate((own[a], b[ahead]))
+        columns = [group[k].combine_chunks().take(pa.array(where)) for k in keys]
+        columns += [pa.array(x) for x in (frames[where], np.concatenate((offset, -offset[ahead])), np.concatenate((found, found[ahead])))]
+        return pa.Table.from_arrays(columns, [*keys, "frame", "offset", "similarity"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "frame long, offset long, similarity double"])
+    return unit.groupBy(*keys, "block").applyInArrow(multiply, schema)
 
 
 def similarity_lookup(df: DataFrame, keys: list[str], frame: str, feature: str, reach: int) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Held while a table is written. Nothing reads the shuffles of the write once the table stands, so they need not wait for the
 #: driver's garbage collection; and rows of some megabytes go to Python few at a time.
 _WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_written: list[str] = []  # paths of all tables, in the order they were written
 _own: dict[str, str] = {}  # application id -> folder, where the cluster names none
 
 
@@ -57,9 +58,23 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
     table._scratch_path = path
+    _written.append(path)
     return table
 
 
+def mark() -> int:
+    """A point in time for ``removed_since``."""
+    return len(_written)
+
+
+def removed_since(spark: SparkSession, point: int, keep: DataFrame) -> None:
+    """Delete the tables written since ``point`` but for ``keep``; for when ``keep`` is all that is still read of them."""
+    for path in _written[point:]:
+        if path != getattr(keep, "_scratch_path", None):
+            _delete(spark, path)
+    del _written[point:]
+
+
 def removed(*tables: DataFrame) -> None:
     """Delete tables that ``written`` gave; for those that nothing reads any more, since what came of them is written too."""
     for table in tables:

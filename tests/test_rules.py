@@ -127,6 +127,8 @@ def test_interval_join_against_all_pairs(spark):
     make = lambda n: [(rng.randrange(3), k, float(s := rng.randrange(300)), float(s + rng.randrange(0, 90))) for k in range(n)]
     a, b = make(120), make(120)
     schema = "k long, id long, start double, end double"
+    a += [(0, 200, 0.0, 1e6), (1, 201, 5.0, 2e9), (2, 202, 100.0, 100.5), (0, 203, -500.0, -20.0)]
+    b += [(0, 300, -1e9, 1e9), (2, 301, 25.0, 50.0), (2, 302, 0.0, 100.0), (0, 303, -400.0, 1600.0)]
     got = intervals.interval_join(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["k"], 25)
     want = {(x[1], y[1]) for x in a for y in b if x[0] == y[0] and x[2] < y[3] and y[2] < x[3] and x[3] > x[2] and y[3] > y[2]}
     rows = [(r["id"], r["r_id"]) for r in got.collect()]
