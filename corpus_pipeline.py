@@ -49,10 +49,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last writes a table in the shared folder, which goes when the next one's is there."""
+    """All stages over ``documents``; every stage but the last writes a table in the shared folder, and what it or the stage before wrote besides goes when that is there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        before, docs = docs, scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, point = docs, scratch.mark()
+        docs = scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.removed_since(spark, point, keep=docs)
         scratch.removed(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 

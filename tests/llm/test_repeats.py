@@ -236,3 +236,16 @@ def test_two_page_hosts(spark):
     pages = spark.createDataFrame([(1, "h", ["menu", "one"]), (2, "h", ["menu", "two"]), (3, "solo", ["menu", "three"])], "page_id long, host string, lines array<string>")
     got = {r["page_id"]: r["text"] for r in line_dedup.drop_site_lines(pages, "page_id", F.col("host"), F.col("lines")).collect()}
     assert got == {1: "one", 2: "two", 3: "menu\nthree"}
+
+
+def test_the_pipeline_leaves_one_table_a_run(spark, data):
+    import os
+
+    import corpus_pipeline
+    from reelspark import scratch
+
+    folder = scratch.app_dir(spark)
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    found = corpus_pipeline.run(spark, data)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
+    assert found.count() > 0 and left == {"pipeline-mixing", "pack-pieces"}
