@@ -12,9 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from reelspark.llm.words import batches, hashes, joined, mix, per_text, rolled, spans
+from reelspark.llm.words import batches, hashes, joined, mix, per_text, pieces, rolled, spans
 
-#: Bytes hashed at once; a longer text is hashed alone, at some ten bytes a byte.
+#: Bytes hashed at once, at some ten bytes a byte; a longer text is hashed in pieces.
 CHUNK_BYTES = 1 << 21
 
 _U = np.uint64
@@ -35,10 +35,32 @@ def _chunk_sets(texts: list[bytes], k: int, seed: int) -> Iterator[np.ndarray]:
                 yield mix(rolled(words[a:b], b - a) + _U(b - a)) if b > a else np.zeros(0, _U)
 
 
+def _long_set(text: bytes, k: int, seed: int) -> np.ndarray:
+    """The set of one long text: each piece is hashed with the last words of the one before."""
+    found, held, carry, total = [], 0, np.zeros(0, _U), 0
+    for piece in pieces(text, CHUNK_BYTES):
+        data = joined([piece], lower=True)
+        words = hashes(data, *spans(data), seed)
+        total += len(words)
+        carry = np.concatenate((carry, words))
+        found.append(np.unique(rolled(carry, k)))
+        carry = carry[-k + 1 :] if k > 1 else carry[:0]
+        held += len(found[-1])
+        if held > 2 * len(found[0]) + CHUNK_BYTES:
+            found = [np.unique(np.concatenate(found))]
+            held = 0
+    if 0 < total < k:
+        return next(_chunk_sets([b" ".join(text.split())], k, seed))
+    return np.unique(np.concatenate([np.zeros(0, _U), *found]))
+
+
 def shingle_sets(texts: list[bytes], k: int = 5, seed: int = 0) -> Iterator[np.ndarray]:
     """One sorted array of distinct hashes per text, in order."""
     for run in batches(texts, CHUNK_BYTES):
-        yield from _chunk_sets(run, k, seed)
+        if len(run[0]) > CHUNK_BYTES:
+            yield _long_set(run[0], k, seed)
+        else:
+            yield from _chunk_sets(run, k, seed)
 
 
 def set_key(numbers: np.ndarray) -> tuple[int, int]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reelspark import scratch
 from reelspark.llm.sampling import about
-from reelspark.llm.words import batches, hashes, joined, per_text, spans
+from reelspark.llm.words import batches, hashes, joined, per_text, pieces, spans
 
 #: Labelled documents used for fitting, at most (in expectation; chosen by hash).
 MAX_LABELLED = 10_000
@@ -30,7 +30,7 @@ MAX_FEATURES, MIN_DOCS, MIN_Z = 1024, 4, 4.0
 FOLDS, BINS = 5, 16
 #: Share of right ones among what a threshold takes, at least: clean documents are to stay.
 MIN_PRECISION = 0.8
-#: Bytes whose features are made at once; a longer text is alone.
+#: Bytes whose features are made at once; a longer text goes in pieces.
 CHUNK_BYTES = 1 << 21
 #: Features are hashes with this seed, always the same: a fitted chain names its features by them.
 SEED = 1
@@ -58,7 +58,11 @@ def _chunk_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _features(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(number of texts, text numbers, features) of runs of texts."""
     for run in batches(texts, CHUNK_BYTES):
-        yield len(run), *_chunk_features(run)
+        if len(run[0]) > CHUNK_BYTES:  # in pieces, of which each feature is kept once
+            found = np.unique(np.concatenate([np.unique(_chunk_features([p])[1]) for p in pieces(run[0], CHUNK_BYTES, _IN_WORD)]))
+            yield 1, np.zeros(len(found), np.int64), found
+        else:
+            yield len(run), *_chunk_features(run)
 
 
 @dataclass

@@ -118,3 +118,20 @@ def batches(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
         held += len(t)
     if run:
         yield run
+
+
+def pieces(text: bytes, size: int, in_word: np.ndarray = _IN_WORD) -> Iterator[bytes]:
+    """``text`` in pieces of about ``size`` bytes that end between words; a longer word is a piece of its own."""
+    data, at = np.frombuffer(text, np.uint8), 0
+    while at < len(data):
+        end = min(at + size, len(data))
+        if end < len(data):
+            gaps = np.flatnonzero(~in_word[data[at:end]])
+            if len(gaps):
+                end = at + int(gaps[-1]) + 1
+            else:
+                while end < len(data) and not len(gaps := np.flatnonzero(~in_word[data[end : end + size]])):
+                    end = min(end + size, len(data))
+                end += int(gaps[0]) + 1 if end < len(data) else 0
+        yield text[at:end]
+        at = end

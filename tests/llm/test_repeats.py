@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelspark.llm import collocations, exact_dedup, hard_negatives, jaccard, line_dedup, substring_dedup
+from reelspark.llm import collocations, exact_dedup, hard_negatives, jaccard, line_dedup, shingles, substring_dedup, toxicity
 from reelspark.llm.words import hashes, joined, new_seed, rolled, spans
 
 DOCS = "doc_id long, text string, lang string"
@@ -249,3 +249,16 @@ def test_the_pipeline_leaves_one_table_a_run(spark, data):
     found = corpus_pipeline.run(spark, data)
     left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
     assert found.count() > 0 and left == {"pipeline-mixing", "pack-pieces"}
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    """Pieces give the sets and features of the whole, wherever they are cut; a long word is not cut."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["ab", "C", "é" * 9, "long" * 30, "x\ty", "\n"]) for _ in range(n)).encode() for n in (1, 3, 4, 5, 6, 40, 300)] + [b"w" * 500, b" \n", b"a " * 200, b"q" * 300 + b" r s t u v"]
+    want = [[s.tolist() for s in shingles.shingle_sets(texts, k, 7)] for k in (1, 2, 5)]
+    features = [set(f.tolist()) for t in texts for _, _, f in toxicity._features([t])]
+    for size in (1, 16, 100):
+        monkeypatch.setattr(shingles, "CHUNK_BYTES", size)
+        monkeypatch.setattr(toxicity, "CHUNK_BYTES", size)
+        assert [[s.tolist() for s in shingles.shingle_sets(texts, k, 7)] for k in (1, 2, 5)] == want
+        assert [set(f.tolist()) for t in texts for _, _, f in toxicity._features([t])] == features
