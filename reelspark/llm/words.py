@@ -21,7 +21,7 @@ _STEP, _ODD = _U(0x9E3779B97F4A7C15), _U(0xD1342543DE82EF95)
 #: Of the last eight bytes of a word, those that are its own, by their number.
 _OWN = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
 #: Lanes mixed at once.
-_LANES = 1 << 20
+_LANES = 1 << 17
 
 
 def new_seed() -> int:
