@@ -86,6 +86,13 @@ def table_of(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, schema.values(), strict=True)], list(schema))
 
 
+def each_row(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of some megabytes, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 def with_answers(blocks: DataFrame, *answers: DataFrame, how: str = "inner") -> DataFrame:
     """``blocks`` with ``answers``: an array of the answer rows (block, and columns of one kind each) of a block.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspark import scratch
-from reelspark.llm.blocks import MAX_TASKS, by_tile, packed, table_of, unpacked, with_answers
+from reelspark.llm.blocks import MAX_TASKS, by_tile, each_row, packed, table_of, unpacked, with_answers
 from reelspark.llm.words import follow, hashes, joined, mix, new_seed, per_text, spans
 
 LEAST, LONGEST, COVERED, TOP = 30, 4, 80, 2000
@@ -324,9 +324,8 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     def each(work):
         def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for k in range(batch.num_rows):
-                    yield work(batch.slice(k, 1).to_pylist()[0])
+            for row in each_row(batches):
+                yield work(row)
 
         return over
 

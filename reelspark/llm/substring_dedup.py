@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import scratch
-from reelspark.llm.blocks import BLOCK_BYTES, MAX_TASKS, TILE_BYTES, blocked, by_tile, packed, table_of, tiles_of, with_answers
+from reelspark.llm.blocks import BLOCK_BYTES, MAX_TASKS, TILE_BYTES, blocked, by_tile, each_row, packed, table_of, tiles_of, with_answers
 from reelspark.llm.words import hashes, joined, new_seed, per_text, rolled, spans
 
 #: Words of a window.
@@ -173,32 +173,29 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return _Windows(texts, window, tiles, seeds)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                cells = np.unique(windows(texts).cell)
-                low = (cells & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                yield table_of(_SKETCH, [(tile, block, low[a:b].tobytes()) for tile, a, b in by_tile(_tile(cells))])
+        for row in each_row(batches):
+            cells = np.unique(windows(row["texts"]).cell)
+            low = (cells & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            yield table_of(_SKETCH, [(tile, row["block"], low[a:b].tobytes()) for tile, a, b in by_tile(_tile(cells))])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, ids, texts, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                w = windows(texts)
-                c = _Candidates(w, answers)
-                base = ids[0]  # the smallest
-                with np.errstate(over="ignore"):
-                    docs = (np.array(ids, np.int64) - np.int64(base)).astype(np.uint64)[w.doc[c.heads]] if base is not None else np.zeros(len(c.heads), np.uint64)
-                yield table_of(_EXACT, [(tile, block, base, c.one[a:b].tobytes(), c.two[a:b].tobytes(), packed(docs[a:b])) for tile, a, b in by_tile(c.tile)])
+        for row in each_row(batches):
+            w = windows(row["texts"])
+            c = _Candidates(w, row["answers"])
+            base = row["ids"][0]  # the smallest
+            with np.errstate(over="ignore"):
+                docs = (np.array(row["ids"], np.int64) - np.int64(base)).astype(np.uint64)[w.doc[c.heads]] if base is not None else np.zeros(len(c.heads), np.uint64)
+            yield table_of(_EXACT, [(tile, row["block"], base, c.one[a:b].tobytes(), c.two[a:b].tobytes(), packed(docs[a:b])) for tile, a, b in by_tile(c.tile)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, texts, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                w = windows(texts)
-                removed = _later_inside(w)
-                if answers:
-                    c = _Candidates(w, answers)
-                    removed[c.heads[_marked(c.tile, answers, 1)]] = True
-                n, left = _kept(w, removed)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.diff(w.bounds)), pa.array(n), pa.array([t.decode("utf-8", "replace") for t in left], pa.string())], ["doc_id", "n_words", "n_removed", "text"])
+        for row in each_row(batches):
+            w = windows(row["texts"])
+            removed = _later_inside(w)
+            if row["answers"]:
+                c = _Candidates(w, row["answers"])
+                removed[c.heads[_marked(c.tile, row["answers"], 1)]] = True
+            n, left = _kept(w, removed)
+            yield pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(np.diff(w.bounds)), pa.array(n), pa.array([t.decode("utf-8", "replace") for t in left], pa.string())], ["doc_id", "n_words", "n_removed", "text"])
 
     sent = blocks.select("block", "texts").mapInArrow(sketch, "tile int, block long, cells binary")
     hits = scratch.written(sent.repartition(tasks, "tile").groupBy("tile").applyInArrow(_sketch_merged, _BITS_SQL), "repeats-hits")
