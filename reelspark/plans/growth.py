@@ -9,7 +9,7 @@ from reelspark import scratch
 from reelspark.operators import attempts, segmented, stats, tracking
 from reelspark.plans import stand_ins as st
 from reelspark.plans.registry import query, table
-from reelspark.sources import annotators, datasources, subtitles, windows
+from reelspark.sources import annotators, datasources, records, subtitles, windows
 from reelspark.streaming import barrier, progress, scenes, stages
 
 _ONE = """s AS (SELECT event_id AS pos, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS DOUBLE)/99 AS p, value, event_type FROM events)"""
@@ -128,6 +128,23 @@ def srt_files(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.format("srt").load(base).select(clip, "idx", "start", "end", "text")
 
 
+@query("""SELECT user_id AS clip, count(*) AS cues, min(event_id) AS first, round(CAST(sum(value) AS DOUBLE), 4) AS total, CAST(user_id % 3 = 0 AS BOOLEAN) AS broken FROM events GROUP BY user_id""")
+def entity_documents(spark: SparkSession, d: str) -> DataFrame:
+    """One JSON document a clip, written by the sink for entities and read by the tolerant reader; each third is followed by a broken one, which reads as none."""
+    datasources.register(spark)
+    base = scratch.app_dir(spark) + "/" + scratch.unique("documents")
+    rows = table(spark, d, "events").groupBy(F.col("user_id").alias("clip")).agg(F.count(F.lit(1)).alias("cues"), F.min("event_id").alias("first"), F.sum("value").alias("total"))
+    name = F.concat(F.lit("clips/"), F.col("clip").cast("string"), F.lit("/result.json")).alias("name")
+    good = rows.select(name, F.to_json(F.struct("clip", "cues", "first", "total")).alias("text"))
+    bad = rows.filter("clip % 3 = 0").select(F.replace(name, F.lit("result"), F.lit("broken")).alias("name"), F.concat(F.lit('{"clip": '), F.col("clip").cast("string"), F.lit(', "cues"')).alias("text"))
+    good.unionByName(bad).write.format("entity_files").mode("append").save(base)
+    read = records.tolerant_documents(records.whole_texts(spark, f"{base}/clips/*/*.json"))
+    get = lambda k, kind: F.try_variant_get("doc", f"$.{k}", kind).alias(k)
+    found = read.select(F.regexp_extract("path", r"clips/(\d+)/", 1).cast("long").alias("clip"), F.col("doc").isNull().alias("none"), get("cues", "long"), get("first", "long"), get("total", "double"))
+    whole = found.groupBy("clip").agg(F.max("cues").alias("cues"), F.max("first").alias("first"), F.round(F.max("total"), 4).alias("total"), F.bool_or("none").alias("broken"))
+    return whole
+
+
 @query("""SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 'libx264' WHEN doc_id % 5 <> 0 THEN 'libopenh264' WHEN doc_id % 2 = 0 THEN 'mpeg4' END AS candidate,
   CASE WHEN doc_id % 3 <> 0 THEN 1 WHEN doc_id % 5 <> 0 THEN 2 ELSE 3 END AS tried FROM documents""")
 def first_success(spark: SparkSession, d: str) -> DataFrame:
