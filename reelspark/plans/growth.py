@@ -23,7 +23,7 @@ def _one(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {_ONE}, f AS (SELECT *, p > 0.2 AS cut, lag(p > 0.2) OVER (ORDER BY pos) AS before, lead(pos) OVER (ORDER BY pos) AS nxt FROM s),
 r AS (SELECT *, sum(CASE WHEN NOT cut AND coalesce(before, true) THEN 1 ELSE 0 END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM f)
-SELECT min(pos) AS start_frame, coalesce(max_by(nxt, pos) FILTER (nxt IS NOT NULL AND pos = nxt - (nxt - pos)), max(pos)) AS end_frame FROM r WHERE NOT cut GROUP BY run""")
+SELECT min(pos) AS start_frame, coalesce(max_by(nxt, pos) FILTER (nxt IS NOT NULL), max(pos)) AS end_frame FROM r WHERE NOT cut GROUP BY run""")
 def long_scenes(spark: SparkSession, d: str) -> DataFrame:
     """Scenes of one series that goes over many tasks."""
     return segmented.scenes_of(_one(spark, d), ["series"], "pos", "p", 0.2).drop("series")
@@ -85,18 +85,18 @@ SELECT CAST(f AS VARCHAR) AS film, count(*) AS items FROM e WHERE f % 7 <> 0 GRO
 def streamed_barrier(spark: SparkSession, d: str) -> DataFrame:
     """Films that a stream of item events makes done: in three runs of the query, each going on where the one before ended."""
     base = scratch.app_dir(spark) + "/" + scratch.unique("barrier")
-    barrier.use_rocksdb(spark)
     e = table(spark, d, "events").select((F.col("user_id") % 50).alias("f"), "event_id")
     row = lambda kind, item=F.lit(None): (F.col("f").cast("string").alias("film"), F.lit(kind).alias("kind"), item.cast("string").alias("item"))
     open_ = (F.col("event_id") % 97 == 0) & (F.col("f") % 5 == 0)
     through = e.filter(~open_).select(*row(barrier.THROUGH, F.col("event_id")))
     found = e.select(*row(barrier.FOUND, F.col("event_id")))
     upstream = e.filter("f % 7 <> 0").select("f").distinct().select(*row(barrier.UPSTREAM_DONE))
-    for part in (through, found.unionByName(through), upstream.unionByName(found)):  # told twice, and through before found
-        part.write.mode("append").parquet(base + "/in")
-        events = stages.watch(spark, base + "/in", "film string, kind string, item string")
-        done = barrier.stream_barrier(events).writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/checkpoint")
-        done.trigger(availableNow=True).start().awaitTermination()
+    with barrier.rocksdb(spark):
+        for part in (through, found.unionByName(through), upstream.unionByName(found)):  # told twice, and through before found
+            part.write.mode("append").parquet(base + "/in")
+            events = stages.watch(spark, base + "/in", "film string, kind string, item string")
+            done = barrier.stream_barrier(events).writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/checkpoint")
+            done.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("film string, items long").parquet(base + "/out")
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: Kinds of events: the list of items is complete; an item was found; an item is through. An item may be through before it is found.
 UPSTREAM_DONE, FOUND, THROUGH = "upstream_done", "found", "through"
 
@@ -66,12 +68,18 @@ def stream_barrier(events: DataFrame, film: str = "film", kind: str = "kind", it
     ``events`` is a stream of (film, kind, item), kinds as above; events may come late, twice and in any order. A film
     is done when upstream is done and every item found is through; one without items is done with upstream. Once told it is not told again, also if items are
     found later or the query is started anew. ``patience``: seconds that must pass without a new event before it is told. Rows of other kinds and
-    of no film are passed over. State is one entry an item, kept by the store of the session (RocksDB: ``use_rocksdb``).
+    of no film are passed over. State is one entry an item, kept by the session's state store (see ``rocksdb``).
     """
     rows = events.select(F.col(film).cast("string").alias("film"), F.col(kind).cast("string").alias("kind"), F.col(item).cast("string").alias("item")).filter("film IS NOT NULL")
     return rows.groupBy("film").transformWithStateInPandas(_Barrier(patience), "film string, items long", outputMode="Append", timeMode="ProcessingTime" if patience else "None")
 
 
-def use_rocksdb(spark) -> None:
-    """The state store that processors with several states need."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The state store that processors with several states need, for the queries that are started inside."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before is not None else spark.conf.unset(_PROVIDER)

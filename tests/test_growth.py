@@ -96,13 +96,13 @@ def test_windowed_models(spark):
 
 def test_barrier_tells_once(spark):
     base = tempfile.mkdtemp(prefix="spark-barrier-")
-    barrier.use_rocksdb(spark)
     schema = "film string, kind string, item string"
 
     def told(*rows):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(base + "/in")
         done = barrier.stream_barrier(stages.watch(spark, base + "/in", schema)).writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/checkpoint")
-        done.trigger(availableNow=True).start().awaitTermination()
+        with barrier.rocksdb(spark):
+            done.trigger(availableNow=True).start().awaitTermination()
         return rows_of(spark.read.schema("film string, items long").parquet(base + "/out"))
 
     assert told(("a", "found", "1"), ("a", "through", "2"), ("b", "upstream_done", None), (None, "found", "1"), ("c", "odd", "1")) == [("b", 0)]
