@@ -37,10 +37,10 @@ def tracks_of(faces: list[tuple], min_length: int, same_frame: bool, skipping: b
     frames, boxes = np.array([f[0] for f in faces]), np.array([f[2] for f in faces], float).reshape(-1, 4)
     free, number = np.arange(len(frames)), 0
     while len(free):
-        taken, at = [0], 0
+        taken, at, when = [0], 0, frames[free]
         while at < len(free):
             end = free[taken[-1]]
-            upto = int(np.searchsorted(frames[free], frames[end] + MAX_GAP, side="right"))
+            upto = int(np.searchsorted(when, frames[end] + MAX_GAP, side="right"))
             ahead = free[at + 1 : upto]
             fits = _overlaps(boxes[ahead], boxes[end]) > MIN_IOU
             if not same_frame:
