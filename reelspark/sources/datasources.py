@@ -1,7 +1,7 @@
 """Subtitle files, shot lists and JSON lines as Spark data sources, batch and stream; one text file for each row as a sink.
 
 ``register(spark)`` makes the formats ``srt``, ``shot_list``, ``record_lines`` and ``entity_files`` known, and the table function
-``explode_srt``. A file is one partition of a scan. Paths are folders or files of any file system that Arrow knows.
+``explode_srt``. A partition of a scan is many small files or a large one. Paths are folders or files of any file system that Arrow knows.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow.fs as pafs
@@ -21,6 +22,10 @@ from pyspark.sql.types import StructType
 from reelspark.functions.texts import SPEAKER_PREFIXES
 from reelspark.sources.records import COMPLETE
 
+#: Files of a partition: so many, and so many bytes; where that gives more than ``_PARTITIONS``, so many more files as it takes.
+_FILES, _BYTES, _PARTITIONS = 100, 32 << 20, 1000
+#: Threads that move files into place, and files that one takes at a time.
+_MOVERS, _MOVES = 16, 500
 _TIME = re.compile(r"\s*(\d+):(\d+):(\d+),(\d+)\s*")
 
 
@@ -28,17 +33,17 @@ def _opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
-def _listed(path: str, ending: str) -> list[tuple[int, str]]:
-    """(time of change in ns, path) of the files, in that order; hidden and unfinished ones are passed over."""
+def _listed(path: str, ending: str) -> list[tuple[int, str, int]]:
+    """(time of change in ns, path, bytes) of the files, in that order; hidden and unfinished ones are passed over."""
     fs, root = _opened(path)
     info = fs.get_file_info(root)
     found = [info] if info.type == pafs.FileType.File else fs.get_file_info(pafs.FileSelector(root, recursive=True)) if info.type == pafs.FileType.Directory else []
     files = [i for i in found if i.type == pafs.FileType.File and not any(p.startswith((".", "_")) for p in i.path[len(root) :].split("/")) and i.path.lower().endswith(ending)]
-    return sorted((i.mtime_ns, i.path) for i in files)
+    return sorted((i.mtime_ns, i.path, i.size or 0) for i in files)
 
 
-def _read(path: str, file: str) -> str:
-    with _opened(path)[0].open_input_stream(file) as f:
+def _read(fs: pafs.FileSystem, file: str) -> str:
+    with fs.open_input_stream(file) as f:
         return f.read().decode("utf-8", "replace")
 
 
@@ -87,21 +92,35 @@ def record_rows(text: str) -> Iterator[tuple[int, str]]:
 
 
 @dataclass
-class _File(InputPartition):
-    path: str
+class _Files(InputPartition):
+    paths: list[str]
+
+
+def _packed(files: list[tuple[int, str, int]]) -> list[_Files]:
+    """All files in their order, dealt to partitions: starting a task takes longer than reading some hundred small files."""
+    most, out, size = max(_FILES, -(-len(files) // _PARTITIONS)), [], 0
+    for _, path, n in files:
+        if not out or len(out[-1].paths) >= most or size + n > _BYTES:
+            out.append(_Files([]))
+            size = 0
+        out[-1].paths.append(path)
+        size += n
+    return out
 
 
 class _Reader(DataSourceReader):
     def __init__(self, path: str, ending: str, parse: Callable):
         self.path, self.ending, self.parse = path, ending, parse
 
-    def partitions(self) -> list[_File]:
-        return [_File(p) for _, p in _listed(self.path, self.ending)]
+    def partitions(self) -> list[_Files]:
+        return _packed(_listed(self.path, self.ending))
 
-    def read(self, partition: _File) -> Iterator[tuple]:
+    def read(self, partition: _Files) -> Iterator[tuple]:
         if partition is not None:
-            for row in self.parse(_read(self.path, partition.path)):
-                yield (partition.path, *row)
+            fs = _opened(self.path)[0]
+            for path in partition.paths:
+                for row in self.parse(_read(fs, path)):
+                    yield (path, *row)
 
 
 class _StreamReader(_Reader, DataSourceStreamReader):
@@ -114,9 +133,9 @@ class _StreamReader(_Reader, DataSourceStreamReader):
         found = _listed(self.path, self.ending)
         return {"time": found[-1][0], "path": found[-1][1]} if found else self.initialOffset()
 
-    def partitions(self, start: dict, end: dict) -> list[_File]:
+    def partitions(self, start: dict, end: dict) -> list[_Files]:
         low, high = ((x["time"], x["path"]) for x in (start, end))
-        return [_File(p) for t, p in _listed(self.path, self.ending) if low < (t, p) <= high]
+        return _packed([f for f in _listed(self.path, self.ending) if low < f[:2] <= high])
 
 
 class _Source(DataSource):
@@ -216,15 +235,24 @@ class _Writer(DataSourceWriter):
         if len(every) != len(set(every)):
             self.abort(messages)
             raise ValueError("several rows have the same name")
-        if not self.overwrite:
-            there = [i.path for k in range(0, len(every), 1000) for i in fs.get_file_info([f"{root}/{n}" for n in every[k : k + 1000]]) if i.type != pafs.FileType.NotFound]
+        runs = [(m.folder, m.names[k : k + _MOVES]) for m in messages if m for k in range(0, len(m.names), _MOVES)]
+
+        def found(run: tuple[str, list[str]]) -> list[str]:
+            return [i.path for i in fs.get_file_info([f"{root}/{n}" for n in run[1]]) if i.type != pafs.FileType.NotFound]
+
+        def move(run: tuple[str, list[str]]) -> None:
+            for n in run[1]:
+                fs.move(f"{run[0]}/{n}", f"{root}/{n}")
+
+        with ThreadPoolExecutor(_MOVERS) as pool:
+            there = [] if self.overwrite else [p for paths in pool.map(found, runs) for p in paths]
             if there:
                 self.abort(messages)
                 raise FileExistsError(there[0])
-        for m in messages:
-            for n in m.names if m else ():
-                fs.create_dir(f"{root}/{n}".rpartition("/")[0], recursive=True)
-                fs.move(f"{m.folder}/{n}", f"{root}/{n}")
+            for folder in sorted({n.rpartition("/")[0] for n in every}):
+                fs.create_dir(f"{root}/{folder}".rstrip("/"), recursive=True)
+            for _ in pool.map(move, runs):
+                pass
         self.abort(messages)
 
     def abort(self, messages: list[_Written | None]) -> None:

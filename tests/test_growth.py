@@ -275,3 +275,26 @@ def test_progress_of_a_stream(spark):
         spark.streams.removeListener(listener)
     got = spark.read.parquet(base + "/progress").filter("rows > 0").collect()
     assert [(r["query"], r["input_rows"], r["rows"], r["COMPLETED"], r["FAILED"], r["other"]) for r in got] == [("stage_x", 4, 4, 1, 2, 1)]
+
+
+def test_many_files_are_few_partitions(spark):
+    """A task reads many small files; a commit moves files of many folders."""
+    datasources.register(spark)
+    base = tempfile.mkdtemp(prefix="spark-many-")
+    name = F.concat((F.col("id") % 3).cast("string"), F.lit("/"), (F.col("id") % 7).cast("string"), F.lit("/"), F.col("id").cast("string"), F.lit(".jsonl"))
+    files = spark.range(700).select(name.alias("name"), F.concat(F.lit('{"a": '), F.col("id").cast("string"), F.lit("}")).alias("text")).repartition(3)
+    files.write.format("entity_files").mode("append").save(base)
+    read = spark.read.format("record_lines").load(base)
+    assert 2 <= read.rdd.getNumPartitions() <= 20
+    assert rows_of(read.select(F.regexp_extract("path", r"(\d+)\.jsonl$", 1).cast("long"), "line")) == sorted([(k, f'{{"a": {k}}}') for k in range(700)], key=repr)
+    with pytest.raises(Exception):
+        files.limit(5).write.format("entity_files").mode("append").save(base)
+    assert sorted(os.listdir(base)) == ["0", "1", "2"]
+
+
+def test_partitions_of_files():
+    sizes = lambda files: [len(p.paths) for p in datasources._packed(files)]
+    small = [(k, f"{k}.srt", 5000) for k in range(1_000_001)]
+    assert len(sizes(small)) <= 1000 and sum(sizes(small)) == len(small) and sizes([]) == []
+    assert sizes([(0, "a", 1), (1, "b", 1 << 30), (2, "c", 1 << 30), (3, "d", 1), (4, "e", 1)]) == [1, 1, 1, 2]
+    assert [p for part in datasources._packed(small[:250]) for p in part.paths] == [p for _, p, _ in small[:250]]
