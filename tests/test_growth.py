@@ -298,3 +298,54 @@ def test_partitions_of_files():
     assert len(sizes(small)) <= 1000 and sum(sizes(small)) == len(small) and sizes([]) == []
     assert sizes([(0, "a", 1), (1, "b", 1 << 30), (2, "c", 1 << 30), (3, "d", 1), (4, "e", 1)]) == [1, 1, 1, 2]
     assert [p for part in datasources._packed(small[:250]) for p in part.paths] == [p for _, p, _ in small[:250]]
+
+
+def test_barrier_keeps_counts_a_film(spark):
+    """Events of random kinds, order and repetition, against sets; what Python keeps is a row a film, items are told apart by Spark."""
+    rng = random.Random(21)
+    base = tempfile.mkdtemp(prefix="spark-barrier-")
+    schema = "film string, kind string, item string"
+    found, through, upstream, want = {}, {}, set(), {}
+    for run in range(4):
+        rows = []
+        for _ in range(400):
+            film, item = f"f{rng.randrange(12)}", rng.choice([None, "found", "through", "", *map(str, range(int(5 + run)))])
+            kind = rng.choice(["found", "through", "through", "through"] + ["upstream_done"] * (run > 0))
+            rows.append((film, kind, item))
+        rows += [(f"f{k}", "through", i) for k in range(12) for i in [None, "found", "through", "", *map(str, range(9))] if k % 3 == 0 or run == 3 and k != 7]
+        for film, kind, item in rows:
+            {"found": found, "through": through}[kind].setdefault(film, set()).add(item) if kind != "upstream_done" else upstream.add(film)
+        for film in upstream:
+            if not found.get(film, set()) - through.get(film, set()):
+                want.setdefault(film, len(found.get(film, ())))
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(base + "/in")
+        done = barrier.stream_barrier(stages.watch(spark, base + "/in", schema)).writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/checkpoint")
+        with barrier.rocksdb(spark):
+            q = done.trigger(availableNow=True).start()
+            q.awaitTermination()
+        assert rows_of(spark.read.schema("film string, items long").parquet(base + "/out")) == sorted(want.items(), key=repr)
+    kept = {o["operatorName"]: o["numRowsTotal"] for o in [p for p in q.recentProgress if p["numInputRows"]][-1]["stateOperators"]}
+    assert kept["transformWithStateInPandasExec"] == 12 and kept["dedupe"] > 12
+
+
+def test_patience_of_the_barrier(spark):
+    """Told once, by a timer, after a quiet while."""
+    import time
+
+    base = tempfile.mkdtemp(prefix="spark-barrier-")
+    schema = "film string, kind string, item string"
+    rows = [("a", "found", "1"), ("a", "through", "1"), ("a", "upstream_done", None), ("b", "upstream_done", None), ("c", "found", "1"), ("c", "upstream_done", None)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(base + "/in")
+    done = barrier.stream_barrier(stages.watch(spark, base + "/in", schema), patience=0.2).writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/checkpoint")
+    with barrier.rocksdb(spark):
+        q = done.trigger(processingTime="1 second").start()
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            batches = [p["batchId"] for p in q.recentProgress]
+            if q.exception() or batches and max(batches) >= 3:
+                break
+    finally:
+        q.stop()
+    assert not q.exception()
+    assert rows_of(spark.read.schema("film string, items long").parquet(base + "/out")) == [("a", 1), ("b", 0)]
