@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from reelspark import scratch
 from reelspark.llm import ann, exact_dedup, html_extract, jaccard, line_dedup, mixing, packing, tokens, toxicity, url_filter
 from reelspark.llm.components import components
 from reelspark.llm.queries import QUERIES, SQL
@@ -321,6 +322,17 @@ def test_components_of_chains(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_join_fewer_rows_each_round(spark, monkeypatch):
+    """A chain whose smallest node is followed by the largest ones: labels that go from neighbour to neighbour take a round a node."""
+    names, written = [], scratch.written
+    monkeypatch.setattr(scratch, "written", lambda df, name, *a: names.append(name) or written(df, name, *a))
+    chain = [0, *range(60, 0, -1)]
+    edges = [*itertools.pairwise(chain), (70, 70), (3, 3), (5, 4), (4, 5), (-9, 80), (-9, 81), (-9, 82)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == dict.fromkeys(chain, 0) | {70: 70} | dict.fromkeys([-9, 80, 81, 82], -9)
+    assert len(names) < 40
+
+
 # --- tokens
 
 
