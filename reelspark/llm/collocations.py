@@ -29,7 +29,7 @@ from reelspark.llm.words import follow, hashes, joined, mix, new_seed, per_text,
 
 LEAST, LONGEST, COVERED, TOP = 30, 4, 80, 2000
 #: Bytes of text in a shard, and words in all per tile.
-SHARD_BYTES, TILE_WORDS = 1 << 22, 1 << 20
+SHARD_BYTES, TILE_WORDS = 1 << 21, 1 << 20
 #: Salts that a language's phrases are ranked in first.
 SALTS = 64
 
@@ -318,6 +318,7 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     table = scratch.written(rows.mapInArrow(shards, _SHARD_SQL), "phrase-shards")
     sizes = table.select(F.explode(F.arrays_zip("langs", "lang_words")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.lang_words").alias("n"))
+    sizes = scratch.written(sizes, "phrase-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     tiles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // tile_words))
     tasks = min(tiles, MAX_TASKS)
@@ -352,12 +353,12 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     words = counted(table.select("block", "one", "two", "n"), send_words, "phrase-words")
     compact = with_answers(table.drop("lang_words"), words).mapInArrow(each(lambda row: table_of(_COMPACT, [_compacted(row, tiles)])), _COMPACT_SQL)
     compact = scratch.written(compact, "phrase-compact")
+    scratch.removed(table, words)
     held = compact.select("block", "seq", "one", "two", "totals")
     pairs = counted(held, send_pairs, "phrase-pairs")
     longer = counted(with_answers(held, pairs), send_longer, "phrase-longer")
     found = scratch.written(with_answers(compact, pairs, longer).mapInArrow(each(score), _PHRASES_SQL), "phrase-found")
-    sizes = scratch.written(sizes, "phrase-sizes")
-    scratch.removed(table, words, compact, pairs, longer)
+    scratch.removed(compact, pairs, longer)
     best = found.groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("a", "l", "r", "score")], F.bool_or("dropped").alias("dropped")).filter("NOT dropped").drop("dropped")
     order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     salted = best.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))

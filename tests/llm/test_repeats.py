@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reelspark import scratch
 from reelspark.llm import collocations, exact_dedup, hard_negatives, jaccard, line_dedup, shingles, substring_dedup, toxicity
 from reelspark.llm.words import hashes, joined, new_seed, rolled, spans
 
@@ -143,6 +146,28 @@ def test_scores_are_exact():
     assert collocations.scores(np.array(a), np.array(both)).tolist() == [2_000_000 * x // y for x, y in zip(a, both, strict=True)]
 
 
+def test_phrase_shards_are_small_and_go_when_compact(spark, monkeypatch):
+    """A shard of the usual size takes some tens of MB in Python, and the first table of shards does not stand beside all later ones."""
+    rng = random.Random(3)
+    text = b" ".join(b"%x" % rng.getrandbits(16) for _ in range(collocations.SHARD_BYTES // 5))
+    tracemalloc.start()
+    collocations.encoded([text], ["en"], (1, 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20, peak
+    stood, written = {}, scratch.written
+
+    def watched(df, name, *a):
+        out = written(df, name, *a)
+        stood[name] = out._scratch_path, [n for n, (p, _) in stood.items() if os.path.exists(p)]
+        return out
+
+    monkeypatch.setattr(scratch, "written", watched)
+    df = spark.createDataFrame([(k, "en", "a b c. d e") for k in range(40)], "doc_id long, lang string, text string")
+    assert [(r["phrase"], r["a"], r["n"]) for r in collocations.mine_phrases(df).orderBy("rank").collect()] == [("a b c", 40, 200), ("d e", 40, 200)]
+    assert stood["phrase-pairs"][1] == ["phrase-sizes", "phrase-compact"]
+
+
 def loop_negatives(rows, positives=5, negatives=3):
     usable = []
     for i, v, label in rows:
