@@ -10,7 +10,8 @@
 4. A shard that holds a phrase also holds its parts, and knows their counts. One shard of those
    that hold a phrase scores it and tells which of its parts it makes superfluous.
 
-Keys are 96 bits of hash with seeds drawn anew for each run; a language is part of the key.
+Keys are 96 bits of hash with seeds drawn anew for each run; a language is part of the key. They do not compress, so
+no table of shards holds them: each step hashes a shard's distinct words again.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _IN_WORD = ~_BREAK
 _IN_WORD[[9, 32]] = False
 
-_SHARD = {"block": pa.int64(), "langs": pa.list_(pa.string()), "lang_words": pa.list_(pa.int64()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "one": pa.binary(), "two": pa.binary(), "n": pa.binary()}
-_SHARD_SQL = "block long, langs array<string>, lang_words array<long>, seq binary, vocabulary binary, lang_of binary, one binary, two binary, n binary"
-_COMPACT = {"block": pa.int64(), "langs": pa.list_(pa.string()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "one": pa.binary(), "two": pa.binary(), "totals": pa.binary()}
-_COMPACT_SQL = "block long, langs array<string>, seq binary, vocabulary binary, lang_of binary, one binary, two binary, totals binary"
+_SHARD = {"block": pa.int64(), "langs": pa.list_(pa.string()), "lang_words": pa.list_(pa.int64()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "n": pa.binary()}
+_SHARD_SQL = "block long, langs array<string>, lang_words array<long>, seq binary, vocabulary binary, lang_of binary, n binary"
+_COMPACT = {"block": pa.int64(), "langs": pa.list_(pa.string()), "seq": pa.binary(), "vocabulary": pa.binary(), "lang_of": pa.binary(), "totals": pa.binary()}
+_COMPACT_SQL = "block long, langs array<string>, seq binary, vocabulary binary, lang_of binary, totals binary"
 _SENT = {"tile": pa.int32(), "block": pa.int64(), "one": pa.binary(), "two": pa.binary(), "n": pa.binary()}
 _SENT_SQL = "tile int, block long, one binary, two binary, n binary"
 _ANSWER = {"block": pa.int64(), "tile": pa.int32(), "frequent": pa.binary(), "own": pa.binary(), "totals": pa.binary()}
@@ -52,16 +53,14 @@ _PHRASES_SQL = "lang string, phrase string, a long, l long, r long, score long,
 
 
 def encoded(texts: list[bytes], langs: list[str], seeds: tuple[int, int]) -> dict:
-    """A shard: its words as ids from 1 in ``seq``, 0 between pieces, and of each id the word, language, keys and count."""
+    """A shard: its words as ids from 1 in ``seq``, 0 between pieces, and of each id the word, language and count; ids rise with the first key."""
     data = joined(texts, lower=True)
     first, last = spans(data, _IN_WORD)
     names = sorted(set(langs))
     lang_of_text = np.searchsorted(names, langs)
     lang = np.repeat(lang_of_text, np.diff(per_text(texts, first)))
-    lang_keys = [_names(names, seed) for seed in seeds]
-    key = hashes(data, first, last, seeds[0]) ^ lang_keys[0][lang]
-    one, at, ids, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    two = hashes(data, first[at], last[at], seeds[1]) ^ lang_keys[1][lang[at]]
+    key = hashes(data, first, last, seeds[0]) ^ _names(names, seeds[0])[lang]
+    _, at, ids, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     piece = np.searchsorted(np.flatnonzero(_BREAK[data]), first)
     new = np.concatenate(([True], piece[1:] != piece[:-1])) if len(piece) else np.zeros(0, bool)
     seq = np.zeros(len(ids) + int(new.sum()), np.int32)
@@ -69,10 +68,18 @@ def encoded(texts: list[bytes], langs: list[str], seeds: tuple[int, int]) -> dic
     words = [data[a:b].tobytes() for a, b in zip(first[at].tolist(), last[at].tolist(), strict=True)]
     return {
         "langs": names, "lang_words": np.bincount(lang, minlength=len(names)).tolist(), "seq": _planes(seq), "vocabulary": b" ".join(words),
-        "lang_of": lang[at].astype(np.int32).tobytes(), "one": one.tobytes(), "two": two.tobytes(), "n": n.astype(np.int64).tobytes(),
+        "lang_of": lang[at].astype(np.int32).tobytes(), "n": n.astype(np.int64).tobytes(),
     }
 
 
+def _word_keys(row: dict, seeds: tuple[int, int]) -> list[np.ndarray]:
+    """Both keys of each word of a shard's vocabulary."""
+    data = joined([row["vocabulary"]])
+    first, last = spans(data, _IN_WORD)
+    lang_of = np.frombuffer(row["lang_of"], np.int32)
+    return [hashes(data, first, last, seed) ^ _names(row["langs"], seed)[lang_of] for seed in seeds]
+
+
 def _names(names: list[str], seed: int) -> np.ndarray:
     """A key for each language, whatever is in its name."""
     out = np.zeros(len(names), _U)
@@ -160,31 +167,31 @@ def _told(answers: list[dict], kind: int, tiles: int, one: np.ndarray, two: np.n
     return totals, own
 
 
-def _words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    every = np.arange(len(row["one"]) // 8)
-    one, two = (_keys(every + 1, every, 1, np.frombuffer(row[c], _U)) for c in ("one", "two"))
+def _words(row: dict, seeds: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    every = np.arange(len(row["n"]) // 8)
+    one, two = (_keys(every + 1, every, 1, word) for word in _word_keys(row, seeds))
     return one, two, np.frombuffer(row["n"], np.int64)
 
 
-def _compacted(row: dict, tiles: int) -> tuple:
+def _compacted(row: dict, tiles: int, seeds: tuple[int, int]) -> tuple:
     """A row of ``_COMPACT``: the shard with only its frequent words, the most frequent first; others are breaks, and runs of breaks one."""
-    totals = _told(row["answers"], 0, tiles, *_words(row))[0]
+    totals = _told(row["answers"], 0, tiles, *_words(row, seeds))[0]
     keep = np.argsort(-totals, kind="stable")[: int((totals > 0).sum())]
     renamed = np.zeros(len(totals) + 1, np.int32)
     renamed[keep + 1] = np.arange(1, len(keep) + 1)
     seq = renamed[_unplaned(row["seq"])]
     seq = seq[(seq > 0) | np.concatenate(([False], seq[:-1] > 0))] if len(seq) else seq
     words = row["vocabulary"].split(b" ")
-    names = (np.frombuffer(row[c], kind)[keep].tobytes() for c, kind in (("lang_of", np.int32), ("one", _U), ("two", _U)))
-    return row["block"], row["langs"], _planes(seq), b" ".join([words[i] for i in keep]), *names, totals[keep].tobytes()
+    lang_of = np.frombuffer(row["lang_of"], np.int32)[keep]
+    return row["block"], row["langs"], _planes(seq), b" ".join([words[i] for i in keep]), lang_of.tobytes(), totals[keep].tobytes()
 
 
 class _Shard:
     """A compacted shard as far as answers tell its frequent phrases; each level is worked out from the answers to the one before."""
 
-    def __init__(self, row: dict, tiles: int):
+    def __init__(self, row: dict, tiles: int, seeds: tuple[int, int]):
         self.row, self.tiles, self.answers = row, tiles, row.get("answers")
-        self.one, self.two = (np.frombuffer(row[c], _U) for c in ("one", "two"))
+        self.one, self.two = _word_keys(row, seeds)
         self.suffixes = Suffixes(_unplaned(row["seq"]))
         self.seq, size = self.suffixes.seq, self.suffixes.size
         self.total = {1: np.concatenate(([0], np.frombuffer(row["totals"], np.int64)))[self.seq]}
@@ -331,18 +338,18 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         return over
 
     def send_words(row: dict) -> pa.RecordBatch:
-        return _rows(row["block"], tiles, *_words(row))
+        return _rows(row["block"], tiles, *_words(row, seeds))
 
     def send_pairs(row: dict) -> pa.RecordBatch:
-        return _rows(row["block"], tiles, *_Shard(row, tiles).pairs())
+        return _rows(row["block"], tiles, *_Shard(row, tiles, seeds).pairs())
 
     def send_longer(row: dict) -> pa.RecordBatch:
-        shard = _Shard(row, tiles)
+        shard = _Shard(row, tiles, seeds)
         shard.know_pairs()
         return _rows(row["block"], tiles, *shard.longer())
 
     def score(row: dict) -> pa.RecordBatch:
-        shard = _Shard(row, tiles)
+        shard = _Shard(row, tiles, seeds)
         shard.know_pairs()
         return shard.scored()
 
@@ -350,13 +357,12 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         sent = rows.mapInArrow(each(send), _SENT_SQL)
         return scratch.written(sent.repartition(tasks, "tile").groupBy("tile").applyInArrow(_added(least), _ANSWER_SQL), name)
 
-    words = counted(table.select("block", "one", "two", "n"), send_words, "phrase-words")
-    compact = with_answers(table.drop("lang_words"), words).mapInArrow(each(lambda row: table_of(_COMPACT, [_compacted(row, tiles)])), _COMPACT_SQL)
+    words = counted(table.select("block", "langs", "vocabulary", "lang_of", "n"), send_words, "phrase-words")
+    compact = with_answers(table.drop("lang_words"), words).mapInArrow(each(lambda row: table_of(_COMPACT, [_compacted(row, tiles, seeds)])), _COMPACT_SQL)
     compact = scratch.written(compact, "phrase-compact")
     scratch.removed(table, words)
-    held = compact.select("block", "seq", "one", "two", "totals")
-    pairs = counted(held, send_pairs, "phrase-pairs")
-    longer = counted(with_answers(held, pairs), send_longer, "phrase-longer")
+    pairs = counted(compact, send_pairs, "phrase-pairs")
+    longer = counted(with_answers(compact, pairs), send_longer, "phrase-longer")
     found = scratch.written(with_answers(compact, pairs, longer).mapInArrow(each(score), _PHRASES_SQL), "phrase-found")
     scratch.removed(compact, pairs, longer)
     best = found.groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("a", "l", "r", "score")], F.bool_or("dropped").alias("dropped")).filter("NOT dropped").drop("dropped")

@@ -168,6 +168,28 @@ def test_phrase_shards_are_small_and_go_when_compact(spark, monkeypatch):
     assert stood["phrase-pairs"][1] == ["phrase-sizes", "phrase-compact"]
 
 
+def test_phrase_shards_hold_no_keys(spark, monkeypatch):
+    """Tables of shards are little larger than their texts though each word is new to its shard; keys alone would be 16 bytes a word."""
+    rng = random.Random(8)
+    words = [f"{k:06x}" for k in rng.sample(range(1 << 24), 3000)]
+    rows = [(k, "en", " ".join(rng.sample(words, 1500))) for k in range(40)]
+    sizes, written = {}, scratch.written
+
+    def watched(df, name, *a):
+        out = written(df, name, *a)
+        sizes[name] = sum(os.path.getsize(f"{out._scratch_path}/{f}") for f in os.listdir(out._scratch_path) if f.endswith(".parquet"))
+        return out
+
+    monkeypatch.setattr(scratch, "written", watched)
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1)
+    collocations.mine_phrases(df, least=2, shard_bytes=15_000).count()
+    texts = sum(len(text) for _, _, text in rows)
+    assert sizes["phrase-shards"] < 2 * texts and sizes["phrase-compact"] < 2 * texts, (sizes, texts)
+    shard = {"langs": ["en"]} | collocations.encoded([b"Bb a, bb c"], ["en"], (1, 2))
+    one, two = collocations._word_keys(shard, (1, 2))
+    assert (np.diff(one.astype(object)) > 0).all() and len(set(two.tolist())) == 3 and sorted(shard["vocabulary"].split()) == [b"a", b"bb", b"c"]
+
+
 def loop_negatives(rows, positives=5, negatives=3):
     usable = []
     for i, v, label in rows:
