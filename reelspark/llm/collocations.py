@@ -34,6 +34,9 @@ SHARD_BYTES, TILE_WORDS = 1 << 21, 1 << 20
 #: Salts that a language's phrases are ranked in first.
 SALTS = 64
 
+#: Bytes that go to Python at once; a usual shard is more, so it goes alone. Its tables have a row group for each shard.
+BATCH = "1m"
+
 _U = np.uint64
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -323,7 +326,7 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         if texts:
             yield closed()
 
-    table = scratch.written(rows.mapInArrow(shards, _SHARD_SQL), "phrase-shards")
+    table = scratch.written(rows.mapInArrow(shards, _SHARD_SQL), "phrase-shards", None, BATCH, 1)
     sizes = table.select(F.explode(F.arrays_zip("langs", "lang_words")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.lang_words").alias("n"))
     sizes = scratch.written(sizes, "phrase-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
@@ -355,15 +358,15 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     def counted(rows: DataFrame, send, name: str) -> DataFrame:
         sent = rows.mapInArrow(each(send), _SENT_SQL)
-        return scratch.written(sent.repartition(tasks, "tile").groupBy("tile").applyInArrow(_added(least), _ANSWER_SQL), name)
+        return scratch.written(sent.repartition(tasks, "tile").groupBy("tile").applyInArrow(_added(least), _ANSWER_SQL), name, None, BATCH)
 
     words = counted(table.select("block", "langs", "vocabulary", "lang_of", "n"), send_words, "phrase-words")
     compact = with_answers(table.drop("lang_words"), words).mapInArrow(each(lambda row: table_of(_COMPACT, [_compacted(row, tiles, seeds)])), _COMPACT_SQL)
-    compact = scratch.written(compact, "phrase-compact")
+    compact = scratch.written(compact, "phrase-compact", None, BATCH, 1)
     scratch.removed(table, words)
     pairs = counted(compact, send_pairs, "phrase-pairs")
     longer = counted(with_answers(compact, pairs), send_longer, "phrase-longer")
-    found = scratch.written(with_answers(compact, pairs, longer).mapInArrow(each(score), _PHRASES_SQL), "phrase-found")
+    found = scratch.written(with_answers(compact, pairs, longer).mapInArrow(each(score), _PHRASES_SQL), "phrase-found", None, BATCH)
     scratch.removed(compact, pairs, longer)
     best = found.groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("a", "l", "r", "score")], F.bool_or("dropped").alias("dropped")).filter("NOT dropped").drop("dropped")
     order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))

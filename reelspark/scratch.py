@@ -13,8 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Held while a table is written. Nothing reads the shuffles of the write once the table stands, so they need not wait for the
-#: driver's garbage collection; and rows of some megabytes go to Python few at a time.
-_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+#: driver's garbage collection.
+_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 _written: list[str] = []  # paths of all tables, in the order they were written
 _own: dict[str, str] = {}  # application id -> folder, where the cluster names none
 
@@ -43,14 +43,22 @@ def unique(name: str) -> str:
     return f"{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back with the schema it was written with."""
+def written(df: DataFrame, name: str, partition_by: list[str] | None = None, batch: str = "8m", group_rows: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back with the schema it was written with.
+
+    ``batch``: bytes that go to Python at once, up to the row that passes them: rows of some megabytes go few at a time. ``group_rows``: rows in a row group at most, for rows of
+    some megabytes. A group is held whole by its writer and its readers, and each column's page once more for its compression; left
+    alone, Parquet looks at their sizes at the hundredth row first, and a file of fewer rows is one group with one page a column.
+    """
     spark = df.sparkSession
     path = f"{app_dir(spark)}/{unique(name)}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    before = {k: spark.conf.get(k, None) for k in _WHILE_WRITING}
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", group_rows)
+    held = _WHILE_WRITING | {"spark.sql.execution.arrow.maxBytesPerBatch": batch}
+    before = {k: spark.conf.get(k, None) for k in held}
     try:
-        for k, v in _WHILE_WRITING.items():
+        for k, v in held.items():
             spark.conf.set(k, v)
         writer.parquet(path)
     finally:

@@ -10,6 +10,8 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,33 @@ def test_phrase_shards_hold_no_keys(spark, monkeypatch):
     assert (np.diff(one.astype(object)) > 0).all() and len(set(two.tolist())) == 3 and sorted(shard["vocabulary"].split()) == [b"a", b"bb", b"c"]
 
 
+def test_phrase_shards_are_stored_and_sent_one_at_a_time(spark, monkeypatch):
+    """Tables of shards have a row group a shard, so that no task holds all shards of a file at once; and few shards go to Python together."""
+    groups, sent, written = {}, {}, scratch.written
+
+    def watched(df, name, *a):
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        out = written(df, name, *a)
+        files = [f"{out._scratch_path}/{f}" for f in os.listdir(out._scratch_path) if f.endswith(".parquet")]
+        metas = [pq.read_metadata(f) for f in files]
+        groups[name] = max((m.row_group(k).num_rows for m in metas for k in range(m.num_row_groups)), default=0)
+        if name in ("phrase-shards", "phrase-compact"):
+            sent[name] = written(out.mapInArrow(sizes, "n long"), "sizes", *a).agg(F.max("n")).first()[0]
+        return out
+
+    monkeypatch.setattr(scratch, "written", watched)
+    rng = random.Random(9)
+    words = [f"{k:05x}" for k in rng.sample(range(1 << 20), 20_000)]
+    rows = [(k, "en", " ".join(rng.choices(words, k=100_000))) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1)
+    collocations.mine_phrases(df, least=2, shard_bytes=700_000).count()
+    assert groups["phrase-shards"] == groups["phrase-compact"] == 1, groups
+    assert max(sent.values()) <= 2, sent
+
+
 def loop_negatives(rows, positives=5, negatives=3):
     usable = []
     for i, v, label in rows:
