@@ -29,7 +29,7 @@ _KINDS = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 def blocked(docs: DataFrame, id_col: str, text_col: str, carry: dict[str, str] | None = None, size: int = BLOCK_BYTES) -> DataFrame:
     """A table in the shared folder: block, n_bytes, ids, texts (arrays, by id), and an array for each of ``carry`` (name: string column).
 
-    Blocks are filled by each task in turn, from about ``size`` bytes of text; a longer text is alone.
+    Blocks are filled by each task in turn, from about ``size`` bytes of text; a longer text is alone. Each has a row group of its own.
     Rows without an id are in blocks of their own, in which ids are null. Null texts are empty.
     """
     carry = carry or {}
@@ -64,7 +64,7 @@ def blocked(docs: DataFrame, id_col: str, text_col: str, carry: dict[str, str] |
                 yield closed(own, held)
 
     schema = ", ".join(["block long", "n_bytes long", "ids array<long>", "texts array<binary>", *(f"{c} array<string>" for c in carry)])
-    return scratch.written(rows.mapInArrow(fill, schema), "blocks")
+    return scratch.written(rows.mapInArrow(fill, schema), "blocks", None, "8m", 1)
 
 
 def tiles_of(blocks: DataFrame, size: int = TILE_BYTES) -> int:

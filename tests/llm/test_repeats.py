@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from reelspark import scratch
 from reelspark.llm import collocations, exact_dedup, hard_negatives, jaccard, line_dedup, shingles, substring_dedup, toxicity
+from reelspark.llm.blocks import blocked
 from reelspark.llm.words import hashes, joined, new_seed, rolled, spans
 
 DOCS = "doc_id long, text string, lang string"
@@ -219,6 +220,15 @@ def test_phrase_shards_are_stored_and_sent_one_at_a_time(spark, monkeypatch):
     assert max(sent.values()) <= 2, sent
 
 
+def test_blocks_have_row_groups_of_their_own(spark):
+    """No task holds all blocks of a file at once."""
+    table = blocked(spark.createDataFrame([(k, f"some words {k} " * 40, "en") for k in range(12)], DOCS).coalesce(1), "doc_id", "text", size=1200)
+    metas = [pq.read_metadata(f"{table._scratch_path}/{f}") for f in os.listdir(table._scratch_path) if f.endswith(".parquet")]
+    groups = [m.row_group(k).num_rows for m in metas for k in range(m.num_row_groups)]
+    assert len(groups) > 3 and max(groups) == 1, groups
+    assert sorted(x for r in table.collect() for x in r["ids"]) == list(range(12))
+
+
 def loop_negatives(rows, positives=5, negatives=3):
     usable = []
     for i, v, label in rows:
