@@ -13,7 +13,12 @@ losing a pair, what may be similar; trees then do the joining inside small block
 4. *Blocks*: a cluster is dealt by hash into blocks of about ``BLOCK`` classes. First every block is
    joined with the cluster's block 0, each by a signature tree with dual traversal and exact
    comparison at the leaves. In a cluster of near copies that already connects nearly all.
-5. *Rest*: classes outside their cluster's largest component are dealt into groups of their own, by
+5. *Parting*: a cluster of several blocks that is not one component by then is taken apart. Steps 2 and 3
+   are done again inside it, on whole sets instead of first tokens, and a token only counts for a class if
+   one of another component and a size near enough has it too; most classes end here, since what
+   held the cluster together is less than what two similar sets must share. Step 4 joins the clusters
+   that come of it. This goes on while step 6 would move more sets than a share of all classes, and each time halves that at least.
+6. *Rest*: classes outside their cluster's largest component are dealt into groups of their own, by
    bands of set size, and joined, by trees again, with every block of the cluster, of which only the
    sets of the same and the next bands move: sizes further apart prove a pair dissimilar. A pair
    inside one component is skipped.
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -45,7 +51,7 @@ from reelspark.llm.sampling import about
 from reelspark.llm.shingles import set_key, shingle_sets
 from reelspark.llm.textcols import free_name
 from reelspark.llm.signature_tree import linking_pairs
-from reelspark.llm.words import new_seed
+from reelspark.llm.words import mix, new_seed
 
 #: Slack of the token prefix, as a divisor of the set size.
 SHARE = 8
@@ -57,6 +63,10 @@ SALTS, MANY = 64, 0xFFFFFFFF
 BIN_TOKENS, BLOCK = 400_000, 256
 #: A bin is crowded if it has so many times the mean; common there is what has that share of the mean, but at most MOST_COMMON tokens are.
 CROWDED, CROWD_SHARE, MOST_COMMON = 2, 0.25, 1_000_000
+#: Rounds in which bins are taken from their table, at most: only the tokens of a round are in the shuffle as well.
+ROUNDS = 4
+#: Moves of sets in step 6, for each class of all documents, up to which clusters are not parted first: so few grow no faster than the input.
+MOVES = 0.25
 #: Bundles of blocks that a task joins.
 TASK_BUNDLES = 32
 #: Tasks of a stage at most, as many as a driver can keep track of; beyond, tasks hold several bins or bundles, one after the other.
@@ -109,6 +119,11 @@ def _common_tokens(rows: DataFrame, described: DataFrame, k: int, seed: int, num
 
     picked = rows.filter(about(F.xxhash64("text_hash", F.lit(5)), sample, total))
     found = picked.filter("doc_id IS NOT NULL").select("data").mapInArrow(first, "key long, tokens binary").dropDuplicates(["key"])
+    return _standing_in(found, least)
+
+
+def _standing_in(found: DataFrame, least: int) -> np.ndarray:
+    """Tokens that at least ``least`` rows (key, tokens) hold, sorted."""
     # Counted where they are: a token common in the sample is common in some task's share of it or summed up from all.
     counts = found.withColumn("share", F.pmod(F.col("key"), F.lit(8))).groupBy("share").applyInPandas(_token_counts, "tokens binary, counts binary").collect()
     tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in counts] or [np.zeros(0, np.uint64)])
@@ -250,15 +265,18 @@ def _shared_tokens(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": [int(who[a]) for a, _ in spans], "tokens": [token[a:b].tobytes() for a, b in spans], "dfs": [df[a:b].tobytes() for a, b in spans]}, columns=["key", "tokens", "dfs"])
 
 
-def _kept_tokens(bins: int, num: int, den: int, common):
-    """Classes that may have a partner, each with the tokens of which every partner has one, dealt to bins."""
+def _kept_tokens(bins: int, least, common):
+    """Classes that may have a partner, each with the tokens of which every partner has one, dealt to bins.
+
+    Rows: key, a number of which ``least`` tells how many tokens a partner must share, tokens, dfs.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, sizes, tokens = [], [], []
-            for key, n, token, df in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "tokens", "dfs")), strict=True):
+            for key, n, token, df in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 token, df = np.frombuffer(b"".join(token), np.uint64), np.frombuffer(b"".join(df), np.uint32)
-                must = _prefix(n, num, den)[1]
+                must = least(n)
                 if len(token) >= must:
                     rare = np.lexsort((token, df))[: len(token) - must + 1]
                     owner.append(key)
@@ -297,6 +315,129 @@ def _stars(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
+def _whole(cluster: int, hashes: bytes) -> np.ndarray:
+    """48-bit tokens of a whole set, other ones in each cluster."""
+    with np.errstate(over="ignore"):
+        return np.unique(mix(np.frombuffer(hashes, np.uint64) ^ mix(np.array([cluster]).astype(np.uint64))) >> np.uint64(16))
+
+
+def _whole_binned(open_: DataFrame, bins: int, common) -> DataFrame:
+    """All tokens of the sets of ``open_`` (key, cluster, label, hashes), dealt as in ``_binned``; with each class its label, its size, and by how many its tokens are fewer."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, cluster, label = (batch.column(c).to_numpy() for c in range(3))
+            hashes = batch.column(3).to_pylist()
+            tokens = [_whole(c, h) for c, h in zip(cluster, hashes, strict=True)]
+            count = np.array([len(t) for t in tokens], np.int64)
+            size = np.array([len(h) // 8 for h in hashes], np.int64)
+            token, who = np.concatenate([*tokens, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(tokens)), count)
+            bin_of = (token % np.uint64(bins)).astype(np.int64)
+            frequent = _contains(common.value, token)
+            bin_of[frequent] = -1 - key[who[frequent]] % bins
+            order = np.lexsort((who, bin_of))
+            token, who, bin_of = token[order], who[order], bin_of[order]
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(bin_of)) + 1, [len(token)])) if len(token) else np.zeros(1, np.int64)
+            rows = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                own, times = np.unique(who[a:b], return_counts=True)
+                blobs = (key[own], label[own], size[own].astype(np.uint32), (size - count)[own].astype(np.uint32), times.astype(np.uint32), (token[a:b] >> np.uint64(16)).astype(np.uint32))
+                rows.append((int(bin_of[a]), *(x.tobytes() for x in blobs), (token[a:b] & np.uint64(0xFFFF)).astype(np.uint16).tobytes()))
+            names = ["bin", "owners", "labels", "sizes", "fewer", "counts", "high", "low"]
+            columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary() if k else pa.int64()) for k, c in enumerate(columns)], names)
+
+    return open_.select("key", "cluster", "label", "hashes").mapInArrow(deal, "bin long, owners binary, labels binary, sizes binary, fewer binary, counts binary, high binary, low binary")
+
+
+def _open_tokens(num: int, den: int):
+    """For each class of a bin of ``_whole_binned``, its tokens that a class of another label and a size near enough has too."""
+
+    def find(part: pd.DataFrame) -> pd.DataFrame:
+        times = np.frombuffer(b"".join(part["counts"]), np.uint32)
+        key, label = (np.repeat(np.frombuffer(b"".join(part[c]), np.int64), times) for c in ("owners", "labels"))
+        size, fewer = (np.repeat(np.frombuffer(b"".join(part[c]), np.uint32), times).astype(np.int64) for c in ("sizes", "fewer"))
+        token = (np.frombuffer(b"".join(part["high"]), np.uint32).astype(np.uint64) << np.uint64(16)) | np.frombuffer(b"".join(part["low"]), np.uint16)
+        order = np.lexsort((key, label, size, token))
+        token, key, label, size, fewer = (x[order] for x in (token, key, label, size, fewer))
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+        token, key, label, size, fewer = (x[new] for x in (token, key, label, size, fewer))
+        first = np.concatenate(([True], token[1:] != token[:-1]))
+        group = np.cumsum(first) - 1
+        df = np.bincount(group)[group].astype(np.uint32)
+        if part["bin"].iloc[0] < 0:
+            df[:] = MANY
+        else:
+            # Those of a size near enough stand together; next to a run of one label stands another label or another token.
+            run = np.flatnonzero(first | np.concatenate(([True], label[1:] != label[:-1])))
+            at = np.repeat(np.arange(len(run)), np.diff(np.concatenate((run, [len(token)]))))
+            after, before = np.concatenate((run, [len(token)]))[at + 1], run[at] - 1
+            place = (group << 33) + size
+            low = np.searchsorted(place, (group << 33) - (-num * size // den))
+            high = np.searchsorted(place, (group << 33) + np.minimum(den * size // num, (1 << 33) - 1), side="right")
+            open_ = (after < high) | (before >= low)
+            token, key, size, fewer, df = (x[open_] for x in (token, key, size, fewer, df))
+        order = np.argsort(key, kind="stable")
+        token, key, size, fewer, df = (x[order] for x in (token, key, size, fewer, df))
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
+        must = -(-num * size // den) - fewer
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        columns = {"key": [int(key[a]) for a, _ in spans], "must": [int(must[a]) for a, _ in spans], "tokens": [token[a:b].tobytes() for a, b in spans], "dfs": [df[a:b].tobytes() for a, b in spans]}
+        return pd.DataFrame(columns, columns=list(columns))
+
+    return find
+
+
+def _parted(open_: DataFrame, total: int, num: int, den: int, bin_tokens: int, sample: int, least: int) -> DataFrame:
+    """(key, cluster): clusters of the classes of ``open_`` (key, cluster, label, hashes; ``total`` rows) that may have a partner of another label.
+
+    As steps 2 and 3, inside each cluster and on whole sets: a class ends whose tokens in other classes, of another label and
+    a size near enough, are fewer than a partner must share.
+    """
+    spark = open_.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tokens = open_.agg(F.sum(F.octet_length("hashes"))).first()[0] // 8
+    bins = max(parts, -(-tokens // bin_tokens))
+    tasks = min(bins, MAX_TASKS)
+
+    def blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_whole(c, h).tobytes() for c, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["key", "tokens"])
+
+    picked = open_.filter(about(F.xxhash64("key", F.lit(5)), sample, total)).select("key", "cluster", "hashes")
+    common = spark.sparkContext.broadcast(_standing_in(picked.mapInArrow(blobs, "key long, tokens binary").dropDuplicates(["key"]), least))
+    found = _whole_binned(open_, bins, common).repartition(tasks, "bin").groupBy("bin").applyInPandas(_open_tokens(num, den), "key long, must long, tokens binary, dfs binary")
+    found = scratch.written(found, "jaccard-open")
+    shared = found.groupBy("key").agg(F.max("must").alias("must"), F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
+    kept = shared.mapInArrow(_kept_tokens(bins, lambda must: must, common), "bin long, tokens binary, owners binary")
+    stars = scratch.written(kept.repartition(tasks, "bin").groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
+    clusters = components(stars, "jaccard-clusters").select(F.col("node").alias("key"), F.col("label").alias("cluster"))
+    clusters = scratch.written(clusters.join(found.select("key").distinct(), "key", "left_semi"), "jaccard-members")
+    scratch.removed(found, stars)
+    return clusters
+
+
+def _blocked(clusters: DataFrame, block: int) -> DataFrame:
+    """``clusters`` (key, cluster) with members and blocks of the cluster, and the block of the class."""
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    return clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("members") / block)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+
+
+def _within(sets: DataFrame, parts: int, block: int, join) -> DataFrame:
+    """Links inside the clusters of one block, and inside each other block of a larger cluster and its block 0."""
+    # A bundle is either a share of the clusters of one block, or a block of a larger cluster with that cluster's block 0.
+    bundles = max(parts, -(-(sets.count()) // block))
+    spread = F.when(F.col("blocks") == 1, F.array(F.pmod(F.xxhash64("cluster"), F.lit(bundles)))).otherwise(
+        F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1))
+    )
+    of = F.when(F.col("blocks") > 1, F.col("cluster"))
+    first = sets.select(of.alias("of"), F.explode(spread).alias("bundle"), "cluster", "key", "label", F.lit(True).alias("marked"), "hashes")
+    first = first.repartition(max(parts, min(MAX_TASKS, bundles // TASK_BUNDLES)), "of", "bundle")
+    return first.groupBy("of", "bundle").applyInPandas(join, "a long, b long")
+
+
 def _join_blocks(num: int, den: int):
     """Links inside the clusters of a group of rows (cluster, key, label, marked, hashes)."""
 
@@ -335,52 +476,68 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     described = scratch.written(_described(rows, k, seed), "jaccard-documents")
     classes = described.filter("n > 0 AND doc_id IS NOT NULL").groupBy("key", "key2", "n").agg(F.min("doc_id").alias("rep"))
     classes = scratch.written(classes, "jaccard-classes")
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    total, many = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bins = max(parts, -(-total // (2 * bin_tokens)))
 
     common = _common_tokens(rows, described, k, seed, num, den, common_sample, common_docs)  # bounded by the sample
-    binned = dealt = scratch.written(_binned(rows, k, seed, bins, num, den, spark.sparkContext.broadcast(common)), "jaccard-bins")
+    rounds = max(1, min(ROUNDS, bins // (2 * parts)))
+    binned = _binned(rows, k, seed, bins, num, den, spark.sparkContext.broadcast(common)).withColumn("round", F.pmod("bin", F.lit(rounds)))
+    binned = dealt = scratch.written(binned, "jaccard-bins", ["round"])
     crowding = _crowding_tokens(binned, bins)
     if len(crowding):
-        binned = _thinned(binned, bins, spark.sparkContext.broadcast(crowding))
         common = np.union1d(common, crowding)
-    common = spark.sparkContext.broadcast(common)
     # As many tasks as bins, so that none reads more when the input grows; memory is that of a bin even where a task has several.
-    tasks = min(bins, MAX_TASKS)
-    found = binned.drop("size").repartition(tasks, "bin").groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
-    shared = found.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
-    kept = shared.join(classes.select("key", "n"), "key").select("key", "n", "tokens", "dfs").mapInArrow(_kept_tokens(bins, num, den, common), "bin long, tokens binary, owners binary")
+    tasks, shared = min(bins, MAX_TASKS), []
+    for r in range(rounds):
+        own = binned.filter(F.col("round") == r).select(*dealt.columns[:-1])
+        if len(crowding):
+            own = _thinned(own, bins, spark.sparkContext.broadcast(crowding))
+        found = own.drop("size").repartition(-(-tasks // rounds), "bin").groupBy("bin").applyInPandas(_shared_tokens, "key long, tokens binary, dfs binary")
+        shared.append(scratch.written(found, "jaccard-shared"))
+        scratch.removed_part(dealt, f"round={r}")
+    common = spark.sparkContext.broadcast(common)
+    found = reduce(DataFrame.union, shared).groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("dfs").alias("dfs"))
+    kept = found.join(classes.select("key", "n"), "key").select("key", "n", "tokens", "dfs").mapInArrow(_kept_tokens(bins, lambda n: _prefix(n, num, den)[1], common), "bin long, tokens binary, owners binary")
+    kept = scratch.written(kept, "jaccard-kept")
+    scratch.removed(dealt, *shared)
     stars = scratch.written(kept.repartition(tasks, "bin").groupBy("bin").applyInPandas(_stars, "a long, b long").distinct(), "jaccard-stars")
     clusters = components(stars, "jaccard-clusters").select(F.col("node").alias("key"), F.col("label").alias("cluster"))
     clusters = scratch.written(clusters.join(classes.select("key"), "key", "left_semi"), "jaccard-members")  # without the tokens among the nodes
-    scratch.removed(dealt, stars)
-
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
-    members = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("members") / block)).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    wanted = members.join(classes.select("key", "rep"), "key")
-    sets = scratch.written(_with_sets(rows, wanted, k, seed), "jaccard-sets")
-
-    # A bundle is either a share of the clusters of one block, or a block of a larger cluster with that cluster's block 0.
-    bundles = max(parts, -(-(sets.count()) // block))
-    one = sets.withColumn("label", F.col("key")).withColumn("marked", F.lit(True))
-    spread = F.when(F.col("blocks") == 1, F.array(F.pmod(F.xxhash64("cluster"), F.lit(bundles)))).otherwise(
-        F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1))
-    )
-    of = F.when(F.col("blocks") > 1, F.col("cluster"))
-    first = one.select(of.alias("of"), F.explode(spread).alias("bundle"), "cluster", "key", "label", "marked", "hashes")
-    join = _join_blocks(num, den)
-    first = first.repartition(max(parts, min(MAX_TASKS, bundles // TASK_BUNDLES)), "of", "bundle")
-    links = within = scratch.written(first.groupBy("of", "bundle").applyInPandas(join, "a long, b long"), "jaccard-links")
-
-    large, state, more = sets.filter("blocks > 1"), None, None
-    if large.limit(1).count():
+    scratch.removed(stars, kept)
+
+    wanted = _blocked(clusters, block).join(classes.select("key", "rep"), "key")
+    sets = scratch.written(_with_sets(rows, wanted, k, seed).withColumn("label", F.col("key")), "jaccard-sets")
+    scratch.removed(clusters)
+
+    join, found, last = _join_blocks(num, den), [], None
+    while True:
+        found.append(scratch.written(_within(sets, parts, block, join), "jaccard-links"))
+        links = reduce(DataFrame.union, found)
+        large = sets.filter("blocks > 1")
+        if not large.limit(1).count():
+            break
         # Similar sets are at most one band of sizes apart; the width is a little above the ratio, for the logarithm's last digits.
         width = max(math.log(den / num), 1e-6) * (1 + 1e-6)
         large = large.withColumn("band", F.floor(F.log(F.octet_length("hashes")) / width))
-        state = scratch.written(_labelled(large.drop("hashes"), links, "jaccard-first"), "jaccard-state")
-        by_label = state.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
-        main = by_label.groupBy("cluster").agg(F.max(F.struct("size", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
+        state = scratch.written(_labelled(large.drop("hashes", "label"), links, "jaccard-first"), "jaccard-state")
+        by_label = state.groupBy("cluster", "blocks", "label").agg(F.count(F.lit(1)).alias("size"))
+        main = by_label.groupBy("cluster", "blocks").agg(F.max(F.struct("size", "label")).alias("m"), F.sum("size").alias("members"))
+        main = main.select("cluster", "blocks", "members", F.col("m.label").alias("main"), (F.col("members") - F.col("m.size")).alias("apart")).filter("apart > 0")
+        taking_part, moves = main.agg(F.sum("members"), F.sum(F.col("apart") * F.col("blocks"))).first()
+        if not taking_part:
+            scratch.removed(state)
+            break
+        if moves > MOVES * many and (last is None or 2 * moves < last):
+            last = moves
+            open_ = large.select("key", "hashes").join(state.join(main.select("cluster"), "cluster", "left_semi").select("cluster", "key", "label"), "key")
+            open_ = scratch.written(open_.select("key", "cluster", "label", "hashes"), "jaccard-apart")
+            clusters = _parted(open_, taking_part, num, den, bin_tokens, common_sample, common_docs)
+            finer = scratch.written(open_.drop("cluster").join(_blocked(clusters, block), "key"), "jaccard-sets")
+            scratch.removed(sets, state, open_, clusters)
+            sets = finer
+            continue
+        main = main.select("cluster", "main")
         outside = state.join(main, "cluster").filter("label <> main").groupBy("cluster", "main", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias("groups"))
         # One row a cluster: the bands of its outside classes, as many as sizes have, each with its number of groups.
         outside = outside.groupBy("cluster", "main").agg(F.collect_list(F.struct("band", "groups")).alias("bands"))
@@ -394,11 +551,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         across = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         rest = open_.filter("label <> main").select("cluster", to.alias("to"), across.alias("block"), "key", "label", F.lit(True).alias("marked"), "hashes")
         more = wide.union(rest).groupBy("cluster", "to", "block").applyInPandas(join, "a long, b long")
-        more = scratch.written(more, "jaccard-rest")
-        links = links.union(more)
+        found.append(scratch.written(more, "jaccard-rest"))
+        links = reduce(DataFrame.union, found)
+        scratch.removed(state)
+        break
 
     linked = components(links, "jaccard-final").select(F.col("node").alias("key"), "label")
-    scratch.removed(clusters, sets, within, *[t for t in (state, more) if t is not None])
+    scratch.removed(sets, *found)
     linked = linked.join(classes.select("key", "rep"), "key")
     smallest = linked.groupBy("label").agg(F.min("rep").alias("component_id"))
     linked = linked.join(smallest, "label").select("key", "component_id")

@@ -64,7 +64,7 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None, bat
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
     table._scratch_path = path
     _written.append(path)
     return table
@@ -90,6 +90,11 @@ def removed(*tables: DataFrame) -> None:
             _delete(table.sparkSession, path)
 
 
+def removed_part(table: DataFrame, part: str) -> None:
+    """Delete one folder, such as ``round=0``, of a table that was written with ``partition_by``; the other parts can still be read."""
+    _delete(table.sparkSession, f"{table._scratch_path}/{part}")
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all tables of this application; for when every result that reads one is stored elsewhere."""
     _delete(spark, app_dir(spark))

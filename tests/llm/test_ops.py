@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -262,6 +263,34 @@ def test_components_of_a_cluster_with_all_sizes(spark, monkeypatch):
     check_components(spark, rows, block=4, bin_tokens=500)
 
 
+def test_components_of_long_texts_that_share_a_third(spark, monkeypatch):
+    """A cluster held together by passages only: sets move a few times each, not once for each block; and a round's bins go with the round."""
+    rng, rows = random.Random(8), near_copies(9, 30, 3, 120, 2)
+    passages = [" ".join(f"p{p}w{j}" for j in range(60)) for p in range(4)]
+    rows = [(k, f"{passages[k % 4]} {passages[(k + 1) % 4] if k % 3 else ''} {t}") for k, t in rows]
+    rows += [(1000 + k, " ".join([*rng.sample(passages, rng.randrange(1, 3)), *(f"own{k}w{j}" for j in range(70 + k % 40))])) for k in range(400)]
+    moved, left, join, written = spark.sparkContext.accumulator(0), [], jaccard._join_blocks, jaccard.scratch.written
+
+    def counting(num, den):
+        inside = join(num, den)
+        return lambda part: (moved.add(len(part)), inside(part))[1]
+
+    def watching(df, name, *more):
+        if name == "jaccard-shared":
+            left.append(len(list(Path(tables[-1]._scratch_path).glob("round=*"))))
+        table = written(df, name, *more)
+        if name == "jaccard-bins":
+            tables.append(table)
+        return table
+
+    tables = []
+    monkeypatch.setattr(jaccard, "_join_blocks", counting)
+    monkeypatch.setattr(jaccard.scratch, "written", watching)
+    check_components(spark, rows, block=8, bin_tokens=500)
+    assert moved.value < 10 * len(rows)
+    assert left == [4, 3, 2, 1]
+
+
 def test_components_with_crowded_bins(spark, monkeypatch):
     """A passage that the sample does not show but that crowds the bins of its tokens."""
     seen = []
